@@ -19,64 +19,77 @@ FIELD = r"\s*[^:;.,|\n]{1,40}:[^:]*"
 def _wide(c: Column) -> Column:
     """Full-width forms and ideographic blanks to their ASCII counterparts."""
     full = "".join(chr(x) for x in range(0xFF01, 0xFF5F)) + "　。"
-    return F.translate(c, full, "".join(chr(x) for x in range(0x21, 0x7F)) + " .")
+    return F.when(c.rlike("[\uff01-\uff5e\u3000。]"), F.translate(c, full, "".join(chr(x) for x in range(0x21, 0x7F)) + " .")).otherwise(c)
+
+
+def _words(c: Column) -> Column:
+    """Lower-case words, parted by one blank each."""
+    return F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{M}\p{N}]+", " "))
+
+
+def _glue(words: Column) -> Column:
+    """The words without blanks, but for those between two figures: ``1.5`` is not 15."""
+    kept = F.regexp_replace(words, r"(?<=\p{N}) (?=\p{N})", "\u0001")
+    return F.translate(F.when(words.rlike(r"\p{N} \p{N}"), kept).otherwise(words), " ", "")
 
 
 def compact(c: Column) -> Column:
-    """Letters, marks and digits in lower case; what stands between two digits leaves one blank, all else goes.
+    """What is left when white space, letter case and punctuation don't count; accents are part of the words."""
+    return _glue(_words(c))
 
-    Accents are part of the words, composed (NFC) before. White space and punctuation never decide, but ``1.5`` is not 15.
-    """
-    low = F.lower(_wide(c))
-    split = F.regexp_replace(low, r"(?<=\p{N})[^\p{L}\p{M}\p{N}]+(?=\p{N})", "\u0001")
-    return F.regexp_replace(split, r"[^\p{L}\p{M}\p{N}\u0001]+", "")
+
+def _parts(c: Column, separators: str) -> tuple[Column, Column]:
+    got = F.filter(F.split(c, separators), lambda x: F.trim(x) != "")
+    return (F.size(got) > 1) & F.forall(got, lambda x: F.trim(x).rlike(f"^{FIELD}$")), got
 
 
-def claim_fields(c: Column) -> Column:
-    """The fields of a claim: its parts if all have the form ``name: value``, else the claim as one field."""
-    body = F.regexp_replace(_wide(c), r"^[\s\-*•\"'“”„«»‘’]+|[\s;.,!|\"'“”„«»‘’]+$", "")
+def claims(values: DataFrame) -> DataFrame:
+    """``digest, bag, fields, run`` of each distinct claim ``v``: its fields if all its parts have the form ``name: value``, else one.
 
-    def parts(separators: str) -> tuple[Column, Column]:
-        got = F.filter(F.split(body, separators), lambda x: F.trim(x) != "")
-        return (F.size(got) > 1) & F.forall(got, lambda x: F.trim(x).rlike(f"^{FIELD}$")), got
+    bag is a digest of its words whatever their order.
+    """
+    rows = values.select(F.unhex(F.md5("v")).alias("digest"), _wide(F.col("v")).alias("w"))
+    rows = rows.select("digest", "w", _words(F.col("w")).alias("words"))
+    body = F.regexp_replace("w", r"^[\s\-*•\"'“”„«»‘’]+|[\s;.,!|\"'“”„«»‘’]+$", "")
+    (strong, by_strong), (weak, by_weak) = _parts(body, r"[;\n|]"), _parts(body, r"[;\n|,]")
+    parts = F.when(F.instr("w", ":") == 0, F.lit(None)).when(strong, by_strong).when(weak, by_weak)
+    rows = rows.select("digest", "words", F.transform(parts, compact).alias("whole"), _glue(F.col("words")).alias("run"))
+    bag = F.unhex(F.md5(F.array_join(F.array_sort(F.split("words", " ")), " ")))
+    return rows.select("digest", bag.alias("bag"), F.array_sort("whole").alias("whole"), _codes(F.coalesce("whole", F.array("run"))).alias("fields"))
+
+
+def provenances(values: DataFrame) -> DataFrame:
+    """``digest, fields`` of each distinct provenance: its anchors, each from ``raw/`` to the next one.
 
-    (strong, by_strong), (weak, by_weak) = parts(r"[;\n|]"), parts(r"[;\n|,]")
-    one = F.array(compact(c))
-    return F.when(strong, F.transform(by_strong, compact)).when(weak, F.transform(by_weak, compact)).otherwise(one)
+    A page sign's blank and dot do not count.
+    """
+    rows = values.select(F.unhex(F.md5("v")).alias("digest"), F.lower(_wide(F.col("v"))).alias("w"))
+    parts = F.when(F.locate("raw", F.col("w"), 8) > 0, F.split("w", r"(?=\braw\s*[/\\])")).otherwise(F.array("w"))
+    return rows.select("digest", _codes(F.filter(F.transform(parts, compact), lambda x: x != "")).alias("fields"))
 
 
-def word_bag(c: Column) -> Column:
-    """A digest of the words whatever their order."""
-    words = F.split(F.regexp_replace(F.lower(_wide(c)), r"[^\p{L}\p{M}\p{N}]+", " "), " ")
-    return F.unhex(F.md5(F.array_join(F.array_sort(F.filter(words, lambda w: w != "")), " ")))
+def _codes(fields: Column) -> Column:
+    return F.transform(fields, lambda x: F.unhex(F.md5(x)))
 
 
-def find_lost_fields(values: DataFrame) -> DataFrame:
+def find_lost_fields(values: DataFrame, raw: DataFrame) -> DataFrame:
     """Give claims whose separators were lost the fields of a claim that still has them.
 
-    Such a claim has the same words, and is made up of the other's fields in some order.
+    Such a claim has the same words, and is made up of the other's fields in some order. Only digests are joined;
+    the few claims with the words of another are then looked up in ``raw``.
     """
     plain = lambda c: F.translate(c, "\u0001", "")
-    whole = values.where("size(fields) > 1").select("bag", F.array_sort("fields").alias("whole")).distinct()
-    whole = whole.select("bag", "whole", F.transform("whole", plain).alias("pieces"))
-    lost = values.where("size(fields) = 1").select("digest", "bag", plain(F.col("fields")[0]).alias("run"))
-    same = F.forall("pieces", lambda x: F.col("run").contains(x)) & (F.length("run") == F.length(F.array_join("pieces", "")))
-    found = lost.join(whole, "bag").where(same).groupBy("digest").agg(F.min("whole").alias("whole"))
-    return values.join(found, "digest", "left").select("digest", F.coalesce("whole", "fields").alias("fields"))
-
-
-def anchors(c: Column) -> Column:
-    """The anchors of a provenance, each from ``raw/`` to the next one; a page sign's blank and dot do not count."""
-    parts = F.split(F.lower(_wide(c)), r"(?=\braw\s*[/\\])")
-    return F.filter(F.transform(parts, compact), lambda x: x != "")
+    whole = values.where("whole is not null").groupBy("bag", "whole").agg(F.min("fields").alias("whole_fields"))
+    lost = values.where("whole is null").select("digest", "bag").join(whole, "bag")
+    text = raw.select(F.unhex(F.md5("v")).alias("digest"), plain(compact(_wide(F.col("v")))).alias("run"))
+    pieces = F.transform("whole", plain)
+    same = F.forall(pieces, lambda x: F.col("run").contains(x)) & (F.length("run") == F.length(F.array_join(pieces, "")))
+    found = text.join(lost, "digest").where(same).groupBy("digest").agg(F.min("whole_fields").alias("whole_fields"))
+    return values.join(found, "digest", "left").select("digest", F.coalesce("whole_fields", "fields").alias("fields"))
 
 
-def _encode(values: DataFrame, field_list: Column, name: str, *extra: Column) -> DataFrame:
+def _encode(fields: DataFrame, name: str) -> DataFrame:
     """``(digest, code)`` of each distinct raw value; code is the sorted array of its fields' integers."""
-    fields = values.where("v is not null").distinct().select(F.unhex(F.md5("v")).alias("digest"), field_list.alias("fields"), *extra)
-    fields = stage_table(fields, f"{name}-values")
-    if extra:
-        fields = stage_table(find_lost_fields(fields), f"{name}-fields")
     words = fields.select(F.explode("fields").alias("field")).distinct().select("field", F.monotonically_increasing_id().alias("id"))
     words = stage_table(words, f"{name}-dictionary")
     codes = fields.select("digest", F.explode("fields").alias("field")).join(words, "field")
@@ -86,12 +99,15 @@ def _encode(values: DataFrame, field_list: Column, name: str, *extra: Column) ->
 def encode_facts(fact: DataFrame) -> DataFrame:
     """``(fact_id, claim_code, provenance_code)``; null or anchorless columns have an empty code."""
     digest = lambda c: F.unhex(F.md5(c))
-    claims = _encode(fact.select(F.col("claim").alias("v")), claim_fields(F.col("v")), "claim", word_bag(F.col("v")).alias("bag"))
-    provs = _encode(fact.select(F.col("provenance").alias("v")), anchors(F.col("v")), "provenance")
+    raw = fact.select(F.col("claim").alias("v")).where("v is not null")
+    values = stage_table(claims(raw.distinct()), "claim-values")
+    by_claim = _encode(find_lost_fields(values, raw), "claim")
+    prov = fact.select(F.col("provenance").alias("v")).where("v is not null").distinct()
+    by_prov = _encode(stage_table(provenances(prov), "provenance-values"), "provenance")
     none = F.array().cast("array<bigint>")
     rows = fact.where("fact_id is not null").select("fact_id", digest("claim").alias("c"), digest("provenance").alias("p"))
-    rows = rows.join(claims.select(F.col("digest").alias("c"), F.col("code").alias("claim_code")), "c", "left")
-    rows = rows.join(provs.select(F.col("digest").alias("p"), F.col("code").alias("provenance_code")), "p", "left")
+    rows = rows.join(by_claim.select(F.col("digest").alias("c"), F.col("code").alias("claim_code")), "c", "left")
+    rows = rows.join(by_prov.select(F.col("digest").alias("p"), F.col("code").alias("provenance_code")), "p", "left")
     return rows.select("fact_id", F.coalesce("claim_code", none).alias("claim_code"), F.coalesce("provenance_code", none).alias("provenance_code"))
 
 
