@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
+from lectern.llm.encode import encode
+from lectern.llm.langid import detect, mislabelled, profiles_of
 from lectern.llm.repeats import collapsed_facts, repeated_facts
 from lectern.plans.shared import read
 
+
+
+def p1_documents(s, d):
+    docs = read(s, d, "documents")
+    return detect(docs, "doc_id", "text", profiles_of(read(s, d, "md_doc"), docs)).drop("languages")
+
+
+def p1_segments(s, d):
+    docs = read(s, d, "documents")
+    return detect(docs, "doc_id", "text", profiles_of(read(s, d, "md_doc"), docs), segments=True)
+
+
 QUERIES = {
+    "p1_found": lambda s, d: mislabelled(read(s, d, "md_doc"), read(s, d, "run_status"), read(s, d, "documents")),
+    "p1_documents": p1_documents,
+    "p1_segments": p1_segments,
     "p5_found": lambda s, d: repeated_facts(read(s, d, "fact")),
+    "p8_ids": lambda s, d: encode(read(s, d, "documents"), "doc_id", "text"),
     "p5_records": lambda s, d: collapsed_facts(read(s, d, "fact")),
 }
 
