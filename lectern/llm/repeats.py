@@ -76,15 +76,17 @@ def find_lost_fields(values: DataFrame, raw: DataFrame) -> DataFrame:
     """Give claims whose separators were lost the fields of a claim that still has them.
 
     Such a claim has the same words, and is made up of the other's fields in some order. Only digests are joined;
-    the few claims with the words of another are then looked up in ``raw``.
+    the few claims with the words of another are then looked up in ``raw``. They are written first, so that the
+    planner knows their size and leaves ``raw`` unshuffled where they are few.
     """
     plain = lambda c: F.translate(c, "\u0001", "")
     whole = values.where("whole is not null").groupBy("bag", "whole").agg(F.min("fields").alias("whole_fields"))
-    lost = values.where("whole is null").select("digest", "bag").join(whole, "bag")
-    text = raw.select(F.unhex(F.md5("v")).alias("digest"), plain(compact(_wide(F.col("v")))).alias("run"))
-    pieces = F.transform("whole", plain)
-    same = F.forall(pieces, lambda x: F.col("run").contains(x)) & (F.length("run") == F.length(F.array_join(pieces, "")))
-    found = text.join(lost, "digest").where(same).groupBy("digest").agg(F.min("whole_fields").alias("whole_fields"))
+    lost = stage_table(values.where("whole is null").select("digest", "bag").join(whole, "bag").drop("bag"), "claim-lost")
+    text = raw.select(F.unhex(F.md5("v")).alias("digest"), "v").join(lost, "digest")
+    text = text.select("digest", "whole", "whole_fields", _wide(F.col("v")).alias("w"))
+    text = text.select("digest", "whole_fields", F.transform("whole", plain).alias("pieces"), plain(compact(F.col("w"))).alias("run"))
+    same = F.forall("pieces", lambda x: F.col("run").contains(x)) & (F.length("run") == F.length(F.array_join("pieces", "")))
+    found = stage_table(text.where(same).groupBy("digest").agg(F.min("whole_fields").alias("whole_fields")), "claim-found")
     return values.join(found, "digest", "left").select("digest", F.coalesce("whole_fields", "fields").alias("fields"))
 
 
@@ -101,7 +103,7 @@ def encode_facts(fact: DataFrame) -> DataFrame:
     digest = lambda c: F.unhex(F.md5(c))
     raw = fact.select(F.col("claim").alias("v")).where("v is not null")
     values = stage_table(claims(raw.distinct()), "claim-values")
-    by_claim = _encode(find_lost_fields(values, raw), "claim")
+    by_claim = _encode(stage_table(find_lost_fields(values, raw), "claim-fields"), "claim")
     prov = fact.select(F.col("provenance").alias("v")).where("v is not null").distinct()
     by_prov = _encode(stage_table(provenances(prov), "provenance-values"), "provenance")
     none = F.array().cast("array<bigint>")
