@@ -208,13 +208,18 @@ def fit(rows: list[tuple[str, str]]) -> Profiles:
 
 
 def fit_on(*tables: tuple[DataFrame, str, str, str], sample: int = SAMPLE) -> Profiles:
-    """Fit on at most ``sample`` labelled rows of each (table, key, label, text), chosen by a hash of the key."""
+    """Fit on at most ``sample`` labelled rows of each (table, key, label, text), those of the smallest key hashes.
+
+    The labelled rows are counted first (labels and keys only), so that no more than about ``sample`` texts reach the
+    driver however many partitions there are.
+    """
     rows = []
     for df, key, label, text in tables:
-        code = label_code(F.col(label))
-        some = df.select(F.xxhash64(F.col(key)).alias("h"), code.alias("code"), F.col(text).alias("text"))
-        some = some.where("code is not null and length(text) > 80").orderBy("h", "text").limit(sample)
-        rows += [(r.code, r.text) for r in some.collect()]
+        share = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30)) / float(1 << 30)
+        known = df.select(share.alias("h"), label_code(F.col(label)).alias("code"), F.col(text).alias("text")).where("code is not null")
+        n = known.select("h").count()
+        some = known.where(F.col("h") < 1.3 * sample / max(n, 1)).where("length(text) > 80").collect()
+        rows += [(r.code, r.text) for r in sorted(some, key=lambda r: (r.h, r.text))[:sample]]
     return fit(rows)
 
 
