@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lectern.llm.encode import encode
 from lectern.llm.langid import detect, mislabelled, profiles_of
+from lectern.llm.leaks import leak_spans, leaked
 from lectern.llm.repeats import collapsed_facts, repeated_facts
 from lectern.plans.shared import read
 
@@ -25,6 +26,8 @@ QUERIES = {
     "p1_segments": p1_segments,
     "p5_found": lambda s, d: repeated_facts(read(s, d, "fact")),
     "p8_ids": lambda s, d: encode(read(s, d, "documents"), "doc_id", "text"),
+    "p9_found": lambda s, d: leaked(read(s, d, "documents"), read(s, d, "eval_item")),
+    "p9_spans": lambda s, d: leak_spans(read(s, d, "documents"), read(s, d, "eval_item")),
     "p5_records": lambda s, d: collapsed_facts(read(s, d, "fact")),
 }
 
