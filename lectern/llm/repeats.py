@@ -46,7 +46,7 @@ def _parts(c: Column, separators: str) -> tuple[Column, Column]:
 def claims(values: DataFrame) -> DataFrame:
     """``digest, bag, fields, run`` of each distinct claim ``v``: its fields if all its parts have the form ``name: value``, else one.
 
-    bag is a digest of its words whatever their order.
+    bag is a hash of its words whatever their order; what shares one is compared in full later.
     """
     rows = values.select(F.unhex(F.md5("v")).alias("digest"), _wide(F.col("v")).alias("w"))
     rows = rows.select("digest", "w", _words(F.col("w")).alias("words"))
@@ -54,7 +54,7 @@ def claims(values: DataFrame) -> DataFrame:
     (strong, by_strong), (weak, by_weak) = _parts(body, r"[;\n|]"), _parts(body, r"[;\n|,]")
     parts = F.when(F.instr("w", ":") == 0, F.lit(None)).when(strong, by_strong).when(weak, by_weak)
     rows = rows.select("digest", "words", F.transform(parts, compact).alias("whole"), _glue(F.col("words")).alias("run"))
-    bag = F.unhex(F.md5(F.array_join(F.array_sort(F.split("words", " ")), " ")))
+    bag = F.xxhash64(F.array_join(F.array_sort(F.split("words", " ")), " "))
     return rows.select("digest", bag.alias("bag"), F.array_sort("whole").alias("whole"), _codes(F.coalesce("whole", F.array("run"))).alias("fields"))
 
 
@@ -90,9 +90,9 @@ def find_lost_fields(values: DataFrame, raw: DataFrame) -> DataFrame:
     return values.join(found, "digest", "left").select("digest", F.coalesce("whole_fields", "fields").alias("fields"))
 
 
-def _encode(fields: DataFrame, name: str) -> DataFrame:
+def _encode(fields: DataFrame, all_fields: DataFrame, name: str) -> DataFrame:
     """``(digest, code)`` of each distinct raw value; code is the sorted array of its fields' integers."""
-    words = fields.select(F.explode("fields").alias("field")).distinct().select("field", F.monotonically_increasing_id().alias("id"))
+    words = all_fields.select(F.explode("fields").alias("field")).distinct().select("field", F.monotonically_increasing_id().alias("id"))
     words = stage_table(words, f"{name}-dictionary")
     codes = fields.select("digest", F.explode("fields").alias("field")).join(words, "field")
     return codes.groupBy("digest").agg(F.array_sort(F.collect_list("id")).alias("code"))
@@ -103,9 +103,10 @@ def encode_facts(fact: DataFrame) -> DataFrame:
     digest = lambda c: F.unhex(F.md5(c))
     raw = fact.select(F.col("claim").alias("v")).where("v is not null")
     values = stage_table(claims(raw.distinct()), "claim-values")
-    by_claim = _encode(stage_table(find_lost_fields(values, raw), "claim-fields"), "claim")
+    by_claim = _encode(find_lost_fields(values, raw), values, "claim")
     prov = fact.select(F.col("provenance").alias("v")).where("v is not null").distinct()
-    by_prov = _encode(stage_table(provenances(prov), "provenance-values"), "provenance")
+    prov = stage_table(provenances(prov), "provenance-values")
+    by_prov = _encode(prov, prov, "provenance")
     none = F.array().cast("array<bigint>")
     rows = fact.where("fact_id is not null").select("fact_id", digest("claim").alias("c"), digest("provenance").alias("p"))
     rows = rows.join(by_claim.select(F.col("digest").alias("c"), F.col("code").alias("claim_code")), "c", "left")
