@@ -6,6 +6,7 @@ from lectern.llm.encode import encode
 from lectern.llm.langid import detect, mislabelled, profiles_of
 from lectern.llm.leaks import leak_spans, leaked
 from lectern.llm.repeats import collapsed_facts, repeated_facts
+from lectern.llm.scans import noisy_lines, repaired
 from lectern.plans.shared import read
 
 
@@ -28,6 +29,8 @@ QUERIES = {
     "p8_ids": lambda s, d: encode(read(s, d, "documents"), "doc_id", "text"),
     "p9_found": lambda s, d: leaked(read(s, d, "documents"), read(s, d, "eval_item")),
     "p9_spans": lambda s, d: leak_spans(read(s, d, "documents"), read(s, d, "eval_item")),
+    "p6_found": lambda s, d: noisy_lines(read(s, d, "chunk")),
+    "p6_repaired": lambda s, d: repaired(read(s, d, "chunk")),
     "p5_records": lambda s, d: collapsed_facts(read(s, d, "fact")),
 }
 
