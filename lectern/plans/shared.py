@@ -26,7 +26,7 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     The result has no lineage, survives the loss of executors and is computed once however often it is used.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
