@@ -5,6 +5,7 @@ from __future__ import annotations
 from lectern.llm.encode import encode
 from lectern.llm.langid import detect, mislabelled, profiles_of
 from lectern.llm.leaks import leak_spans, leaked
+from lectern.llm.names import linked
 from lectern.llm.repeats import collapsed_facts, repeated_facts
 from lectern.llm.scans import noisy_lines, repaired
 from lectern.plans.shared import read
@@ -31,6 +32,7 @@ QUERIES = {
     "p9_spans": lambda s, d: leak_spans(read(s, d, "documents"), read(s, d, "eval_item")),
     "p6_found": lambda s, d: noisy_lines(read(s, d, "chunk")),
     "p6_repaired": lambda s, d: repaired(read(s, d, "chunk")),
+    "p3_found": lambda s, d: linked(read(s, d, "candidate"), read(s, d, "wiki_index")),
     "p5_records": lambda s, d: collapsed_facts(read(s, d, "fact")),
 }
 
