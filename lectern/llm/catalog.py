@@ -8,6 +8,7 @@ from lectern.llm.leaks import leak_spans, leaked
 from lectern.llm.names import linked
 from lectern.llm.repeats import collapsed_facts, repeated_facts
 from lectern.llm.scans import noisy_lines, repaired
+from lectern.llm.survivors import surviving_pages, surviving_values
 from lectern.plans.shared import read
 
 
@@ -33,6 +34,8 @@ QUERIES = {
     "p6_found": lambda s, d: noisy_lines(read(s, d, "chunk")),
     "p6_repaired": lambda s, d: repaired(read(s, d, "chunk")),
     "p3_found": lambda s, d: linked(read(s, d, "candidate"), read(s, d, "wiki_index")),
+    "p4_found": lambda s, d: surviving_values(read(s, d, "page")),
+    "p4_pages": lambda s, d: surviving_pages(read(s, d, "page")),
     "p5_records": lambda s, d: collapsed_facts(read(s, d, "fact")),
 }
 
