@@ -2,7 +2,9 @@
 
 Columns are dictionary-encoded. Each distinct raw value is canonicalised once into its set of fields, each distinct
 field gets an integer, a record becomes a tuple of sorted integers per column, and the tuples are grouped. A raw value
-is referred to by its 16-byte digest, so the strings are shuffled once, to be made distinct.
+is referred to by its 16-byte digest, so the strings are shuffled once, to be made distinct. A field's integer is its
+64-bit hash; the dictionary is searched for integers that two fields share, and those fields get another one, so that
+no join is needed to look them up.
 """
 
 from __future__ import annotations
@@ -69,7 +71,8 @@ def provenances(values: DataFrame) -> DataFrame:
 
 
 def _codes(fields: Column) -> Column:
-    return F.transform(fields, lambda x: F.unhex(F.md5(x)))
+    """Each field's integer, and a second hash that tells apart the fields that share it."""
+    return F.transform(fields, lambda x: F.struct(F.xxhash64(x).alias("id"), F.xxhash64(x, F.lit(1)).alias("other")))
 
 
 def find_lost_fields(values: DataFrame, raw: DataFrame) -> DataFrame:
@@ -90,12 +93,17 @@ def find_lost_fields(values: DataFrame, raw: DataFrame) -> DataFrame:
     return values.join(found, "digest", "left").select("digest", F.coalesce("whole_fields", "fields").alias("fields"))
 
 
-def _encode(fields: DataFrame, all_fields: DataFrame, name: str) -> DataFrame:
+def shared_integers(values: DataFrame) -> list[int]:
+    """Integers that two different fields have: at n fields about n*n / 2**65 of them, so few at any size."""
+    words = values.select(F.explode("fields").alias("f")).groupBy("f.id").agg(F.min("f.other").alias("a"), F.max("f.other").alias("b"))
+    return [r.id for r in words.where("a <> b").collect()]
+
+
+def _encode(fields: DataFrame, all_fields: DataFrame) -> DataFrame:
     """``(digest, code)`` of each distinct raw value; code is the sorted array of its fields' integers."""
-    words = all_fields.select(F.explode("fields").alias("field")).distinct().select("field", F.monotonically_increasing_id().alias("id"))
-    words = stage_table(words, f"{name}-dictionary")
-    codes = fields.select("digest", F.explode("fields").alias("field")).join(words, "field")
-    return codes.groupBy("digest").agg(F.array_sort(F.collect_list("id")).alias("code"))
+    taken = shared_integers(all_fields)
+    one = lambda f: F.when(f["id"].isin(taken), f["other"]).otherwise(f["id"]) if taken else f["id"]
+    return fields.select("digest", F.array_sort(F.transform("fields", one)).alias("code"))
 
 
 def encode_facts(fact: DataFrame) -> DataFrame:
@@ -103,10 +111,10 @@ def encode_facts(fact: DataFrame) -> DataFrame:
     digest = lambda c: F.unhex(F.md5(c))
     raw = fact.select(F.col("claim").alias("v")).where("v is not null")
     values = stage_table(claims(raw.distinct()), "claim-values")
-    by_claim = _encode(find_lost_fields(values, raw), values, "claim")
+    by_claim = _encode(find_lost_fields(values, raw), values)
     prov = fact.select(F.col("provenance").alias("v")).where("v is not null").distinct()
     prov = stage_table(provenances(prov), "provenance-values")
-    by_prov = _encode(prov, prov, "provenance")
+    by_prov = _encode(prov, prov)
     none = F.array().cast("array<bigint>")
     rows = fact.where("fact_id is not null").select("fact_id", digest("claim").alias("c"), digest("provenance").alias("p"))
     rows = rows.join(by_claim.select(F.col("digest").alias("c"), F.col("code").alias("claim_code")), "c", "left")
