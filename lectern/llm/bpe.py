@@ -119,23 +119,28 @@ class Encoder:
                 heapq.heappush(heap, (r, h, len(part[h]) + size))
         return tuple([find(p) for p in part if p is not None])
 
+    def cut(self, piece: bytes) -> list[bytes]:
+        """The parts of a pre-token between neighbouring bytes that no entry spans: no merge can cross there."""
+        spanned = self.spanned
+        at = [i + 1 for i, (a, b) in enumerate(pairwise(piece)) if a << 8 | b not in spanned]
+        return [piece[a:b] for a, b in pairwise([0, *at, len(piece)])] if at else [piece]
+
     def encode_piece(self, piece: bytes) -> tuple[int, ...]:
-        """Ids of one pre-token. Where no entry spans two neighbouring bytes no merge can, so it is cut there."""
+        """Ids of one pre-token."""
         if (one := self.find(piece)) >= 0:
             return (one,)
-        cuts = [i + 1 for i, (a, b) in enumerate(pairwise(piece)) if a << 8 | b not in self.spanned] if len(piece) > 8 else []
-        if not cuts:
+        cut = self.cut(piece) if len(piece) > 8 else [piece]
+        if len(cut) == 1:
             return self.merge(piece)
         out: list[int] = []
         parts = self.parts
         if len(parts) > MEMO:
             parts.clear()
-        for a, b in pairwise([0, *cuts, len(piece)]):
-            part = piece[a:b]
+        for part in cut:
             if (ids := parts.get(part)) is None:
                 one = self.find(part)
                 ids = (one,) if one >= 0 else self.merge(part)
-                if b - a < 64:
+                if len(part) < 64:
                     parts[part] = ids
             out.extend(ids)
         return tuple(out)

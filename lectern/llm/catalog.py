@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lectern.llm.budget import book_totals, slice_totals
 from lectern.llm.encode import encode
 from lectern.llm.langid import detect, mislabelled, profiles_of
 from lectern.llm.leaks import leak_spans, leaked
@@ -28,6 +29,8 @@ QUERIES = {
     "p1_documents": p1_documents,
     "p1_segments": p1_segments,
     "p5_found": lambda s, d: repeated_facts(read(s, d, "fact")),
+    "p7_budget": lambda s, d: slice_totals(read(s, d, "documents"), read(s, d, "chunk"), read(s, d, "md_doc")),
+    "p7_books": lambda s, d: book_totals(read(s, d, "chunk"), read(s, d, "run_status")),
     "p8_ids": lambda s, d: encode(read(s, d, "documents"), "doc_id", "text"),
     "p9_found": lambda s, d: leaked(read(s, d, "documents"), read(s, d, "eval_item")),
     "p9_spans": lambda s, d: leak_spans(read(s, d, "documents"), read(s, d, "eval_item")),
