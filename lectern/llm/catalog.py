@@ -7,6 +7,7 @@ from lectern.llm.encode import encode
 from lectern.llm.langid import detect, mislabelled, profiles_of
 from lectern.llm.leaks import leak_spans, leaked
 from lectern.llm.names import linked
+from lectern.llm.pii import masked, personal_data
 from lectern.llm.repeats import collapsed_facts, repeated_facts
 from lectern.llm.scans import noisy_lines, repaired
 from lectern.llm.survivors import surviving_pages, surviving_values
@@ -39,6 +40,8 @@ QUERIES = {
     "p3_found": lambda s, d: linked(read(s, d, "candidate"), read(s, d, "wiki_index")),
     "p4_found": lambda s, d: surviving_values(read(s, d, "page")),
     "p4_pages": lambda s, d: surviving_pages(read(s, d, "page")),
+    "p10_found": lambda s, d: personal_data(read(s, d, "documents")).select("doc_id", "kind", "start_pos"),
+    "p10_masked": lambda s, d: masked(read(s, d, "documents")),
     "p5_records": lambda s, d: collapsed_facts(read(s, d, "fact")),
 }
 
