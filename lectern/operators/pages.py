@@ -110,6 +110,6 @@ def facts_of(md: DataFrame) -> DataFrame:
     """``slug, ord, claim, provenance`` of the bullets under Key facts; provenance is the first anchor, '' without one."""
     body = F.try_element_at(F.filter(md_sections(F.col("md")), lambda s: s["header"] == "Key facts"), F.lit(-1))["body"]
     rows = md.select("slug", F.posexplode(bullets(body)).alias("ord", "line"))
-    anchor = F.regexp_extract("line", t.ANY_ANCHOR, 0)
-    claim = F.when(anchor == "", F.col("line")).otherwise(F.substring_index("line", anchor, 1))
-    return rows.select("slug", "ord", F.regexp_replace(claim, r"[ .;,]+$", "").alias("claim"), anchor.alias("provenance"))
+    rows = rows.withColumn("anchor", F.regexp_extract("line", t.ANY_ANCHOR, 0))
+    claim = F.when(F.col("anchor") == "", F.col("line")).otherwise(F.expr("left(line, instr(line, anchor) - 1)"))
+    return rows.select("slug", "ord", F.regexp_replace(claim, r"[ .;,]+$", "").alias("claim"), F.col("anchor").alias("provenance"))
