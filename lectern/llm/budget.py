@@ -66,7 +66,7 @@ class TrieWalk:
         return ok
 
     def count(self, piece: bytes) -> int:
-        if piece in self.ids:
+        if piece in self.ids or not piece:
             return 1  # whole entries are taken as they are, and need no states
         shared, stop = 0, min(len(piece), len(self.path), len(self.states) - 1)
         while shared < stop and piece[shared] == self.path[shared]:
@@ -81,7 +81,8 @@ class TrieWalk:
 def piece_counts(texts: DataFrame, keys: list[str], vocabulary: str = VOCABULARY, model: Profiles | None = None) -> DataFrame:
     """``*keys, [language,] piece, n`` of the columns ``*keys, text``, summed within each task.
 
-    A piece is a part of a pre-token that no entry of the vocabulary goes beyond. With a model the language detected in each text is a further key, '' where none is.
+    A piece is a part of a pre-token that no entry of the vocabulary goes beyond. Pieces that are entries themselves are
+    one token each and counted together, under the empty piece. With a model the language detected in each text is a further key, '' where none is.
     """
     sc = texts.sparkSession.sparkContext
     tokens = sc.broadcast(read_ranks(vocabulary))
@@ -92,6 +93,7 @@ def piece_counts(texts: DataFrame, keys: list[str], vocabulary: str = VOCABULARY
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary, tokens.value)
+        ids = set(enc.tokens)
         langs = Profiles(ranked.value) if ranked else None
         counts: dict[tuple, Counter] = {}
         arrow: list[pa.DataType] = []
@@ -99,13 +101,19 @@ def piece_counts(texts: DataFrame, keys: list[str], vocabulary: str = VOCABULARY
         def flush() -> Iterator[pa.RecordBatch]:
             for key, whole in counts.items():
                 count: Counter[bytes] = Counter()
+                entries = 0
                 for text, n in whole.items():
                     piece = text.encode("utf-8", "surrogatepass")
-                    if len(piece) > 8 and len(cut := enc.cut(piece)) > 1:
-                        for part in cut:
+                    if piece in ids:
+                        entries += n
+                        continue
+                    for part in enc.cut(piece) if len(piece) > 8 else (piece,):
+                        if part in ids:
+                            entries += n
+                        else:
                             count[part] += n
-                    else:
-                        count[piece] += n
+                if entries:
+                    count[b""] = entries
                 cols = [pa.array([v] * len(count), t) for v, t in zip(key, arrow)]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(list(count), pa.binary()), pa.array(list(count.values()), pa.int64())], names=[*names, "piece", "n"])
             counts.clear()
