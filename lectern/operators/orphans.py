@@ -58,7 +58,7 @@ def _deltas(refs: DataFrame, parents: DataFrame) -> DataFrame:
     """One row per key and period: parents that arrived less parents that left by its end, and new references."""
     month = lambda c: F.trunc(c, "month")
     zero = F.lit(0).cast("bigint")
-    came = parents.select("kind", "ref_key", month("from_ts").alias("period"), F.lit(1).cast("bigint").alias("d"), zero.alias("n"))
+    came = parents.where("from_ts is not null").select("kind", "ref_key", month("from_ts").alias("period"), F.lit(1).cast("bigint").alias("d"), zero.alias("n"))
     left = parents.where("to_ts is not null").select(
         "kind", "ref_key", month(F.greatest("to_ts", "from_ts")).alias("period"), F.lit(-1).cast("bigint").alias("d"), zero.alias("n")
     )
@@ -69,6 +69,8 @@ def _deltas(refs: DataFrame, parents: DataFrame) -> DataFrame:
 def advance(refs: DataFrame, parents: DataFrame, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Move the state forward by new references and parent spans; returns (history, new state).
 
+    A span without ``from_ts`` is the deletion of a parent that came in an earlier call, one without ``to_ts`` an arrival.
+
     history has a row per key and period in which something happened: ``new_refs``, ``parents`` there at the end of the
     period, ``waiting`` references, and how many were ``resolved`` or ``reopened`` in it. The state carries over between
     calls: feeding the periods one by one, in order, gives the history of feeding them all at once.

@@ -135,12 +135,11 @@ def write_pages(md: DataFrame, root: str) -> None:
 
 def read_index(spark: SparkSession, path: str, wiki: Callable[[], DataFrame]) -> DataFrame:
     """The pages of a JSON index, or what ``wiki`` gives where it is absent or broken."""
-    try:
-        return spark.read.schema("version int, page_count int, pages array<struct<slug string, title string, type string, path string, summary string, tags array<string>, aliases array<string>>>").option(
-            "multiLine", "true"
-        ).option("mode", "FAILFAST").json(path).select(F.inline("pages")).cache()
-    except Exception:  # noqa: BLE001 - a broken index is as good as none
+    kind = "version int, page_count int, pages array<struct<slug string, title string, type string, path string, summary string, tags array<string>, aliases array<string>>>"
+    if not _exists(spark, path):
         return wiki()
+    rows = spark.read.schema(kind).option("multiLine", "true").json(path).where("pages is not null")
+    return wiki() if rows.isEmpty() else rows.select(F.inline("pages"))
 
 
 def append_log(rows: DataFrame, path: str) -> None:
