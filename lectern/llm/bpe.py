@@ -92,8 +92,8 @@ class Encoder:
         self.memo: dict[str, tuple[int, ...]] = {}
         self.parts: dict[bytes, tuple[int, ...]] = {}
 
-    def merge(self, piece: bytes) -> tuple[int, ...]:
-        """Join the pair of lowest rank, leftmost first, until none is in the vocabulary."""
+    def merge(self, piece: bytes, but: int = -1) -> tuple[int, ...]:
+        """Join the pair of lowest rank, leftmost first, until none is in the vocabulary or the entry ``but``."""
         n = len(piece)
         part: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -106,7 +106,7 @@ class Encoder:
         while heap:
             r, i, size = heapq.heappop(heap)
             left = part[i]
-            if left is None or (j := after[i]) >= n or len(left) + len(part[j]) != size:
+            if r == but or left is None or (j := after[i]) >= n or len(left) + len(part[j]) != size:
                 continue
             both = left + part[j]
             part[i], part[j] = both, None

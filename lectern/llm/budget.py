@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.bpe import Encoder, encoder, read_ranks
 from lectern.llm.encode import VOCABULARY
-from lectern.llm.langid import Profiles, main_language, profiles_of, texts_languages
+from lectern.llm.langid import Profiles, profiles_of, prose
 
 #: Distinct (slice, piece) pairs that a task counts before it hands them on.
 HELD = 500_000
@@ -34,18 +34,49 @@ class TrieWalk:
         self.path = b""
         self.states: list[tuple[int, int]] = [(-1, 0)]  # (last token, tokens) after each byte of the path
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.edges: dict[tuple[int, bool], list[tuple[bytes, int, int]]] = {}
+
+    def _edge(self, token: int, right: bool) -> list[tuple[bytes, int, int]]:
+        """The tokens that stand at one edge of an entry while it is merged: (bytes, when made, when taken up).
+
+        Ranks are the times; single bytes are there from the start. Empty if merging never makes the entry.
+        """
+        key = (token, right)
+        if (out := self.edges.get(key)) is None:
+            out, end, part = [], 1 << 30, token
+            while True:
+                word = self.enc.tokens[part]
+                out.append((word, part if len(word) > 1 else -1, end))
+                if len(word) == 1:
+                    break
+                halves = self.enc.merge(word, part)
+                if len(halves) != 2:
+                    out = []
+                    break
+                end, part = part, halves[1 if right else 0]
+            self.edges[key] = out
+        return out
 
     def _may_follow(self, a: int, b: int) -> bool:
+        """Whether encoding the two entries side by side gives the two back.
+
+        It does unless two tokens at the border are there at a time at which their merge comes first; of equal merges
+        the left one does.
+        """
         key = (a, b)
         if (ok := self.pairs.get(key)) is None:
             if len(self.pairs) > 2_000_000:
                 self.pairs.clear()
-            left, right = self.enc.tokens[a], self.enc.tokens[b]
-            # Where no entry spans the border no merge crosses it.
-            if left[-1] << 8 | right[0] not in self.enc.spanned:
-                ok = True
-            else:
-                ok = self.enc.merge(left + right) == (a, b)
+            ok, ids = True, self.ids
+            for x, made_x, end_x in self._edge(a, True):
+                for y, made_y, end_y in self._edge(b, False):
+                    if (r := ids.get(x + y)) is not None:
+                        at = max(r, made_x, made_y)
+                        if at < end_x and (at < end_y or (at == r == end_y)):
+                            ok = False
+                            break
+                if not ok:
+                    break
             self.pairs[key] = ok
         return ok
 
@@ -59,11 +90,8 @@ class TrieWalk:
         raise ValueError("a byte without an entry")
 
     def _own(self, token: int) -> bool:
-        """Whether the entry is what its own bytes are encoded to; others are never made by merging."""
-        key = (token, -1)
-        if (ok := self.pairs.get(key)) is None:
-            ok = self.pairs[key] = self.enc.merge(self.enc.tokens[token]) == (token,)
-        return ok
+        """Whether merging the entry's own bytes makes it; the others are never made."""
+        return bool(self._edge(token, True))
 
     def count(self, piece: bytes) -> int:
         if piece in self.ids or not piece:
@@ -82,7 +110,7 @@ def piece_counts(texts: DataFrame, keys: list[str], vocabulary: str = VOCABULARY
     """``*keys, [language,] piece, n`` of the columns ``*keys, text``, summed within each task.
 
     A piece is a part of a pre-token that no entry of the vocabulary goes beyond. Pieces that are entries themselves are
-    one token each and counted together, under the empty piece. With a model the language detected in each text is a further key, '' where none is.
+    one token each and counted together, under the empty piece. With a model the language nearest to each whole text is a further key, '' where none is.
     """
     sc = texts.sparkSession.sparkContext
     tokens = sc.broadcast(read_ranks(vocabulary))
@@ -125,7 +153,7 @@ def piece_counts(texts: DataFrame, keys: list[str], vocabulary: str = VOCABULARY
                 columns = [part.column(i).to_pylist() for i in range(len(keys))]
                 texts_ = part.column(len(keys)).to_pylist()
                 if langs:
-                    columns.append([main_language(found, ps)[0] or "" for ps, found in texts_languages(texts_, langs)])
+                    columns.append([code or "" for code, _ in langs.classify([prose(t) if t else "" for t in texts_])])
                 for *key, text in zip(*columns, texts_):
                     if text:
                         counts.setdefault(tuple(key), Counter()).update(enc.split(text))

@@ -81,6 +81,12 @@ def paragraphs(text: str) -> list[str]:
     return out
 
 
+def prose(text: str) -> str:
+    """A text without headings, markers and anchors, in one piece."""
+    text = _SKIP.sub(" ", text)
+    return _ANCHOR.sub(" ", text) if "[" in text or "@" in text else text
+
+
 _LETTER = np.zeros(0x10000, dtype=np.uint16)
 _UPPER = np.zeros(0x10000, dtype=bool)
 #: Stands for any Chinese character, beside the character itself.
