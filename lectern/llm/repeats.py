@@ -57,7 +57,7 @@ def claims(values: DataFrame) -> DataFrame:
     parts = F.when(F.instr("w", ":") == 0, F.lit(None)).when(strong, by_strong).when(weak, by_weak)
     rows = rows.select("digest", "words", F.transform(parts, compact).alias("whole"), _glue(F.col("words")).alias("run"))
     bag = F.xxhash64(F.array_join(F.array_sort(F.split("words", " ")), " "))
-    return rows.select("digest", bag.alias("bag"), F.array_sort("whole").alias("whole"), _codes(F.coalesce("whole", F.array("run"))).alias("fields"))
+    return rows.select("digest", bag.alias("bag"), F.array_sort("whole").alias("whole"), _codes(F.coalesce("whole", F.filter(F.array("run"), lambda x: x != ""))).alias("fields"))
 
 
 def provenances(values: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def find_lost_fields(values: DataFrame, raw: DataFrame) -> DataFrame:
     """
     plain = lambda c: F.translate(c, "\u0001", "")
     whole = values.where("whole is not null").groupBy("bag", "whole").agg(F.min("fields").alias("whole_fields"))
-    lost = stage_table(values.where("whole is null").select("digest", "bag").join(whole, "bag").drop("bag"), "claim-lost")
+    lost = stage_table(values.where("whole is null and size(fields) > 0").select("digest", "bag").join(whole, "bag").drop("bag"), "claim-lost")
     text = raw.select(F.unhex(F.md5("v")).alias("digest"), "v").join(lost, "digest")
     text = text.select("digest", "whole", "whole_fields", _wide(F.col("v")).alias("w"))
     text = text.select("digest", "whole_fields", F.transform("whole", plain).alias("pieces"), plain(compact(F.col("w"))).alias("run"))
