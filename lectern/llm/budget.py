@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.bpe import Encoder, encoder, read_ranks
+from lectern.llm.bpe import MEMO, Encoder, encoder, read_ranks
 from lectern.llm.encode import VOCABULARY
 from lectern.llm.langid import Profiles, profiles_of, prose
 
@@ -121,7 +121,7 @@ def piece_counts(texts: DataFrame, keys: list[str], vocabulary: str = VOCABULARY
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary, tokens.value)
-        ids = set(enc.tokens)
+        ids, parts = set(enc.tokens), {}
         langs = Profiles(ranked.value) if ranked else None
         counts: dict[tuple, Counter] = {}
         arrow: list[pa.DataType] = []
@@ -130,12 +130,16 @@ def piece_counts(texts: DataFrame, keys: list[str], vocabulary: str = VOCABULARY
             for key, whole in counts.items():
                 count: Counter[bytes] = Counter()
                 entries = 0
+                if len(parts) > MEMO:
+                    parts.clear()
                 for text, n in whole.items():
-                    piece = text.encode("utf-8", "surrogatepass")
-                    if piece in ids:
+                    if (cut := parts.get(text)) is None:
+                        piece = text.encode("utf-8", "surrogatepass")
+                        cut = parts[text] = () if piece in ids else tuple(enc.cut(piece))
+                    if not cut:
                         entries += n
                         continue
-                    for part in enc.cut(piece) if len(piece) > 8 else (piece,):
+                    for part in cut:
                         if part in ids:
                             entries += n
                         else:
