@@ -91,8 +91,9 @@ def cut_off(values: DataFrame) -> DataFrame:
         F.col("after").startswith(F.col("stem")) & ((F.col("after") != F.col("stem")) | (F.col("value") != F.col("stem")))
     )
     short = rows.where(F.length("stem") < SHORT)
+    # A stem of just the prefixes' length is found among the long ones, or is equal to what it begins.
     heads = rows.select("slug", "field_name", head.alias("head")).distinct()
-    starts = heads.select("slug", "field_name", F.explode(F.expr(f"transform(sequence(1, length(head) - if(length(head) < {SHORT}, 1, 0)), n -> left(head, n))")).alias("stem"))
+    starts = heads.select("slug", "field_name", F.explode(F.expr(f"filter(transform(sequence(1, length(head)), n -> left(head, n)), x -> length(x) < {SHORT} and x <> head)")).alias("stem"))
     starts = starts.where("stem is not null").distinct()
     short = short.join(starts, ["slug", "field_name", "stem"], "left_semi")
     return long.select("slug", "field_name", "value").unionByName(short.select("slug", "field_name", "value")).distinct()
