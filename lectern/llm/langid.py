@@ -103,33 +103,74 @@ def _letters() -> np.ndarray:
     return _LETTER
 
 
-def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text index, packed n-gram) of all one- to three-character n-grams without inner blanks; letters of each text."""
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(letter codes with 0 for each run of other characters, text index of each, letters of each text)."""
     joined = "\n" + "\n".join(t.replace("\n", " ") for t in texts) + "\n"
     raw = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     owner = np.cumsum(raw == 10, dtype=np.int32) - 1
     raw = np.where(raw < 0x10000, raw, 0)
     code = _letters()[raw]
-    letters = np.bincount(owner, weights=np.where(code >= 0x2E80, 3, code > 0), minlength=len(texts) + 1)[: len(texts)]
+    full = code != 0
+    letters = np.bincount(owner[full], minlength=len(texts) + 1)
+    if (wide := code >= 0x2E80).any():
+        letters = letters + 2 * np.bincount(owner[wide], minlength=len(texts) + 1)
+    letters = letters[: len(texts)]
     # Names say little of the language: capitalised words go, unless they are most of the text.
-    word = np.cumsum(np.r_[True, (code[1:] != 0) & (code[:-1] == 0)], dtype=np.int32) - 1
-    start = np.r_[0, np.flatnonzero((code[1:] != 0) & (code[:-1] == 0)) + 1]
-    name = _UPPER[raw[start]][word] & (code != 0)
-    share = np.bincount(owner, weights=name, minlength=len(texts) + 1)[: len(texts) + 1] / np.maximum(1, np.r_[letters, 1])
-    code = np.where(name & (share[owner] < 0.6), 0, code)
-    keep = np.ones(len(code), dtype=bool)
-    keep[1:] = (code[1:] != 0) | (code[:-1] != 0)  # runs of other characters to one blank
+    begins = np.empty_like(full)
+    begins[0], begins[1:] = True, full[1:] & ~full[:-1]
+    start = np.flatnonzero(begins)
+    name = np.repeat(_UPPER[raw[start]], np.diff(np.r_[start, len(code)])) & full
+    share = np.bincount(owner[name], minlength=len(texts) + 1)[: len(texts) + 1] / np.maximum(1, np.r_[letters, 1])
+    full &= ~(name & (share < 0.6)[owner])
+    code = np.where(full, code, 0)
+    keep = np.empty_like(full)
+    keep[0], keep[1:] = True, full[1:] | full[:-1]  # runs of other characters to one blank
     keep[-1] = True
-    code, owner = code[keep].astype(np.int64), owner[keep]
+    return code[keep], owner[keep], letters
+
+
+def _orders(code: np.ndarray, owner: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(order, middle positions) of the n-grams without inner blanks, for any Chinese character (0) and orders 1 to 3."""
     c0, c1, c2 = code[:-2], code[1:-1], code[2:]
     inner = c1 != 0
-    two = inner & (c0 >= 0)
-    three = inner & ((c0 != 0) | (c2 != 0)) & (owner[:-2] == owner[2:])
-    at = owner[1:-1]
-    han = (c1 >= 0x4E00) & (c1 < 0xA000)
-    who = np.concatenate([at[inner], at[han], at[two], at[three]])
-    what = np.concatenate([c1[inner], np.full(int(han.sum()), _HAN), (c0[two] << 16 | c1[two]) | 1 << 48, (c0[three] << 32 | c1[three] << 16 | c2[three]) | 1 << 49])
-    return who, what, letters
+    one = np.flatnonzero(inner)
+    three = np.flatnonzero(inner & ((c0 != 0) | (c2 != 0)) & (owner[:-2] == owner[2:]))
+    return [(0, np.flatnonzero((c1 >= 0x4E00) & (c1 < 0xA000))), (1, one), (2, one), (3, three)]
+
+
+def _packed(code: np.ndarray, order: int, at: np.ndarray) -> np.ndarray:
+    """The n-grams at these positions as integers."""
+    if order == 0:
+        return np.full(len(at), _HAN)
+    c1 = code[at + 1].astype(np.int64)
+    if order == 1:
+        return c1
+    c0 = code[at].astype(np.int64)
+    return c0 << 16 | c1 | 1 << 48 if order == 2 else c0 << 32 | c1 << 16 | code[at + 2].astype(np.int64) | 1 << 49
+
+
+def _grams(texts: list[str]) -> np.ndarray:
+    """All packed n-grams of the texts."""
+    code, owner, _ = _codes(texts)
+    return np.concatenate([_packed(code, n, at) for n, at in _orders(code, owner)])
+
+
+#: Odd multipliers that spread the characters of n-grams over a hash table.
+_SPREAD = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
+_APART = [np.uint32(n * 0x27D4EB2F & 0xFFFFFFFF) for n in range(4)]
+
+
+def _hashed(code: np.ndarray, order: int) -> np.ndarray:
+    """A hash of the n-gram around each position."""
+    c0, c1, c2 = code[:-2], code[1:-1], code[2:]
+    if order == 0:
+        return np.zeros(len(c1), dtype=np.uint32)
+    h = c1 * _SPREAD[0] + _APART[order]
+    if order > 1:
+        h += c0 * _SPREAD[1]
+    if order > 2:
+        h += c2 * _SPREAD[2]
+    return h
 
 
 class Profiles:
@@ -145,19 +186,24 @@ class Profiles:
         for i, name in enumerate(self.names):
             for r, g in enumerate(ranked[name]):
                 self.rank[i, place[g]] = r
-        bits = 17
+        bits = 18
+        order = np.where(self.keys == _HAN, 0, np.where(self.keys >> 49 & 1, 3, np.where(self.keys >> 48 & 1, 2, 1)))
+        lo = self.keys & (1 << 48) - 1
+        c = np.stack([np.where(order == 3, lo >> 32, np.where(order == 2, lo >> 16, 0)), np.where(order == 3, lo >> 16, lo), np.where(order == 3, lo, 0)]) & 0xFFFF
+        slots = np.zeros(len(self.keys), dtype=np.int64)
         while True:
-            self.shift, slots = 64 - bits, self._slot(self.keys, 64 - bits)
+            self.shift = np.uint32(32 - bits)
+            for n in range(4):
+                three = np.ascontiguousarray(c[:, order == n].astype(np.uint32))
+                h = np.zeros(three.shape[1], dtype=np.uint32) if n == 0 else three[1] * _SPREAD[0] + _APART[n]
+                h = h + three[0] * _SPREAD[1] if n > 1 else h
+                slots[order == n] = (h + three[2] * _SPREAD[2] if n > 2 else h) >> self.shift
             if len(np.unique(slots)) == len(slots) or bits >= 24:
                 break
             bits += 1
-        self.table = np.zeros(1 << bits, dtype=np.int32)
+        self.table = np.full(1 << bits, -1, dtype=np.int16)
         self.table[slots] = np.arange(len(self.keys))
 
-    @staticmethod
-    def _slot(grams: np.ndarray, shift: int) -> np.ndarray:
-        return ((grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(shift)).astype(np.int64)
-
     def classify(self, texts: list[str]) -> list[tuple[str | None, float]]:
         """The nearest language and its margin over the next (0 to 1), or (None, 0.0) where nothing tells."""
         out: list[tuple[str | None, float]] = []
@@ -168,11 +214,17 @@ class Profiles:
     def _classify(self, texts: list[str]) -> list[tuple[str | None, float]]:
         if not self.names:
             return [(None, 0.0)] * len(texts)
-        who, what, letters = _grams(texts)
-        f = self.table[self._slot(what, self.shift)]
-        hit = self.keys[f] == what
+        code, owner, letters = _codes(texts)
+        wide = code.astype(np.uint32)
         n = len(self.keys)
-        count = np.bincount(who[hit].astype(np.int64) * n + f[hit], minlength=len(texts) * n)[: len(texts) * n].reshape(len(texts), n)
+        cells = []
+        for order, at in _orders(code, owner):
+            f = self.table[_hashed(wide, order) >> self.shift][at]
+            some = np.flatnonzero(f >= 0)
+            f, at = f[some].astype(np.int64), at[some]
+            real = self.keys[f] == _packed(code, order, at)
+            cells.append(owner[at[real] + 1].astype(np.int64) * n + f[real])
+        count = np.bincount(np.concatenate(cells), minlength=len(texts) * n)[: len(texts) * n].reshape(len(texts), n)
         order = count * n + np.arange(n - 1, -1, -1)  # frequent first, ties by key
         k = min(COMPARED, n)
         top = np.argpartition(order, n - k, axis=1)[:, n - k :] if k < n else np.broadcast_to(np.arange(n), order.shape).copy()
@@ -206,8 +258,7 @@ def fit(rows: list[tuple[str, str]]) -> Profiles:
                 by.setdefault(at, []).append(p)
         ranked = {}
         for code in sorted(by):
-            _, what, _ = _grams(by[code])
-            grams, n = np.unique(what, return_counts=True)
+            grams, n = np.unique(_grams(by[code]), return_counts=True)
             ranked[code] = grams[np.lexsort((grams, -n))][:PROFILE].tolist()
         model = Profiles(ranked)
     return model
