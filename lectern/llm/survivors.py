@@ -138,28 +138,39 @@ def infer(counts: DataFrame, copies: DataFrame, rounds: int = ROUNDS) -> DataFra
     return truth.drop("possible")
 
 
+def _key(value: Column) -> Column:
+    """A value that stands for itself if it is short, else its digest: texts are not shuffled where equality is enough."""
+    return F.when(F.length(value) <= 32, value).otherwise(F.concat(F.lit("#"), F.md5(value)))
+
+
 def _judged(page: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(claims with a value that may be true, all claims, posteriors)."""
-    rows = stage_table(claims(page), "page-claims")
-    stated = rows.where("value is not null")
-    values = stated.groupBy("slug", "field_name", "value").agg(F.count("*").alias("n"))
-    values = values.where(~says_nothing(F.col("value")))
-    cut = stage_table(cut_off(values.drop("n")), "page-cut")
-    keys = ["slug", "field_name", "value"]
-    open_ = stated.where(~says_nothing(F.col("value"))).join(cut, keys, "left_anti")
-    counts = stated.groupBy(*keys, "source").agg(F.count("*").alias("n"))
+    """(claims that may be true, all claims with their texts, posteriors by key)."""
+    rows = claims(page).withColumn("key", _key(F.col("value"))).withColumn("nothing", says_nothing(F.col("value")))
+    rows = stage_table(rows, "page-claims")
+    bare = rows.drop("value")
+    stated = bare.where("key is not null")
+    keys = ["slug", "field_name", "key"]
+    # Only fields with several values can hold a beginning of another.
+    several = stated.where("not nothing").groupBy("slug", "field_name").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b")
+    texts = rows.where("key is not null and not nothing").select("slug", "field_name", "value")
+    texts = texts.join(several.select("slug", "field_name"), ["slug", "field_name"], "left_semi").distinct()
+    cut = cut_off(texts).select("slug", "field_name", _key(F.col("value")).alias("key"))
+    cut = stage_table(cut, "page-cut")
+    open_ = stated.where("not nothing").join(cut, keys, "left_anti")
+    counts = stated.groupBy(*keys, "source").agg(F.count("*").alias("n"), F.max("nothing").alias("nothing"))
     counts = counts.join(cut.withColumn("cut", F.lit(True)), keys, "left")
-    counts = counts.withColumn("possible", F.when(F.col("cut") | says_nothing(F.col("value")), 0).otherwise(1)).drop("cut")
-    lists = list_claims(page).groupBy(*keys, "source").agg(F.count("*").alias("n")).withColumn("possible", F.lit(1))
-    counts = stage_table(counts.unionByName(lists), "page-counts")
-    copies = rows.where(F.col("field_name") == FRONT[0]).groupBy("slug", "source").agg(F.count("*").alias("copies"))
-    return open_, rows, infer(counts, stage_table(copies, "page-copies"))
+    counts = counts.withColumn("possible", F.when(F.col("cut") | F.col("nothing"), 0).otherwise(1)).drop("cut", "nothing")
+    lists = list_claims(page).withColumnRenamed("value", "key").groupBy(*keys, "source").agg(F.count("*").alias("n")).withColumn("possible", F.lit(1))
+    counts = stage_table(counts.unionByName(lists).withColumnRenamed("key", "value"), "page-counts")
+    copies = bare.where(F.col("field_name") == FRONT[0]).groupBy("slug", "source").agg(F.count("*").alias("copies"))
+    return open_, rows, infer(counts, stage_table(copies, "page-copies")).withColumnRenamed("value", "key")
 
 
 def _winners(open_: DataFrame, truth: DataFrame) -> DataFrame:
-    rows = open_.join(truth, ["slug", "field_name", "value"])
-    best = F.max(F.struct("updated", F.round("truth", 6).alias("truth"), "landed_at", (-F.col("page_row_id")).alias("first"), "value"))
-    return rows.groupBy("slug", "field_name").agg(best.alias("best")).select("slug", "field_name", (-F.col("best.first")).alias("page_row_id"), F.col("best.value").alias("value"))
+    """``slug, field_name, page_row_id`` of the surviving values."""
+    rows = open_.join(truth, ["slug", "field_name", "key"])
+    best = F.max(F.struct("updated", F.round("truth", 6).alias("truth"), "landed_at", (-F.col("page_row_id")).alias("first")))
+    return rows.groupBy("slug", "field_name").agg(best.alias("best")).select("slug", "field_name", (-F.col("best.first")).alias("page_row_id"))
 
 
 def surviving_values(page: DataFrame) -> DataFrame:
@@ -170,19 +181,20 @@ def surviving_values(page: DataFrame) -> DataFrame:
     by the later landing, then by the smaller id.
     """
     open_, rows, truth = _judged(page)
-    differ = rows.groupBy("slug", "field_name").agg(F.min("value").alias("a"), F.max("value").alias("b"), F.count("value").alias("n"), F.count("*").alias("all"))
+    differ = rows.groupBy("slug", "field_name").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.count("key").alias("n"), F.count("*").alias("all"))
     differ = differ.where("n > 0 and (a <> b or n < all)").select("slug", "field_name")
-    return _winners(open_, truth).join(differ, ["slug", "field_name"]).select("slug", "field_name", "page_row_id")
+    return _winners(open_, truth).join(differ, ["slug", "field_name"])
 
 
 def surviving_pages(page: DataFrame) -> DataFrame:
     """One page per slug: its single-valued fields, and as lists the tags and sources judged true (the likeliest if none is)."""
-    open_, _, truth = _judged(page)
-    single = _winners(open_, truth).groupBy("slug").pivot("field_name", [*FRONT, *SECTIONS]).agg(F.first("value"))
+    open_, rows, truth = _judged(page)
+    won = _winners(open_, truth).join(rows.select("slug", "field_name", "page_row_id", "value"), ["slug", "field_name", "page_row_id"])
+    single = won.groupBy("slug").pivot("field_name", [*FRONT, *SECTIONS]).agg(F.min("value"))
     for c in SECTIONS:
         single = single.withColumnRenamed(c, c.lower().replace(" ", "_"))
     lists = truth.where(F.col("field_name").isin(*LISTS))
     top = lists.groupBy("slug", "field_name").agg(F.max("truth").alias("top"))
     kept = lists.join(top, ["slug", "field_name"]).where("truth >= 0.5 or truth = top")
-    kept = kept.groupBy("slug").pivot("field_name", list(LISTS)).agg(F.array_join(F.array_sort(F.collect_list("value")), "; "))
+    kept = kept.groupBy("slug").pivot("field_name", list(LISTS)).agg(F.array_join(F.array_sort(F.collect_list("key")), "; "))
     return page.where("slug is not null").select("slug").distinct().join(single, "slug", "left").join(kept, "slug", "left")
