@@ -157,7 +157,7 @@ def piece_counts(texts: DataFrame, keys: list[str], vocabulary: str = VOCABULARY
                 columns = [part.column(i).to_pylist() for i in range(len(keys))]
                 texts_ = part.column(len(keys)).to_pylist()
                 if langs:
-                    columns.append([code or "" for code, _ in langs.classify([prose(t) if t else "" for t in texts_])])
+                    columns.append([code or "" for code, _ in langs.classify([(t if t.isascii() else prose(t)) if t else "" for t in texts_])])
                 for *key, text in zip(*columns, texts_):
                     if text:
                         counts.setdefault(tuple(key), Counter()).update(enc.split(text))
