@@ -24,8 +24,8 @@ PROFILE, COMPARED = 300, 60
 LEAST_LETTERS = 18
 #: The share by which the second best language must be farther.
 LEAST_MARGIN = 0.05
-#: A paragraph with fewer letters than the first, unlike the rest of its text, needs the second as its margin.
-SHORT, SHORT_MARGIN = 140, 0.3
+#: Paragraphs with fewer characters than the first, unlike the rest of their text, need the second as their margin.
+SHORT = ((100, 0.45), (140, 0.3))
 
 #: The writings of each language's label, lower case, up to the first hyphen or underscore.
 LABELS = {
@@ -50,8 +50,8 @@ _SKIP = re.compile(
     r"|第[一二三四五六七八九十百零〇\d]+[章节篇部].{0,40}|(?:source|author|kind|title|type|updated|date|tags|isbn)[ \t]*:.*|[-*_=|: \t]{3,})$",
     re.I | re.M,
 )
-_HIDDEN_MAIL = re.compile(r"\S+ ?[\[(]?\bat\b[\])]? ?\S+ ?[\[(]?\bdot\b[\])]? ?\w+", re.I)
-_ANCHOR = re.compile(r"\[+raw/[^\]\n]*\]+|\[\[[^\]\n]*\]\]|<!--.*?-->|https?://\S+|\S+@\S+")
+_HIDDEN_MAIL = re.compile(r"[\w.+-]+ ?(?:[\[(]at[\])] ?[\w.-]+|\bat\b ?[\w-]+ ?\bdot\b)(?: ?[\[(]?\bdot\b[\])]? ?[\w-]+| ?[\w-]+)*?(?=[^\w ]|$| [^\[(])", re.I | re.A)
+_ANCHOR = re.compile(r"\[+raw/[^\]\n]*\]+|\[\[[^\]\n]*\]\]|<!--.*?-->|https?://[!-~]+|[\w.+-]+@[\w-]+(?:\.[\w-]+)*", re.A)
 _QUOTED = re.compile(r"“[^”]{25,}”|„[^“”]{25,}[“”]|«[^»]{25,}»|(?<!\S)»(?=\S)[^«»]{25,}(?<=\S)«|「[^」]{8,}」|『[^』]{8,}』|\"[^\"\n]{25,}\"|“[^”]{8,}”(?<=[一-鿿。！？]”)|‘[^’]{40,}’")
 _BULLET = re.compile(r"\n(?=[ \t]*(?:[-*•][ \t]|\d{1,3}[.)][ \t]|[QA]:[ \t]))")
 _BLANK = re.compile(r"\n[ \t\r\f\v 　]*\n")
@@ -71,7 +71,7 @@ def paragraphs(text: str) -> list[str]:
             p = _LEAD.sub("", p.strip())
             if "[" in p or "<" in p or "@" in p or "/" in p:
                 p = _ANCHOR.sub(" ", p)
-            if "dot" in p or "DOT" in p:
+            if "dot" in p or "DOT" in p or "at)" in p or "at]" in p:
                 p = _HIDDEN_MAIL.sub(" ", p)
             rest = _QUOTED.sub(" ", p)
             if len(rest) * 4 > len(p):
@@ -305,7 +305,8 @@ def texts_languages(texts: list[str | None], model: Profiles) -> list[tuple[list
         at += len(ps)
         main = main_language(found, ps)[0]
         for i, (code, sure) in enumerate(found):
-            if code != main and sure < SHORT_MARGIN and len(ps[i]) * (3 if code == "zh" else 1) < SHORT:
+            size = len(ps[i]) * (3 if code == "zh" else 1)
+            if code != main and any(size < n and sure < least for n, least in SHORT):
                 found[i] = (None, 0.0)
         out.append((ps, found))
     return out
