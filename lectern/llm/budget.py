@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +21,8 @@ from lectern.llm.bpe import MEMO, Encoder, encoder, read_ranks
 from lectern.llm.encode import VOCABULARY
 from lectern.llm.langid import Profiles, profiles_of, prose
 
-#: Distinct (slice, piece) pairs that a task counts before it hands them on.
-HELD = 500_000
+#: Pre-tokens that a task holds before it counts them and hands the counts on.
+HELD = 3_000_000
 
 
 class TrieWalk:
@@ -106,6 +107,31 @@ class TrieWalk:
         return self.states[-1][1]
 
 
+class _Pieces(dict):
+    """Numbers of pre-tokens in the order in which they are met; how many entries each holds, and its other parts."""
+
+    def __init__(self, enc: Encoder):
+        super().__init__()
+        self.enc, self.ids = enc, set(enc.tokens)
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.entries: list[int] = []
+        self.others: list[bool] = []
+        self.parts: list[tuple[bytes, ...]] = []
+
+    def __missing__(self, text: str) -> int:
+        piece = text.encode("utf-8", "surrogatepass")
+        cut = (piece,) if piece in self.ids or text.isascii() else self.enc.cut(piece)
+        rest = tuple([p for p in cut if p not in self.ids])
+        self.entries.append(len(cut) - len(rest))
+        self.others.append(bool(rest))
+        self.parts.append(rest)
+        self[text] = n = len(self.parts) - 1
+        return n
+
+
 def piece_counts(texts: DataFrame, keys: list[str], vocabulary: str = VOCABULARY, model: Profiles | None = None) -> DataFrame:
     """``*keys, [language,] piece, n`` of the columns ``*keys, text``, summed within each task.
 
@@ -121,34 +147,32 @@ def piece_counts(texts: DataFrame, keys: list[str], vocabulary: str = VOCABULARY
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary, tokens.value)
-        ids, parts = set(enc.tokens), {}
         langs = Profiles(ranked.value) if ranked else None
-        counts: dict[tuple, Counter] = {}
+        pieces = _Pieces(enc)
+        slices: dict[tuple, int] = {}
+        held: list[np.ndarray] = []
+        size = 0
         arrow: list[pa.DataType] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for key, whole in counts.items():
-                count: Counter[bytes] = Counter()
-                entries = 0
-                if len(parts) > MEMO:
-                    parts.clear()
-                for text, n in whole.items():
-                    if (cut := parts.get(text)) is None:
-                        piece = text.encode("utf-8", "surrogatepass")
-                        cut = parts[text] = () if piece in ids else tuple(enc.cut(piece))
-                    if not cut:
-                        entries += n
-                        continue
-                    for part in cut:
-                        if part in ids:
-                            entries += n
-                        else:
-                            count[part] += n
-                if entries:
-                    count[b""] = entries
-                cols = [pa.array([v] * len(count), t) for v, t in zip(key, arrow)]
+            keys = list(slices)
+            pair, n = np.unique(np.concatenate(held) if held else np.zeros(0, dtype=np.int64), return_counts=True)
+            owner, piece = pair >> 32, pair & 0xFFFFFFFF
+            whole = np.bincount(owner, weights=n * np.array(pieces.entries, dtype=np.int64)[piece], minlength=len(keys))
+            some = np.flatnonzero(np.array(pieces.others, dtype=bool)[piece]) if len(pair) else []
+            counts: dict[int, Counter] = {k: Counter({b"": int(x)}) for k, x in enumerate(whole) if x}
+            parts = pieces.parts
+            for k, p, m in zip(owner[some].tolist(), piece[some].tolist(), n[some].tolist()):
+                count = counts.setdefault(k, Counter())
+                for part in parts[p]:
+                    count[part] += m
+            for k, count in counts.items():
+                cols = [pa.array([v] * len(count), t) for v, t in zip(keys[k], arrow)]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(list(count), pa.binary()), pa.array(list(count.values()), pa.int64())], names=[*names, "piece", "n"])
-            counts.clear()
+            held.clear()
+            slices.clear()
+            if len(pieces) > MEMO:
+                pieces.forget()
 
         for b in batches:
             arrow = [b.column(i).type for i in range(len(keys))] + ([pa.string()] if langs else [])
@@ -160,11 +184,13 @@ def piece_counts(texts: DataFrame, keys: list[str], vocabulary: str = VOCABULARY
                     columns.append([code or "" for code, _ in langs.classify([(t if t.isascii() else prose(t)) if t else "" for t in texts_])])
                 for *key, text in zip(*columns, texts_):
                     if text:
-                        counts.setdefault(tuple(key), Counter()).update(enc.split(text))
-                    else:
-                        counts.setdefault(tuple(key), Counter())
-                if sum(map(len, counts.values())) > HELD:
+                        own = slices.setdefault(tuple(key), len(slices))
+                        cut = enc.split(text)
+                        held.append(np.fromiter(map(pieces.__getitem__, cut), dtype=np.int64, count=len(cut)) | own << 32)
+                        size += len(cut)
+                if size > HELD:
                     yield from flush()
+                    size = 0
         yield from flush()
 
     schema = ", ".join(f"{k} {types[k]}" for k in names) + ", piece binary, n bigint"
