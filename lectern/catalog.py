@@ -113,7 +113,7 @@ QUERIES = {
     "c1_extract": _extracted,
     "c6_slug_ids": lambda s, d: read(s, d, "candidate").select("candidate_id", t.slug_id(F.col("title")).alias("slug_id")),
     "c7_provenance": lambda s, d: read(s, d, "fact").select("fact_id", t.normal_provenance(F.col("provenance"), F.lit("raw/books/history/the-paernon-studies.pdf")).alias("provenance")),
-    "c9_merge_candidates": lambda s, d: merge.merge_candidates(read(s, d, "candidate")).drop("tags"),
+    "c9_merge_candidates": lambda s, d: merge.merge_candidates(read(s, d, "candidate")),
     "c11_source_pages": lambda s, d: merge.source_pages(read(s, d, "candidate"), read(s, d, "md_doc")),
     # rendering, parsing
     "r4_rendered": _md,
@@ -138,11 +138,16 @@ QUERIES = {
     "f3_same_title": lambda s, d: collide.same_title(_named(s, d)),
     "f4_shared_names": lambda s, d: collide.shared_names(read(s, d, "wiki_index")),
     "f6_near_slugs": lambda s, d: collide.near_duplicate_slugs(_named(s, d)),
+    "f7_report": lambda s, d: collide.top_conflicts(collide.same_title(_named(s, d).unionByName(read(s, d, "candidate").select("id", "title").toDF("slug", "title").where("slug is not null"))), "title"),
     "f9_dangling": lambda s, d: links.dangling(read(s, d, "link"), _wiki(s, d), read(s, d, "wiki_index")),
     "f10_index_drift": lambda s, d: links.index_drift(_wiki(s, d), read(s, d, "wiki_index")),
     "x_unlinked_pages": lambda s, d: links.unlinked_pages(read(s, d, "link"), _wiki(s, d)),
     # merge and repair
-    "m4_frontmatter": lambda s, d: merge.merged_frontmatter(read(s, d, "page")).drop("sources", "tags"),
+    "m4_frontmatter": lambda s, d: merge.merged_frontmatter(read(s, d, "page")),
+    "m2_lists": lambda s, d: merge.merged_lists(read(s, d, "page")),
+    "m5_claim_keys": lambda s, d: read(s, d, "fact").select("fact_id", merge.claim_key(F.concat(F.lit("- "), "claim", F.lit(" "), F.coalesce("provenance", F.lit("")))).alias("claim_key")),
+    "m8_provenance": lambda s, d: merge.provenance_lines(read(s, d, "page")),
+    "m12_fields": lambda s, d: _md(s, d).select("slug", F.explode(merge.allowed_fields(pages.front_keys(F.col("md")), pages.front_value(F.col("md"), "type"))).alias("field")),
     "m6_sections": lambda s, d: merge.merged_sections(read(s, d, "page")),
     "m7_related": lambda s, d: merge.related_links(read(s, d, "link")),
     "m10_land": lambda s, d: merge.land(read(s, d, "candidate").where("id is not null").select("page_type", F.col("id").alias("slug")), read(s, d, "page").select("page_type", "slug")),
@@ -153,6 +158,7 @@ QUERIES = {
     "m16_paths": lambda s, d: repair.resolve_paths(_refs(s, d).select(F.regexp_extract("ref", r"(raw/[^#\]]+?)\s*#", 1).alias("path")).where("path <> ''"), _files(s, d)),
     "m17_repaired": lambda s, d: repair.repair_totals(repair.repaired_anchors(_refs(s, d), _files(s, d))),
     # queries
+    "q3_bullets": lambda s, d: pages.landed(read(s, d, "page")).select("slug", F.posexplode(pages.bullets(pages.section("Inferences"))).alias("ord", "line")),
     "q4_list": lambda s, d: search.list_pages(_wiki(s, d), "topic").select("slug", "title"),
     "q5_find": lambda s, d: search.find_pages(_queries_of(s, d), _wiki(s, d), read(s, d, "wiki_index")),
     "q7_search": lambda s, d: search.search(_wiki(s, d), "survey map"),
@@ -161,6 +167,7 @@ QUERIES = {
     "q9_neighbors": lambda s, d: links.neighbors(_graph(s, d), _seeds(s, d), 2),
     "q10_provenance": lambda s, d: links.provenance_of(_md(s, d)),
     # indexes, runs
+    "k3_summaries": lambda s, d: pages.landed(read(s, d, "page")).select("slug", t.one_line(pages.section("Summary"), 90).alias("line")),
     "k4_agents_index": lambda s, d: runs.agents_index(_wiki(s, d), read(s, d, "link")),
     "k4_by_alias": lambda s, d: runs.by_alias(read(s, d, "wiki_index")),
     "k4_by_tag": lambda s, d: runs.by_tag(_wiki(s, d)),

@@ -210,10 +210,11 @@ SQL = {
         a AS (SELECT DISTINCT {_squeeze('x')} AS k, id AS e FROM (SELECT id, unnest(aliases) AS x FROM wiki_index)), ca AS (SELECT DISTINCT candidate_id, {_squeeze('x')} AS k FROM (SELECT candidate_id, unnest(aliases) AS x FROM c)),
         h AS (SELECT candidate_id, w.id AS e, 0 AS rank FROM c JOIN wiki_index w ON w.id = c.id UNION ALL SELECT candidate_id, e, 1 FROM c JOIN t ON t.k = c.title UNION ALL SELECT candidate_id, e, 2 FROM ca JOIN a ON a.k = ca.k UNION ALL SELECT candidate_id, e, 2 FROM c JOIN a ON a.k = c.title),
         b AS (SELECT candidate_id, e, min(rank) AS rank FROM h GROUP BY 1, 2)
-        SELECT candidate_id, CASE min(rank) WHEN 0 THEN 'id' WHEN 1 THEN 'title' ELSE 'alias' END AS reason, count(*) AS hits, string_agg(e, '; ' ORDER BY rank, e) AS entries FROM b GROUP BY candidate_id""",
-    "f3_same_title": f"WITH {_NAMED} SELECT {_squeeze('title')} AS title, count(DISTINCT slug) AS n, string_agg(DISTINCT slug, '; ' ORDER BY slug) AS slugs FROM named GROUP BY 1 HAVING count(DISTINCT slug) > 1",
+        SELECT candidate_id, CASE min(rank) WHEN 0 THEN 'id' WHEN 1 THEN 'title' ELSE 'alias' END AS reason, count(*) AS hits, arg_min(e, (rank, e)) AS entry_id FROM b GROUP BY candidate_id""",
+    "f3_same_title": f"WITH {_NAMED}, g AS (SELECT DISTINCT {_squeeze('title')} AS title, slug FROM named) SELECT title, n, slug FROM (SELECT *, count(*) OVER (PARTITION BY title) AS n FROM g) WHERE n > 1",
     "f4_shared_names": f"SELECT {_squeeze('x')} AS name, count(DISTINCT id) AS owners FROM (SELECT id, title AS x FROM wiki_index UNION ALL SELECT id, unnest(aliases) FROM wiki_index) GROUP BY 1 HAVING count(DISTINCT id) > 1",
-    "f6_near_slugs": f"WITH {_NAMED} SELECT {_slug_key('slug')} AS slug_key, count(DISTINCT slug) AS n, string_agg(DISTINCT slug, '; ' ORDER BY slug) AS slugs FROM named GROUP BY 1 HAVING count(DISTINCT slug) > 1",
+    "f6_near_slugs": f"WITH {_NAMED}, g AS (SELECT DISTINCT {_slug_key('slug')} AS slug_key, slug FROM named) SELECT slug_key, n, slug FROM (SELECT *, count(*) OVER (PARTITION BY slug_key) AS n FROM g) WHERE n > 1",
+    "f7_report": f"WITH {_NAMED}, u AS (SELECT * FROM named UNION ALL SELECT id, title FROM candidate WHERE id IS NOT NULL), g AS (SELECT DISTINCT {_squeeze('title')} AS title, slug FROM u WHERE title IS NOT NULL) SELECT title, count(*) AS n FROM g GROUP BY title HAVING count(*) > 1 ORDER BY title LIMIT 60",
     "f9_dangling": f"WITH {_WITH_ALIAS} SELECT link_id, src_slug, target FROM res WHERE slug IS NULL",
     "f10_index_drift": f"""WITH {_WIKI}, a AS (SELECT DISTINCT {_squeeze('title')} AS title FROM wiki), b AS (SELECT DISTINCT {_squeeze('title')} AS title FROM wiki_index)
         SELECT title, 'pages' AS side FROM a WHERE title NOT IN (SELECT title FROM b) UNION ALL SELECT title, 'index' FROM b WHERE title NOT IN (SELECT title FROM a)""",
@@ -248,8 +249,14 @@ SQL = {
     "k4_agents_index": f"""WITH {_WIKI}, r AS (SELECT src_slug, count(DISTINCT (bucket, target)) AS n FROM link WHERE origin = 'frontmatter' AND bucket IS NOT NULL AND target IS NOT NULL GROUP BY 1)
         SELECT slug, title, type, path, summary, CAST(len(facts) AS BIGINT) AS fact_count, CAST(len(tags) AS BIGINT) AS tag_count, coalesce(n, 0) AS related_count FROM wiki LEFT JOIN r ON r.src_slug = wiki.slug""",
     "k4_by_alias": f"SELECT {_squeeze('a')} AS alias, max(id) AS slug FROM (SELECT id, unnest(aliases) AS a FROM wiki_index) GROUP BY 1",
-    "k4_by_tag": f"WITH {_WIKI}, t AS (SELECT DISTINCT unnest(tags) AS tag, slug FROM wiki) SELECT tag, count(*) AS pages, string_agg(slug, '; ' ORDER BY slug) AS slugs FROM t GROUP BY tag",
-    "k5_human_index": f"""WITH {_WIKI} SELECT type, string_agg('- [[' || title || ']]' || CASE WHEN summary <> '' THEN ' — ' || summary ELSE '' END, chr(10) ORDER BY lower(title), slug) AS text FROM wiki GROUP BY type""",
+    "k3_summaries": f"WITH {_LANDED}, s AS (SELECT slug, {_FIRST.format(b=_body('Summary'))} AS s FROM landed) SELECT slug, CASE WHEN length(s) > 90 THEN substr(s, 1, 87) || '...' ELSE s END AS line FROM s",
+    "k4_by_tag": f"WITH {_WIKI} SELECT DISTINCT unnest(tags) AS tag, slug FROM wiki",
+    "k5_human_index": f"""WITH {_WIKI} SELECT type, slug, '- [[' || title || ']]' || CASE WHEN summary <> '' THEN ' — ' || summary ELSE '' END AS line FROM wiki""",
+    "q3_bullets": f"WITH {_LANDED}, b AS (SELECT slug, {_bullets(_body('Inferences'))} AS x FROM landed) SELECT slug, CAST(ord - 1 AS INTEGER) AS ord, line FROM (SELECT slug, unnest(x) AS line, generate_subscripts(x, 1) AS ord FROM b)",
+    "m2_lists": """WITH r AS (SELECT slug, landed_at, page_row_id, 'sources' AS field, CAST(json_extract(frontmatter, '$.sources') AS VARCHAR[]) AS v FROM page WHERE slug IS NOT NULL UNION ALL SELECT slug, landed_at, page_row_id, 'tags', CAST(json_extract(frontmatter, '$.tags') AS VARCHAR[]) FROM page WHERE slug IS NOT NULL
+        UNION ALL SELECT slug, landed_at, page_row_id, 'aliases', CAST(json_extract(frontmatter, '$.aliases') AS VARCHAR[]) FROM page WHERE slug IS NOT NULL), u AS (SELECT slug, field, landed_at, page_row_id, unnest(v) AS value, generate_subscripts(v, 1) AS pos FROM r),
+        f AS (SELECT slug, field, value, min((landed_at, page_row_id, pos)) AS w FROM u WHERE value IS NOT NULL GROUP BY 1, 2, 3) SELECT slug, field, CAST(row_number() OVER (PARTITION BY slug, field ORDER BY w, value) - 1 AS INTEGER) AS ord, value FROM f""",
+    "m5_claim_keys": r"""WITH c AS (SELECT fact_id, regexp_replace('- ' || claim || ' ' || coalesce(provenance, ''), '^\s*-\s*', '') AS b FROM fact) SELECT fact_id, lower(regexp_replace(CASE WHEN regexp_matches(b, '\]\s*$') THEN regexp_replace(b, '(?s)\[raw/.*$', '') ELSE b END, '^[\s\x{a0}]+|[\s\x{a0}]+$', '', 'g')) AS claim_key FROM c""",
     "k6_batch_report": f"""WITH {_LAST_RUNS}, d AS (SELECT *, CASE WHEN regexp_extract(source_path, '^raw/books/([^/]+)/', 1) = '' THEN 'uncategorized' ELSE regexp_extract(source_path, '^raw/books/([^/]+)/', 1) END AS discipline, coalesce(status = 'ok', false) AS good FROM runs)
         SELECT discipline, count(*) AS books, CAST(sum(CASE WHEN good THEN 1 ELSE 0 END) AS BIGINT) AS ok, CAST(sum(CASE WHEN good THEN 0 ELSE 1 END) AS BIGINT) AS failed, CAST(sum(CASE WHEN good AND coalesce(validation_errors, 0) = 0 THEN 1 ELSE 0 END) AS BIGINT) AS clean,
         CAST(sum(coalesce(chunk_count, 0)) AS BIGINT) AS chunks, CAST(sum(coalesce(candidate_count, 0)) AS BIGINT) AS candidates, CAST(sum(coalesce(validation_errors, 0)) AS BIGINT) AS violations FROM d GROUP BY discipline""",

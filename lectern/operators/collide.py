@@ -32,16 +32,21 @@ def collisions(candidate: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def collision_reports(candidate: DataFrame, index: DataFrame) -> DataFrame:
-    """``candidate_id, reason, hits, entries``: one row per candidate with its first reason and all entries in order."""
-    hits = F.array_sort(F.collect_list(F.struct("rank", "entry_id")))
-    per = collisions(candidate, index).groupBy("candidate_id").agg(F.min(F.struct("rank", "reason")).alias("why"), hits.alias("all"))
-    return per.select("candidate_id", F.col("why.reason").alias("reason"), F.size("all").cast("bigint").alias("hits"), F.array_join(F.transform("all", lambda x: x["entry_id"]), "; ").alias("entries"))
+    """``candidate_id, reason, hits, entry_id``: one row per candidate with its first reason, how many entries it hits, and the first."""
+    per = collisions(candidate, index).groupBy("candidate_id").agg(F.min(F.struct("rank", "entry_id", "reason")).alias("why"), F.count("*").alias("hits"))
+    return per.select("candidate_id", F.col("why.reason").alias("reason"), "hits", F.col("why.entry_id").alias("entry_id"))
+
+
+def _groups(rows: DataFrame, key: str) -> DataFrame:
+    """``key, n, slug``: the members of groups of several slugs. Groups are counted first and joined back, however large."""
+    rows = rows.select(key, "slug").where(f"{key} is not null").distinct()
+    many = rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    return rows.join(many, key).select(key, "n", "slug")
 
 
 def same_title(pages: DataFrame) -> DataFrame:
-    """``title, n, slugs`` of titles that several pages have, letter case and white space aside; ``pages`` has ``slug, title``."""
-    per = pages.where("title is not null").groupBy(squeeze(F.col("title")).alias("title")).agg(F.countDistinct("slug").alias("n"), F.array_sort(F.collect_set("slug")).alias("slugs"))
-    return per.where("n > 1").select("title", "n", F.array_join("slugs", "; ").alias("slugs"))
+    """``title, n, slug`` of the pages whose title others have, letter case and white space aside; ``pages`` has ``slug, title``."""
+    return _groups(pages.select(squeeze(F.col("title")).alias("title"), "slug"), "title")
 
 
 def shared_names(index: DataFrame) -> DataFrame:
@@ -51,11 +56,10 @@ def shared_names(index: DataFrame) -> DataFrame:
 
 
 def near_duplicate_slugs(pages: DataFrame) -> DataFrame:
-    """``slug_key, n, slugs`` of slugs that differ by articles, brackets and repeated hyphens only."""
-    per = pages.select("slug", slug_key(F.col("slug")).alias("slug_key")).groupBy("slug_key").agg(F.countDistinct("slug").alias("n"), F.array_sort(F.collect_set("slug")).alias("slugs"))
-    return per.where("n > 1").select("slug_key", "n", F.array_join("slugs", "; ").alias("slugs"))
+    """``slug_key, n, slug`` of slugs that differ from others by articles, brackets and repeated hyphens only."""
+    return _groups(pages.select(slug_key(F.col("slug")).alias("slug_key"), "slug"), "slug_key")
 
 
 def top_conflicts(groups: DataFrame, key: str, most: int = 60) -> DataFrame:
     """The report's first groups of a class, in order of their key."""
-    return groups.orderBy(key).limit(most)
+    return groups.select(key, "n").distinct().orderBy(key).limit(most)

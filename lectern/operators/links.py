@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import text as t
@@ -63,12 +63,14 @@ def neighbors(graph: DataFrame, seeds: DataFrame, depth: int = 2) -> DataFrame:
 
 def outbound(md: DataFrame, link: DataFrame) -> DataFrame:
     """``slug, ord, target``: front matter links in their order, then the body's wiki links, each target once."""
-    front = link.where("origin = 'frontmatter' and target is not null").groupBy(F.col("src_slug").alias("slug")).agg(F.array_sort(F.collect_list(F.struct("bucket", "ord", "link_id", "target"))).alias("front"))
-    body = F.filter(F.transform(F.regexp_extract_all(body_text(F.col("md")), F.lit(t.WIKILINK), F.lit(1)), lambda x: t.strip(F.regexp_replace(x, r"\|.*$", ""))), lambda x: x != "")
-    none = F.array().cast("array<string>")
-    rows = md.select("slug", body.alias("body")).join(front, "slug", "left")
-    targets = F.array_distinct(F.concat(F.coalesce(F.transform("front", lambda f: f["target"]), none), "body"))
-    return rows.select("slug", F.posexplode(targets).alias("ord", "target"))
+    front = link.where("origin = 'frontmatter' and target is not null").select(F.col("src_slug").alias("slug"), F.struct(F.lit(0).alias("part"), "bucket", "ord", "link_id").alias("at"), "target")
+    front = front.join(md.select("slug"), "slug", "left_semi")
+    found = F.transform(F.regexp_extract_all(body_text(F.col("md")), F.lit(t.WIKILINK), F.lit(1)), lambda x: t.strip(F.regexp_replace(x, r"\|.*$", "")))
+    body = md.select("slug", F.posexplode(found).alias("n", "target")).where("target <> ''")
+    body = body.select("slug", F.struct(F.lit(1).alias("part"), F.lit(None).cast("string").alias("bucket"), F.col("n").alias("ord"), F.lit(None).cast("bigint").alias("link_id")).alias("at"), "target")
+    first = front.unionByName(body).groupBy("slug", "target").agg(F.min("at").alias("at"))
+    order = F.row_number().over(Window.partitionBy("slug").orderBy("at"))
+    return first.select("slug", (order - 1).alias("ord"), "target")
 
 
 def provenance_of(md: DataFrame) -> DataFrame:

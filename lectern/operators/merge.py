@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.names import link_target, squeeze
@@ -34,12 +34,13 @@ def claim_key(line: Column) -> Column:
 def merge_bullets(rows: DataFrame) -> DataFrame:
     """``slug, section, ord, line``: of ``slug, section, side, ord, line`` the first line of each claim, in the order of the sides.
 
-    A claim counts once per section however many copies state it; claims are reduced before they are ordered.
+    A claim counts once per section however many copies state it; claims are reduced before they are numbered, and
+    numbering streams through a sorted partition.
     """
     key = claim_key(F.col("line"))
     first = rows.groupBy("slug", "section", key.alias("key")).agg(F.min(F.struct("side", "ord", "line")).alias("f"))
-    lists = first.groupBy("slug", "section").agg(F.array_sort(F.collect_list("f")).alias("all"))
-    return lists.select("slug", "section", F.posexplode("all").alias("ord", "f")).select("slug", "section", "ord", F.col("f.line").alias("line"))
+    order = F.row_number().over(Window.partitionBy("slug", "section").orderBy("f"))
+    return first.select("slug", "section", (order - 1).alias("ord"), F.col("f.line").alias("line"))
 
 
 def merged_sections(page: DataFrame) -> DataFrame:
@@ -52,22 +53,33 @@ def merged_sections(page: DataFrame) -> DataFrame:
 
 
 def merged_frontmatter(page: DataFrame) -> DataFrame:
-    """``slug, title, created, updated, sources, tags``: scalars of the first landed copy that has them, lists united in order of landing, the last update."""
+    """``slug, title, created, updated``: of the copies of each slug the first landed title and creation date, and the last update."""
     get = lambda k: F.get_json_object("frontmatter", f"$.{k}")
     when = F.struct("landed_at", "page_row_id")
     scalar = lambda k: F.min_by(get(k), F.when(get(k).isNotNull(), when)).alias(k)
-    listed = lambda k: F.array_join(F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(when.alias("w"), F.coalesce(F.from_json(get(k), "array<string>"), F.array().cast("array<string>")).alias("v")))), lambda x: x["v"]))), "; ").alias(k)
     iso = F.when(get("updated").rlike(r"^\d{4}-\d{2}-\d{2}$"), get("updated"))
-    return page.where("slug is not null").groupBy("slug").agg(scalar("title"), scalar("created"), F.max(iso).alias("updated"), listed("sources"), listed("tags"))
+    return page.where("slug is not null").groupBy("slug").agg(scalar("title"), scalar("created"), F.max(iso).alias("updated"))
+
+
+def merged_lists(page: DataFrame) -> DataFrame:
+    """``slug, field, ord, value``: the union of the copies' sources, tags and aliases, each value where it came first."""
+    rows = None
+    for k in ("sources", "tags", "aliases"):
+        values = F.from_json(F.get_json_object("frontmatter", f"$.{k}"), "array<string>")
+        one = page.where("slug is not null").select("slug", F.lit(k).alias("field"), F.struct("landed_at", "page_row_id").alias("w"), F.posexplode(values).alias("at", "value"))
+        rows = one if rows is None else rows.unionByName(one)
+    first = rows.where("value is not null").groupBy("slug", "field", "value").agg(F.min(F.struct("w", "at")).alias("f"))
+    order = F.row_number().over(Window.partitionBy("slug", "field").orderBy("f", "value"))
+    return first.select("slug", "field", (order - 1).alias("ord"), "value")
 
 
 def related_links(link: DataFrame) -> DataFrame:
-    """``src_slug, bucket, targets``: each bucket's targets once, in the order in which they were first recorded; buckets in their fixed order."""
-    order = F.array_position(F.array(*map(F.lit, BUCKETS)), F.col("bucket"))
-    rows = link.where(F.col("bucket").isin(*BUCKETS)).select("src_slug", "bucket", order.alias("place"), link_target(F.col("target")).alias("t"), "recorded_at", "ord", "link_id").where("t is not null")
+    """``src_slug, bucket, place, ord, target``: each bucket's targets once, in the order in which they were first recorded; place is the bucket's."""
+    place = F.array_position(F.array(*map(F.lit, BUCKETS)), F.col("bucket"))
+    rows = link.where(F.col("bucket").isin(*BUCKETS)).select("src_slug", "bucket", place.alias("place"), link_target(F.col("target")).alias("t"), "recorded_at", "ord", "link_id").where("t is not null")
     first = rows.groupBy("src_slug", "bucket", "place", squeeze(F.col("t")).alias("key")).agg(F.min(F.struct("recorded_at", "ord", "link_id", "t")).alias("f"))
-    lists = first.groupBy("src_slug", "bucket", "place").agg(F.array_sort(F.collect_list("f")).alias("all"))
-    return lists.select("src_slug", "bucket", "place", F.array_join(F.transform("all", lambda x: strip(x["t"])), "; ").alias("targets"))
+    order = F.row_number().over(Window.partitionBy("src_slug", "bucket").orderBy("f"))
+    return first.select("src_slug", "bucket", "place", (order - 1).alias("ord"), strip(F.col("f.t")).alias("target"))
 
 
 def land(staged: DataFrame, existing: DataFrame) -> DataFrame:
@@ -79,12 +91,16 @@ def land(staged: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def merge_candidates(candidate: DataFrame) -> DataFrame:
-    """``stem, id, page_type, title, summary, tags, parts`` of a book's candidates with one id: the first chunk's values, tags of all."""
+    """``stem, id, page_type, title, summary, parts`` of a book's candidates with one id: the first chunk's values."""
     when = F.struct("chunk_index", "ord", "candidate_id")
-    first = F.min(F.struct(when.alias("w"), "page_type", "title", "summary")).alias("f")
-    tags = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(when.alias("w"), F.coalesce("tags", F.array().cast("array<string>")).alias("v")))), lambda x: x["v"])))
-    rows = candidate.where("stem is not null and id is not null").groupBy("stem", "id").agg(first, F.array_join(tags, "; ").alias("tags"), F.count("*").alias("parts"))
-    return rows.select("stem", "id", F.col("f.page_type").alias("page_type"), F.col("f.title").alias("title"), F.col("f.summary").alias("summary"), "tags", "parts")
+    rows = candidate.where("stem is not null and id is not null").groupBy("stem", "id").agg(F.min(F.struct(when.alias("w"), "page_type", "title", "summary")).alias("f"), F.count("*").alias("parts"))
+    return rows.select("stem", "id", F.col("f.page_type").alias("page_type"), F.col("f.title").alias("title"), F.col("f.summary").alias("summary"), "parts")
+
+
+def provenance_lines(page: DataFrame) -> DataFrame:
+    """``slug, ord, line``: the provenance section of each merged page; its first source is the primary one."""
+    rows = merged_lists(page).where("field = 'sources'")
+    return rows.select("slug", "ord", F.concat(F.when(F.col("ord") == 0, "- Primary source: ").otherwise("- Additional source: "), "value").alias("line"))
 
 
 def source_pages(candidate: DataFrame, md_doc: DataFrame) -> DataFrame:

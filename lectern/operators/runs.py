@@ -22,16 +22,14 @@ def by_alias(index: DataFrame) -> DataFrame:
 
 
 def by_tag(wiki: DataFrame) -> DataFrame:
-    """``tag, pages, slugs`` of each tag."""
-    rows = wiki.select(F.explode("tags").alias("tag"), "slug").distinct()
-    return rows.groupBy("tag").agg(F.count("*").alias("pages"), F.array_join(F.array_sort(F.collect_list("slug")), "; ").alias("slugs"))
+    """``tag, slug`` of each page's tags, each once."""
+    return wiki.select(F.explode("tags").alias("tag"), "slug").distinct()
 
 
 def human_index(wiki: DataFrame) -> DataFrame:
-    """``type, text``: the index's section of each type, a line per page in order of the title."""
+    """``type, slug, line``: the index's lines in their order, by type and title; written in partitions, they are its sections."""
     line = F.concat(F.lit("- [["), "title", F.lit("]]"), F.when(F.col("summary") != "", F.concat(F.lit(" — "), "summary")).otherwise(""))
-    rows = wiki.groupBy("type").agg(F.array_sort(F.collect_list(F.struct(F.lower("title").alias("t"), "slug", line.alias("line")))).alias("all"))
-    return rows.select("type", F.array_join(F.transform("all", lambda x: x["line"]), "\n").alias("text"))
+    return wiki.orderBy("type", F.lower("title"), "slug").select("type", "slug", line.alias("line"))
 
 
 def type_histogram(pages: DataFrame) -> DataFrame:

@@ -19,18 +19,14 @@ def paragraphs(df: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     Lines are folded inside the row, so nothing is shuffled however many documents there are.
     """
-    numbered = F.transform(t.lines(F.col(text)), lambda x, i: F.struct((i + 1).alias("no"), x.alias("line"), (t.strip(x) == "").alias("blank")))
-    full = F.filter(numbered, lambda x: ~x["blank"])
-    # A paragraph begins where the line before is not the one that precedes it in the text.
-    started = F.transform(full, lambda x, i: F.struct(x["no"].alias("no"), x["line"].alias("line"), (x["no"] - i).alias("run")))
-    rows = df.select(key, F.explode(F.array_distinct(F.transform(started, lambda x: x["run"]))).alias("run"), started.alias("all"))
-    own = F.filter("all", lambda x: x["run"] == F.col("run"))
-    return rows.select(key, own.alias("own")).select(
-        key,
-        F.get("own", F.lit(0))["no"].alias("start_line"),
-        F.element_at("own", -1)["no"].alias("end_line"),
-        F.array_join(F.transform("own", lambda x: x["line"]), "\n").alias("body"),
-    )
+    # Each line carries its number, blank ones become marks; the text is then cut at the marks.
+    plain = t.lines(F.translate(text, "\u0000\u0001", ""))
+    marked = F.transform(plain, lambda x, i: F.when(t.strip(x) == "", "\u0000").otherwise(F.concat((i + 1).cast("string"), F.lit("\u0001"), x)))
+    parts = F.filter(F.split(F.array_join(marked, "\n"), "\n?\u0000\n?(?:\u0000\n?)*"), lambda x: x != "")
+    rows = df.select(key, F.explode(parts).alias("part"))
+    first = F.regexp_extract("part", "^([0-9]+)\u0001", 1).cast("int")
+    body = F.regexp_replace("part", "(?m)^[0-9]+\u0001", "")
+    return rows.select(key, first.alias("start_line"), (first + F.regexp_count("part", F.lit("\n"))).cast("int").alias("end_line"), body.alias("body"))
 
 
 def chapters(paras: DataFrame, key: str) -> DataFrame:

@@ -136,9 +136,9 @@ def test_collisions(spark, index):
         [(1, "alpha-one", "X", None), (2, "n", " alpha  ONE", ["omega"]), (3, "n", "first letter", []), (4, "n", "N", ["First Letter"]), (5, None, None, None)],
         "candidate_id long, id string, title string, aliases array<string>",
     )
-    assert got(collide.collision_reports(cand, index)) == [(1, "id", 1, "alpha-one"), (2, "title", 1, "alpha-one"), (3, "alias", 2, "alpha-one; omega-2"), (4, "alias", 2, "alpha-one; omega-2")]
+    assert got(collide.collision_reports(cand, index)) == [(1, "id", 1, "alpha-one"), (2, "title", 1, "alpha-one"), (3, "alias", 2, "alpha-one"), (4, "alias", 2, "alpha-one")]
     assert got(collide.shared_names(index)) == [("first letter", 2), ("omega", 2)]
-    assert got(collide.near_duplicate_slugs(spark.createDataFrame([("the-x",), ("x",), ("y",)], "slug string"))) == [("x", 2, "the-x; x")]
+    assert got(collide.near_duplicate_slugs(spark.createDataFrame([("the-x",), ("x",), ("y",)], "slug string"))) == [("x", 2, "the-x"), ("x", 2, "x")]
 
 
 def test_search(page):
@@ -154,11 +154,12 @@ def test_search(page):
 def test_merge(page, link):
     m = got(merge.merged_sections(page).where("slug = 'alpha-one' and section = 'Key facts'"), "ord", "line")
     assert [x[1][:12] for x in m] == ["The Kite Bri", "No source he", "A second one", "New fact. [r"]
-    f = got(merge.merged_frontmatter(page).where("slug = 'alpha-one'"), "tags", "title")
-    assert f == [("t; u", "Alpha One")]
+    assert got(merge.merged_frontmatter(page).where("slug = 'alpha-one'"), "title", "updated") == [("Alpha One", "2024-01-02")]
+    assert got(merge.merged_lists(page).where("slug = 'alpha-one'"), "field", "ord", "value") == [("sources", 0, "raw/books/x.pdf"), ("tags", 0, "t"), ("tags", 1, "u")]
+    assert got(merge.provenance_lines(page).where("slug = 'alpha-one'"), "line") == [("- Primary source: raw/books/x.pdf",)]
     again = page.unionByName(page)
     assert got(merge.merged_sections(again), "slug", "section", "ord", "line") == got(merge.merged_sections(page), "slug", "section", "ord", "line")
-    assert got(merge.related_links(link)) == [("beta", "concepts", 4, "Alpha One; alpha_one")]
+    assert got(merge.related_links(link)) == [("beta", "concepts", 4, 0, "Alpha One"), ("beta", "concepts", 4, 1, "alpha_one")]
     assert got(merge.same_title_plan(page), "canonical", "duplicate") == [("alpha-one", "the-alpha-one")]
     plan = merge.near_slug_plan(page)
     assert got(merge.rewrite_links(link, plan).where("link_id = 6"), "src_slug") == [("alpha-one",)]
@@ -245,6 +246,6 @@ def test_runs(spark, page, link, index):
     wiki = pages.wiki(page)
     assert got(runs.by_alias(index)) == [("first letter", "omega-2")]
     assert got(runs.agents_index(wiki, link).where("slug = 'beta'"), "related_count") == [(2,)]
-    text = runs.human_index(wiki).where("type = 'topic'").first().text
-    assert text.startswith("- [[Beta]] — See [[Alpha One]]")
+    assert runs.human_index(wiki).where("type = 'topic'").first().line.startswith("- [[Beta]] — See [[Alpha One]]")
+    assert ("t", "beta") in got(runs.by_tag(wiki))
     assert runs.report_digest(runs.type_histogram(wiki), "type").first().sha256 == runs.report_digest(runs.type_histogram(wiki), "type").first().sha256
