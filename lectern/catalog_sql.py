@@ -154,6 +154,39 @@ def _search(terms: list[str], fields: dict[str, tuple[str, int]], facts: bool, l
     )
 
 
+def _claim_key(line: str) -> str:
+    bare = f"regexp_replace({line}, '^\\s*-\\s*', '')"
+    cut = f"CASE WHEN regexp_matches({bare}, '\\]\\s*$') THEN regexp_replace({bare}, '(?s)\\[raw/.*$', '') ELSE {bare} END"
+    return f"lower(regexp_replace({cut}, '^[\\s\\x{{a0}}]+|[\\s\\x{{a0}}]+$', '', 'g'))"
+
+
+def _three_sections() -> str:
+    one = "SELECT slug, landed_at, page_row_id, '{h}' AS section, {b} AS lines FROM page WHERE slug IS NOT NULL"
+    return " UNION ALL ".join(one.format(h=h, b=_bullets(_body(h))) for h in ("Key facts", "Inferences", "Uncertainties"))
+
+
+_BUCKETS = "(VALUES ('broader', 1), ('narrower', 2), ('adjacent', 3), ('concepts', 4), ('topics', 5), ('entities', 6)) AS o(bucket, place)"
+_PLAIN_BODY = f"regexp_replace(regexp_replace({_ALL_BODIES}, '\\[raw/[^\\]]+\\]', '', 'g'), '\\[\\[[^\\]]*\\]\\]', '', 'g')"
+
+
+def _without_template(c: str) -> str:
+    for w in ("Primary source:", "Inference:", "Uncertain:", "Broader:", "Narrower:", "Adjacent:", "Concepts:", "Topics:", "Entities:", "page created by auto ingest"):
+        c = f"replace({c}, '{w}', '')"
+    return c
+
+
+def _file_name(c: str) -> str:
+    s = f"regexp_replace({c}, '(.)\\.[^./]+$', '\\1')"
+    s = f"regexp_replace({s}, '^(?:\\s*\\[[^\\]]*\\]\\s*|\\s*【[^】]*】\\s*)+', '')"
+    s = f"regexp_replace({s}, '^\\d+[._-]\\s*', '')"
+    s = f"trim(regexp_replace({s}, '\\s+', ' ', 'g'))"
+    s = f"trim(regexp_replace({s}, '_+', '_', 'g'), '_')"
+    s = f"rtrim(substr(regexp_replace({s}, '[<>:\"|?*]', '', 'g'), 1, 100))"
+    return f"coalesce(nullif({s}, ''), 'untitled') || lower(regexp_extract({c}, '.(\\.[^./]+)$', 1))"
+
+
+_BASE = "regexp_replace(path, '^.*/', '')"
+
 SQL = {
     "p2_found": f"WITH {_REFS} SELECT link_id FROM judged WHERE orphan",
     "p2_report": f"""WITH {_REFS} SELECT bucket, strftime(recorded_at, '%Y-%m') AS month, count(*) AS links,
@@ -269,4 +302,36 @@ SQL = {
         SELECT stem, count(*) AS runs, CAST(sum(coalesce(i, 0)) AS BIGINT) AS tokens_in, CAST(sum(coalesce(o, 0)) AS BIGINT) AS tokens_out, round(sum(coalesce(s, 0.0)), 1) AS seconds FROM r GROUP BY stem""",
     "i2_layout": """WITH b AS (SELECT DISTINCT regexp_replace(source_path, '^raw/books/', '') AS path FROM md_doc WHERE source_path IS NOT NULL AND sha256 IS NOT NULL), d AS (SELECT len(string_split(path, '/')) - 1 AS n FROM b WHERE regexp_matches(lower(path), '\\.(pdf|epub)$'))
         SELECT CASE WHEN min(n) = 1 AND max(n) = 1 THEN 'subdir' WHEN max(n) = 0 THEN 'flat' ELSE 'mixed' END AS layout FROM d""",
+    "m6_sections": f"""WITH c AS ({_three_sections()}), l AS (SELECT slug, landed_at, page_row_id, section, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM c), k AS (SELECT *, {_claim_key('line')} AS key FROM l),
+        f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY slug, section, key ORDER BY landed_at, page_row_id, pos, line) AS rn FROM k) WHERE rn = 1)
+        SELECT slug, section, CAST(row_number() OVER (PARTITION BY slug, section ORDER BY landed_at, page_row_id, pos, line) - 1 AS INTEGER) AS ord, line FROM f""",
+    "m7_related": f"""WITH x AS (SELECT src_slug, l.bucket, place, {_target('target')} AS t, recorded_at, ord, link_id FROM link l JOIN {_BUCKETS} ON o.bucket = l.bucket), k AS (SELECT *, {_squeeze('t')} AS key FROM x WHERE t IS NOT NULL),
+        f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src_slug, bucket, key ORDER BY recorded_at, ord, link_id) AS rn FROM k) WHERE rn = 1)
+        SELECT src_slug, bucket, CAST(place AS BIGINT) AS place, CAST(row_number() OVER (PARTITION BY src_slug, bucket ORDER BY recorded_at, ord, link_id, t) - 1 AS INTEGER) AS ord, regexp_replace(t, '^\\s+|\\s+$', '', 'g') AS target FROM f""",
+    "m8_provenance": """WITH r AS (SELECT slug, landed_at, page_row_id, CAST(json_extract(frontmatter, '$.sources') AS VARCHAR[]) AS v FROM page WHERE slug IS NOT NULL), u AS (SELECT slug, landed_at, page_row_id, unnest(v) AS value, generate_subscripts(v, 1) AS pos FROM r),
+        f AS (SELECT slug, value, min((landed_at, page_row_id, pos)) AS w FROM u GROUP BY 1, 2), o AS (SELECT *, CAST(row_number() OVER (PARTITION BY slug ORDER BY w, value) - 1 AS INTEGER) AS ord FROM f)
+        SELECT slug, ord, CASE WHEN ord = 0 THEN '- Primary source: ' ELSE '- Additional source: ' END || value AS line FROM o""",
+    "m12_fields": f"""WITH {_LANDED}, k AS (SELECT slug, page_type AS kind, unnest(json_keys(frontmatter)) AS field, frontmatter FROM landed)
+        SELECT slug, field FROM k WHERE (frontmatter->>('$.' || field)) IS NOT NULL AND (field = 'id' OR EXISTS (SELECT 1 FROM {_REQUIRED} WHERE r.kind = k.kind AND r.field = k.field) OR EXISTS (SELECT 1 FROM {_MAY} WHERE m.kind = k.kind AND m.field = k.field))""",
+    "m17_repaired": f"""WITH {_FILES}, r AS (SELECT DISTINCT provenance AS ref FROM fact WHERE provenance IS NOT NULL),
+        fm AS (SELECT ref, regexp_replace(regexp_replace(ref, '#(p|L)(\\d+),\\s*(p|L)?(\\d+)\\]', '#\\1\\2-\\3\\4]', 'g'), '#(p|L)(\\d+)-#(p|L)(\\d+)\\]', '#\\1\\2-\\3\\4]', 'g') AS form FROM r),
+        p AS (SELECT *, regexp_extract(form, '^\\[?\\s*([^#\\]]+?)\\s*[#\\]]', 1) AS path FROM fm), q AS (SELECT *, regexp_replace(path, '^.*/', '') AS name FROM p),
+        ix AS (SELECT regexp_replace(path, '^.*/', '') AS name, min(path) AS path, count(*) AS n FROM files WHERE regexp_matches(lower(path), '\\.(pdf|epub|md|txt)$') GROUP BY 1),
+        sx AS (SELECT right(name, 40) AS suffix, min(path) AS path, CAST(sum(n) AS BIGINT) AS n FROM ix WHERE length(name) >= 40 GROUP BY 1),
+        j AS (SELECT q.*, f.path AS there, ix.path AS by_name, ix.n AS names, sx.path AS by_suffix, sx.n AS suffixes FROM q LEFT JOIN files f ON f.path = q.path LEFT JOIN ix ON ix.name = q.name AND q.path <> '' LEFT JOIN sx ON length(q.name) >= 40 AND sx.suffix = right(q.name, 40)),
+        z AS (SELECT ref, form, path, CASE WHEN there IS NOT NULL THEN path WHEN names = 1 THEN by_name WHEN names IS NULL AND suffixes = 1 THEN by_suffix END AS resolved,
+        CASE WHEN path = '' THEN 'no-path' WHEN there IS NOT NULL THEN 'exact' WHEN names = 1 THEN 'basename' WHEN names > 1 THEN 'basename-ambiguous (' || names || ')' WHEN suffixes = 1 THEN 'suffix' WHEN suffixes > 1 THEN 'suffix-ambiguous (' || suffixes || ')' ELSE 'no-match' END AS reason FROM j)
+        SELECT reason, count(*) AS refs, CAST(sum(CASE WHEN ref <> CASE WHEN resolved IS NOT NULL AND resolved <> path THEN replace(form, path, resolved) ELSE form END THEN 1 ELSE 0 END) AS BIGINT) AS changed FROM z GROUP BY reason""",
+    "q8_outbound": f"""WITH {_LANDED}, f AS (SELECT src_slug AS slug, 0 AS part, bucket, ord, link_id, target FROM link WHERE origin = 'frontmatter' AND target IS NOT NULL AND src_slug IN (SELECT slug FROM landed)),
+        b AS (SELECT slug, unnest(regexp_extract_all({_ALL_BODIES}, '\\[\\[([^\\[\\]]*?)\\]\\]', 1)) AS x, generate_subscripts(regexp_extract_all({_ALL_BODIES}, '\\[\\[([^\\[\\]]*?)\\]\\]', 1), 1) AS pos FROM landed),
+        u AS (SELECT * FROM f UNION ALL SELECT slug, 1, NULL, pos, NULL, trim(regexp_replace(x, '\\|.*$', '')) FROM b WHERE trim(regexp_replace(x, '\\|.*$', '')) <> ''),
+        d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY slug, target ORDER BY part, bucket NULLS FIRST, ord, link_id) AS rn FROM u) WHERE rn = 1)
+        SELECT slug, CAST(row_number() OVER (PARTITION BY slug ORDER BY part, bucket NULLS FIRST, ord, link_id) - 1 AS INTEGER) AS ord, target FROM d""",
+    "q10_provenance": f"""WITH {_LANDED}, l AS (SELECT slug, list_concat(coalesce(CAST(json_extract(frontmatter, '$.sources') AS VARCHAR[]), CAST([] AS VARCHAR[])), regexp_extract_all({_ALL_BODIES}, '{_ANY}')) AS v FROM landed),
+        u AS (SELECT slug, unnest(v) AS ref, generate_subscripts(v, 1) AS pos FROM l), f AS (SELECT slug, ref, min(pos) AS pos FROM u GROUP BY 1, 2) SELECT slug, CAST(row_number() OVER (PARTITION BY slug ORDER BY pos) - 1 AS INTEGER) AS ord, ref FROM f""",
+    "v11_language": f"""WITH {_SOURCES}, x AS (SELECT landed.slug, {_lang(_without_template(_PLAIN_BODY))} AS p, {_lang('source_text')} AS o FROM landed JOIN src ON src.slug = landed.slug)
+        SELECT 'language_consistency' AS rule, 'page is ' || p || ' and source is ' || o AS message, slug FROM x WHERE p <> o AND p <> 'unknown' AND o <> 'unknown'""",
+    "s6_conversion": """WITH d AS (SELECT DISTINCT m.sha256 FROM run_status r JOIN md_doc m ON m.stem = r.stem WHERE r.status = 'ok' AND m.sha256 IS NOT NULL), x AS (SELECT DISTINCT source_path AS path, sha256, text FROM md_doc)
+        SELECT path, x.sha256, CASE WHEN d.sha256 IS NOT NULL THEN 'cached' WHEN coalesce(length(regexp_replace(regexp_replace(text, '<!--\\s*PAGE:\\d+\\s*-->', '', 'g'), '^\\s+|\\s+$', '', 'g')), 0) < 500 THEN 'needs_ocr' ELSE 'converted' END AS state FROM x LEFT JOIN d ON d.sha256 = x.sha256""",
+    "i1_file_names": f"WITH {_FILES} SELECT path, {_file_name(_BASE)} AS name FROM files",
 }
