@@ -23,9 +23,12 @@ def shared_dir(spark: SparkSession) -> str:
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    The result has no lineage, survives the loss of executors and is computed once however often it is used.
+    The result has no lineage, survives the loss of executors and is computed once however often it is used. It is
+    deleted when the application ends.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    jvm_path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
