@@ -335,3 +335,35 @@ SQL = {
         SELECT path, x.sha256, CASE WHEN d.sha256 IS NOT NULL THEN 'cached' WHEN coalesce(length(regexp_replace(regexp_replace(text, '<!--\\s*PAGE:\\d+\\s*-->', '', 'g'), '^\\s+|\\s+$', '', 'g')), 0) < 500 THEN 'needs_ocr' ELSE 'converted' END AS state FROM x LEFT JOIN d ON d.sha256 = x.sha256""",
     "i1_file_names": f"WITH {_FILES} SELECT path, {_file_name(_BASE)} AS name FROM files",
 }
+
+
+def _collapsed(c: str) -> str:
+    for e in ("pdf", "epub", "md", "txt"):
+        c = f"regexp_replace({c}, '(?i)(\\.{e})(?:\\.{e})+', '\\1', 'g')"
+    return c
+
+
+_STOP = "A An The In On At By For From Of To With Into Onto Like As Via It Its This That These Those His Her Their Our Your My Each Every Any Some All Both Such Is Are Was Were Be Been Being".split()
+
+
+def _prefix(word: str) -> str:
+    body = f"regexp_replace(regexp_replace({_ALL_BODIES}, '[''\"‘“]\\s*[A-Z][\\w\\s\\-]*?(?:Inference|Uncertain):', '', 'g'), '\\b[A-Z][a-z]+\\s+(?:Inference|Uncertain):', '', 'g')"
+    return f"SELECT 'prefix_syntax' AS rule, chr(39) || '{word}:' || chr(39) || ' in mid-sentence' AS message, slug FROM landed WHERE regexp_matches({body}, '(?:[^\\n]{{2}}[^ \\n]|[^\\n][^-\\n] ){word}:\\s')"
+
+
+SQL |= {
+    "c7_provenance": f"""WITH a AS (SELECT fact_id, regexp_replace(provenance, '^\\s+|\\s+$', '', 'g') AS a FROM fact), b AS (SELECT fact_id, CASE WHEN NOT starts_with(a, '[') AND ends_with(a, ']') AND starts_with(a, 'raw/') THEN '[' || a ELSE a END AS a FROM a),
+        i AS (SELECT *, regexp_replace(a, '^[\\[\\]]+|[\\[\\]]+$', '', 'g') AS inn FROM b), p AS (SELECT *, {_collapsed("regexp_extract(inn, '^([^#]*)', 1)")} AS path, regexp_replace(regexp_replace(regexp_extract(inn, '^[^#]*#(.*)$', 1), '\\bL{{2,}}(\\d)', 'L\\1', 'g'), '\\bp{{2,}}(\\d)', 'p\\1', 'g') AS place FROM i)
+        SELECT fact_id, CASE WHEN starts_with(a, '[') AND contains(a, '#') THEN '[' || CASE WHEN regexp_replace(path, '^.*/', '') = 'the-paernon-studies.pdf' THEN 'raw/books/history/the-paernon-studies.pdf' ELSE path END || '#' || place || ']' ELSE a END AS provenance FROM p""",
+    "s14_import_plan": f"""WITH b AS (SELECT DISTINCT regexp_replace(source_path, '^raw/books/', '') AS path, sha256 FROM md_doc WHERE source_path IS NOT NULL AND sha256 IS NOT NULL),
+        n AS (SELECT path, sha256, CASE WHEN contains(path, '/') THEN regexp_replace(lower(regexp_extract(path, '^([^/]+)/', 1)), '[^a-z0-9]+', '-', 'g') ELSE 'uncategorized' END AS discipline, {_file_name(_BASE)} AS name FROM b),
+        k AS (SELECT *, row_number() OVER (PARTITION BY discipline, sha256 ORDER BY path) > 1 AS skip FROM n), m AS (SELECT *, sum(CASE WHEN skip THEN 0 ELSE 1 END) OVER (PARTITION BY discipline, name ORDER BY path ROWS UNBOUNDED PRECEDING) AS pos FROM k)
+        SELECT path, discipline, CASE WHEN skip OR pos <= 1 THEN name ELSE regexp_replace(name, '\\.[^.]*$', '') || '-' || CAST(CAST(pos AS BIGINT) AS VARCHAR) || regexp_extract(name, '(\\.[^.]*)$', 1) END AS name, CASE WHEN skip THEN 'skip' ELSE 'copy' END AS action FROM m""",
+    "v3_prefixes": f"WITH {_LANDED} {_prefix('Inference')} UNION ALL {_prefix('Uncertain')}",
+    "v7_scope": f"""WITH {_WIKI}, books AS (SELECT stem, min(text) AS text FROM md_doc WHERE text IS NOT NULL GROUP BY stem), src AS (SELECT slug, books.text AS st FROM landed JOIN books ON books.stem = regexp_extract(frontmatter->>'$.sources[0]', '([^/]+)\\.[a-z]+$', 1)),
+        f AS (SELECT slug, unnest(facts) AS x FROM wiki), h AS (SELECT slug, unnest(regexp_extract_all(x, '\\b([A-Z][A-Za-z0-9]+(?:[ \\t]+[A-Z][A-Za-z0-9]+){{1,3}})\\b', 1)) AS x FROM f),
+        c AS (SELECT DISTINCT slug, regexp_replace(x, '^(?:(?:{"|".join(_STOP)})\\s+)+', '') AS x FROM h), w AS (SELECT c.slug, x, st, string_split_regex(x, '\\s+') AS ws FROM c JOIN src ON src.slug = c.slug WHERE contains(x, ' ') AND length(x) >= 4),
+        a AS (SELECT slug, x FROM w WHERE NOT contains(st, x) AND len(list_filter(ws, lambda v: length(v) >= 3 AND NOT list_contains({_STOP}, v) AND contains(lower(st), lower(v)))) = 0 AND len(list_filter(ws, lambda v: NOT contains(st, v))) > 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY x) AS rn FROM a)
+        SELECT 'scope_boundary' AS rule, 'not in the source: ' || string_agg(x, '; ' ORDER BY x) AS message, slug FROM r WHERE rn <= 5 GROUP BY slug""",
+}
