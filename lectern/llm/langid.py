@@ -47,11 +47,11 @@ def label_code(c: Column) -> Column:
 _FRONT = re.compile(r"\A\s*---[ \t]*\n.*?\n---[ \t]*(?:\n|\Z)", re.S)
 _SKIP = re.compile(
     r"^[ \t]*(?:#{1,6}[ \t].*|<!--.*?-->[ \t]*|(?:chapter|kapitel|chapitre|capítulo|part|section)[ \t]+[\divxlc]+\b.{0,80}"
-    r"|第[一二三四五六七八九十百零〇\d]+[章节篇部].{0,40}|(?:source|author|kind|title|type|updated|date|tags|isbn)[ \t]*:.*|[-*_=|: \t]{3,})$",
+    r"|第[一二三四五六七八九十百零〇\d]+[章节篇部].{0,40}|(?:source|author|kind|title|type|updated|date|tags|isbn)[ \t]*:.*|[-*_=|:][-*_=|: \t]{2,})$",
     re.I | re.M,
 )
-_HIDDEN_MAIL = re.compile(r"[\w.+-]+ ?(?:[\[(]at[\])] ?[\w.-]+|\bat\b ?[\w-]+ ?\bdot\b)(?: ?[\[(]?\bdot\b[\])]? ?[\w-]+| ?[\w-]+)*?(?=[^\w ]|$| [^\[(])", re.I | re.A)
-_ANCHOR = re.compile(r"\[+raw/[^\]\n]*\]+|\[\[[^\]\n]*\]\]|<!--.*?-->|https?://[!-~]+|[\w.+-]+@[\w-]+(?:\.[\w-]+)*", re.A)
+_HIDDEN_MAIL = re.compile(r"(?<![\w.+-])[\w.+-]+ ?(?:[\[(]at[\])] ?[\w.-]+|\bat\b ?[\w-]+ ?\bdot\b)(?: ?[\[(]?\bdot\b[\])]? ?[\w-]+| ?[\w-]+)*?(?=[^\w ]|$| [^\[(])", re.I | re.A)
+_ANCHOR = re.compile(r"\[{1,2}raw/[^\[\]\n]*\]{1,2}|\[\[[^\[\]\n]*\]\]|<!--.*?-->|https?://[!-~]+|(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)*", re.A)
 _QUOTED = re.compile(r"“[^”]{25,}”|„[^“”]{25,}[“”]|«[^»]{25,}»|(?<!\S)»(?=\S)[^«»]{25,}(?<=\S)«|「[^」]{8,}」|『[^』]{8,}』|\"[^\"\n]{25,}\"|“[^”]{8,}”(?<=[一-鿿。！？]”)|‘[^’]{40,}’")
 _BULLET = re.compile(r"\n(?=[ \t]*(?:[-*•][ \t]|\d{1,3}[.)][ \t]|[QA]:[ \t]))")
 _BLANK = re.compile(r"\n[ \t\r\f\v 　]*\n")
