@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.bpe import MEMO, Encoder, encoder, read_ranks
 from lectern.llm.encode import VOCABULARY
-from lectern.llm.langid import Profiles, profiles_of, prose
+from lectern.llm.langid import Profiles, main_language, profiles_of, texts_languages
 
 #: Pre-tokens that a task holds before it counts them and hands the counts on.
 HELD = 3_000_000
@@ -136,7 +136,7 @@ def piece_counts(texts: DataFrame, keys: list[str], vocabulary: str = VOCABULARY
     """``*keys, [language,] piece, n`` of the columns ``*keys, text``, summed within each task.
 
     A piece is a part of a pre-token that no entry of the vocabulary goes beyond. Pieces that are entries themselves are
-    one token each and counted together, under the empty piece. With a model the language nearest to each whole text is a further key, '' where none is.
+    one token each and counted together, under the empty piece. With a model the language of most of each text's paragraphs is a further key, '' where none has one.
     """
     sc = texts.sparkSession.sparkContext
     tokens = sc.broadcast(read_ranks(vocabulary))
@@ -181,7 +181,7 @@ def piece_counts(texts: DataFrame, keys: list[str], vocabulary: str = VOCABULARY
                 columns = [part.column(i).to_pylist() for i in range(len(keys))]
                 texts_ = part.column(len(keys)).to_pylist()
                 if langs:
-                    columns.append([code or "" for code, _ in langs.classify([(t if t.isascii() else prose(t)) if t else "" for t in texts_])])
+                    columns.append([main_language(found, ps)[0] or "" for ps, found in texts_languages(texts_, langs)])
                 for *key, text in zip(*columns, texts_):
                     if text:
                         own = slices.setdefault(tuple(key), len(slices))
