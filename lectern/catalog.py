@@ -152,7 +152,7 @@ QUERIES = {
     "m7_related": lambda s, d: merge.related_links(read(s, d, "link")),
     "m10_land": lambda s, d: merge.land(read(s, d, "candidate").where("id is not null").select("page_type", F.col("id").alias("slug")), read(s, d, "page").select("page_type", "slug")),
     "m11_same_title_plan": lambda s, d: merge.same_title_plan(read(s, d, "page")),
-    "m13_rewritten": lambda s, d: merge.rewrite_links(read(s, d, "link"), _plan(s, d)),
+    "m13_rewritten": lambda s, d: merge.rewrite_links(read(s, d, "link"), _plan(s, d), read(s, d, "page")),
     "m14_near_slug_plan": _plan,
     "m15_anchors": lambda s, d: _refs(s, d).select("ref", t.fix_anchor(F.col("ref")).alias("fixed")),
     "m16_paths": lambda s, d: repair.resolve_paths(_refs(s, d).select(F.regexp_extract("ref", r"(raw/[^#\]]+?)\s*#", 1).alias("path")).where("path <> ''"), _files(s, d)),

@@ -97,6 +97,23 @@ def merge_candidates(candidate: DataFrame) -> DataFrame:
     return rows.select("stem", "id", F.col("f.page_type").alias("page_type"), F.col("f.title").alias("title"), F.col("f.summary").alias("summary"), "parts")
 
 
+def merge_items(item: DataFrame, candidate: DataFrame) -> DataFrame:
+    """``stem, id, kind, ord, value, provenance``: each value of merged candidates once per kind, as it came first.
+
+    ``item`` has ``stem, id, chunk_index, ord, kind, value, provenance``; a kind is ``claim``, ``inference``,
+    ``uncertainty`` or a bucket of links. A book's further source pages give their values, but for links, to its first.
+    """
+    when = F.struct("chunk_index", "ord", "candidate_id")
+    ids = candidate.where("stem is not null and id is not null").groupBy("stem", "id").agg(F.min(F.struct(when.alias("w"), "page_type")).alias("c"))
+    first = ids.where("c.page_type = 'source'").groupBy("stem").agg(F.min(F.struct("c.w", "id")).alias("s"))
+    rows = item.where("value is not null").join(ids, ["stem", "id"]).join(first, "stem", "left")
+    rows = rows.withColumn("owner", F.when(F.col("c.page_type") == "source", F.col("s.id")).otherwise(F.col("id")))
+    rows = rows.where((F.col("owner") == F.col("id")) | ~F.col("kind").isin(*BUCKETS))
+    once = rows.groupBy("stem", "owner", "kind", "value").agg(F.min(F.struct("c.w", "chunk_index", "ord", "provenance")).alias("f"))
+    order = F.row_number().over(Window.partitionBy("stem", "owner", "kind").orderBy("f", "value"))
+    return once.select("stem", F.col("owner").alias("id"), "kind", (order - 1).alias("ord"), "value", F.col("f.provenance").alias("provenance"))
+
+
 def provenance_lines(page: DataFrame) -> DataFrame:
     """``slug, ord, line``: the provenance section of each merged page; its first source is the primary one."""
     rows = merged_lists(page).where("field = 'sources'")
@@ -137,13 +154,26 @@ def near_slug_plan(page: DataFrame) -> DataFrame:
     return _plan(page_sizes(page).withColumn("slug_key", slug_key(F.col("slug"))), "slug_key", False)
 
 
-def rewrite_links(link: DataFrame, plan: DataFrame) -> DataFrame:
-    """``link_id, src_slug, target``: links to and from duplicates now name the canonical page."""
+def rewrite_links(link: DataFrame, plan: DataFrame, page: DataFrame | None = None) -> DataFrame:
+    """``link_id, src_slug, target``: links to and from duplicates now name the canonical page.
+
+    A link that has a duplicate's slug gets the canonical slug; with ``page`` one that has its title gets the canonical
+    title, letter case and white space aside.
+    """
     moves = plan.select(F.col("duplicate").alias("slug"), "canonical").distinct()
     rows = link.select("link_id", "src_slug", "target", link_target(F.col("target")).alias("t"))
     rows = rows.join(moves.select(F.col("slug").alias("t"), F.col("canonical").alias("to")), "t", "left")
     rows = rows.join(moves.select(F.col("slug").alias("src_slug"), F.col("canonical").alias("from")), "src_slug", "left")
-    return rows.select("link_id", F.coalesce("from", "src_slug").alias("src_slug"), F.coalesce("to", "target").alias("target"))
+    to = [F.col("to")]
+    if page is not None:
+        named = landed(page).select("slug", strip(F.coalesce(F.get_json_object("frontmatter", "$.title"), F.col("slug"))).alias("title"))
+        titles = moves.join(named, "slug").select("canonical", squeeze(F.col("title")).alias("key"))
+        titles = titles.join(named.select(F.col("slug").alias("canonical"), F.col("title").alias("to_title")), "canonical")
+        titles = titles.where("key <> ''")
+        titles = titles.groupBy("key").agg(F.min(F.struct("canonical", "to_title")).alias("by_title"))
+        rows = rows.withColumn("key", squeeze(F.col("t"))).join(titles, "key", "left")
+        to.append(F.when(F.col("t") != F.col("by_title.canonical"), F.col("by_title.to_title")))
+    return rows.select("link_id", F.coalesce("from", "src_slug").alias("src_slug"), F.coalesce(*to, "target").alias("target"))
 
 
 def allowed_fields(keys: Column, kind: Column) -> Column:

@@ -249,3 +249,27 @@ def test_runs(spark, page, link, index):
     assert runs.human_index(wiki).where("type = 'topic'").first().line.startswith("- [[Beta]] — See [[Alpha One]]")
     assert ("t", "beta") in got(runs.by_tag(wiki))
     assert runs.report_digest(runs.type_histogram(wiki), "type").first().sha256 == runs.report_digest(runs.type_histogram(wiki), "type").first().sha256
+
+
+def test_links_by_title_follow_a_merge(spark, page):
+    rows = [row(1, "kites", title="Kites"), row(2, "the-kites", title="On Kites"), row(3, "beta", title="Beta"), row(4, "the-beta", title="BETA")]
+    twins = spark.createDataFrame(rows, PAGE)
+    plan = spark.createDataFrame([("kites", "the-kites"), ("beta", "the-beta")], "canonical string, duplicate string")
+    targets = ["the-kites", "On Kites", "[[on  kites|see]]", "Kites", "beta", "BETA", "the-beta", "nowhere", None]
+    link = spark.createDataFrame([(i, "x", t) for i, t in enumerate(targets)], "link_id long, src_slug string, target string")
+    want = ["kites", "Kites", "Kites", "Kites", "beta", "Beta", "beta", "nowhere", None]
+    assert [r.target for r in merge.rewrite_links(link, plan, twins).orderBy("link_id").collect()] == want
+
+
+def test_merged_candidates_keep_all_values(spark):
+    cand = [(1, "b", 0, 0, "source", "s1"), (2, "b", 0, 1, "topic", "t"), (3, "b", 1, 0, "topic", "t"), (4, "b", 1, 1, "source", "s2"), (5, "c", 0, 0, "topic", "t")]
+    cand = spark.createDataFrame(cand, "candidate_id long, stem string, chunk_index int, ord int, page_type string, id string")
+    item = [
+        ("b", "t", 1, 0, "claim", "A", "p9"), ("b", "t", 0, 0, "claim", "A", "p1"), ("b", "t", 0, 1, "claim", "B", "p2"), ("b", "t", 1, 1, "claim", "C", "p3"), ("b", "t", 1, 0, "adjacent", "x", None),
+        ("b", "s2", 1, 0, "claim", "D", "p4"), ("b", "s1", 0, 5, "claim", "E", "p5"), ("b", "s2", 1, 0, "inference", "I", None), ("b", "s2", 1, 0, "topics", "t", None), ("c", "t", 0, 0, "claim", "A", "p1"),
+    ]
+    item = spark.createDataFrame(item, "stem string, id string, chunk_index int, ord int, kind string, value string, provenance string")
+    assert got(merge.merge_items(item, cand), "stem", "id", "kind", "ord", "value", "provenance") == [
+        ("b", "s1", "claim", 0, "E", "p5"), ("b", "s1", "claim", 1, "D", "p4"), ("b", "s1", "inference", 0, "I", None), ("b", "t", "adjacent", 0, "x", None),
+        ("b", "t", "claim", 0, "A", "p1"), ("b", "t", "claim", 1, "B", "p2"), ("b", "t", "claim", 2, "C", "p3"), ("c", "t", "claim", 0, "A", "p1"),
+    ]
