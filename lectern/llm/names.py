@@ -1,7 +1,7 @@
 """Problem 3: variant spellings of the names of persons and organisations.
 
 A name is cut into its frame (given names and generic words, which the index itself tells by their frequency, whatever
-their order or abbreviation) and its own part (surname, place). Own parts are joined by the pigeonhole principle: an
+their order or abbreviation) and its own part (surname, place). Where all words are frame words or none is, position tells. Own parts are joined by the pigeonhole principle: an
 error harms one segment, or two if it swaps neighbours across their border, so with at most k errors one of 2k+1
 segments of the entry's own part stands unharmed in the typed one, shifted by at most k.
 Segments are looked up in an inverted index keyed by frame, length, segment number and text, and hits are verified by
@@ -107,7 +107,8 @@ def segments(s: str, k: int) -> list[tuple[int, str, int]]:
 class Frames:
     """The frame words and frames of an index, and the spellings of typed names that they allow."""
 
-    def __init__(self, vocabulary: list[str], frames: list[str]):
+    def __init__(self, vocabulary: list[str], frames: list[str], bare: bool = True):
+        self.bare = bare  # whether some index name has no frame word
         self.words = set(vocabulary)
         self.frames = set(frames)
         self.near: dict[str, set[str]] = defaultdict(set)
@@ -148,6 +149,56 @@ class Frames:
                 own.append(w)
         return sorted(frame), " ".join(own), "".join(initials)
 
+    def cuts(self, name: str) -> list[tuple[str, str, str]]:
+        """(frame, own part, initials) under which an index name is looked up.
+
+        Where all words are frame words, as names share them, the last is the own part. A name without frame words stands
+        under the empty frame, and its first word is taken for a given name.
+        """
+        frame, own, initials = self.entry(name)
+        words = [w for w, _ in words_of(name) if len(w) > 1]
+        if own and frame:
+            out = [(" ".join(frame), own, initials)]
+            if len(frame) == 1:
+                out.append((frame[0][0] + ".", own, initials))
+            if len(words) == 2 and words[0] == own:  # a rare given name and a surname that is a frame word
+                out.append((own[0] + ".", words[1], initials))
+            return out
+        if not words:
+            return []
+        if len(words) == 1:
+            return [(initials[0] + ".", words[0], initials[1:])] if initials else [("", words[0], "")]
+        out = [] if frame else [("", own, initials)]
+        first, last = (words[:-1], words[-1]) if frame else (words[:1], " ".join(words[1:]))
+        out.append((" ".join(sorted(first)), last, initials))
+        if len(first) == 1:
+            out.append((first[0][0] + ".", last, initials))
+        return out
+
+    def _unframed(self, frame: list[str], own: list[str], initials: str) -> set[tuple[str, str, str]]:
+        """Keys of a reading that has only frame words, or none, as ``cuts`` makes them; beside frame words, of short forms of rare given names."""
+        keys = set()
+        if not own:
+            for v in set(frame):
+                rest = frame.copy()
+                rest.remove(v)
+                if rest:
+                    keys.add((" ".join(rest), v, initials))
+                elif initials:
+                    keys.add((initials[0] + ".", v, initials[1:]))
+                else:
+                    keys.add(("", v, ""))
+        elif frame:
+            keys |= {(" ".join(frame), g, initials) for g in NICKNAMES.get(" ".join(own), "").split() if g not in self.words}
+        elif self.bare:
+            keys |= {("", " ".join(x), initials) for x in (own, own[1:] + own[:1], own[-1:] + own[:-1])}
+            if len(own) > 1:
+                for v in set(own):
+                    rest = own.copy()
+                    rest.remove(v)
+                    keys |= {(g, " ".join(rest), initials) for g in (v, *NICKNAMES.get(v, "").split()) if g not in self.words}
+        return keys
+
     def spellings(self, name: str) -> list[tuple[str, str, str, int]]:
         """(frame, own part, initials, errors in the frame) that a typed name may stand for."""
         options: list[list[tuple[str, str, int]]] = []  # role: f frame word, o own part, i initial
@@ -162,6 +213,7 @@ class Frames:
                 short = [("f", v, 0) for v in self._abbreviated(w, stop)]
                 options.append(nick + short + [("f", v, 1) for v in sorted(self._similar(w))] + own or [("o", w, 0)])
         out: dict[tuple[str, str, str], int] = {}
+        more: dict[tuple[str, str, str], int] = {}
         # In a name with very many ambiguous words the later ones keep their likeliest reading.
         size = 1
         for i, x in enumerate(options):
@@ -170,10 +222,15 @@ class Frames:
             size *= len(options[i])
         for pick in product(*options):
             frame = sorted(v for r, v, _ in pick if r == "f")
-            own = " ".join(v for r, v, _ in pick if r == "o")
+            parts = [v for r, v, _ in pick if r == "o"]
             initials = "".join(v for r, v, _ in pick if r == "i")
-            if not own:
+            if not parts or (not frame and self.bare) or (len(parts) == 1 and parts[0] in NICKNAMES):
+                bad = sum(e for *_, e in pick)
+                for key in self._unframed(frame, parts, initials):
+                    more[key] = min(bad, more.get(key, bad))
+            if not parts:
                 continue
+            own = " ".join(parts)
             code = " ".join(frame)
             keys = []
             if not frame and initials:
@@ -185,7 +242,10 @@ class Frames:
                 if bad < out.get(key, 99):
                     out[key] = bad
         best = sorted(out.items(), key=lambda x: (x[1], -len(x[0][0].split()), x[0]))
-        return [(*k, e) for k, e in best[:SPELLINGS]]
+        kept = dict(best[:SPELLINGS])
+        for k, e in more.items():
+            kept[k] = min(e, kept.get(k, e))
+        return [(*k, e) for k, e in kept.items()]
 
 
 def _frames_of(index: DataFrame) -> Frames:
@@ -197,8 +257,10 @@ def _frames_of(index: DataFrame) -> Frames:
     vocabulary = [r.w for r in count.orderBy(F.desc("count"), "w").limit(FRAME_WORDS).collect()]
     known = set(vocabulary)
     frame = F.udf(lambda s: " ".join(sorted(w for w, _ in words_of(s) if w in known)) if s else "", StringType())
+    names = index.select(F.explode(F.concat(F.array("title"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("name"))
+    bare = not names.where("name is not null").where(frame("name") == "").isEmpty()
     frames = [r.f for r in index.select(frame("title").alias("f")).groupBy("f").count().where("f <> ''").orderBy(F.desc("count"), "f").limit(10 * FRAME_WORDS).collect()]
-    return Frames(vocabulary, frames)
+    return Frames(vocabulary, frames, bare)
 
 
 def _entry_rows(frames):
@@ -211,12 +273,8 @@ def _entry_rows(frames):
                 for name in [title, *(aliases or [])]:
                     if not name:
                         continue
-                    frame, own, initials = fr.entry(name)
-                    codes = [" ".join(frame)] if frame else []
-                    if len(frame) == 1:
-                        codes.append(frame[0][0] + ".")
-                    for code in codes:
-                        if own and (code, own, initials) not in seen:
+                    for code, own, initials in fr.cuts(name):
+                        if (code, own, initials) not in seen:
                             seen.add((code, own, initials))
                             k = errors(len(own))
                             rows += [(key, code, own, initials, len(own), i, seg) for i, seg, _ in segments(own, k)]

@@ -86,3 +86,18 @@ def test_empty(spark, index):
     cand = spark.createDataFrame([(1, "A. Zaetunt", "entity")], "candidate_id long, title string, page_type string")
     assert names.linked(cand.limit(0), index).count() == 0
     assert names.linked(cand, index.limit(0)).count() == 0
+
+
+def test_shared_surnames_and_rare_given_names(spark):
+    titles = ["Maria Thomas", "Benjamin Thomas", "Quillon Thomas", "Maria Keinorn", "Maria Dalmis", "Yusuf Tregur", "Ingrid Hezisk", "Tentaerion"]
+    frames = names.Frames(["maria", "thomas"], ["maria"])
+    assert frames.cuts("Maria Thomas") == [("maria", "thomas", ""), ("m.", "thomas", "")]
+    index = spark.createDataFrame([(t.lower().replace(" ", "-"), t, "entity", None) for t in titles], "id string, title string, page_type string, aliases array<string>")
+    cases = {
+        "Thomas, Maria": "maria-thomas", "M. Thomas": "maria-thomas", "Maria Thomsa": "maria-thomas", "Thomas, Ben": "benjamin-thomas", "Q. Thomas": "quillon-thomas", "Quilon Thomas": "quillon-thomas",
+        "Tregur, Yusuf": "yusuf-tregur", "Y. Tregur": "yusuf-tregur", "Joe Tregur": "yusuf-tregur", "Yusuf Tregru": "yusuf-tregur", "Hezisk, Inge": "ingrid-hezisk", "Tentaeroin": "tentaerion",
+        "Maria Tregur": None, "Thomas": None, "X. Hezisk": None, "Keinorn, Maria": "maria-keinorn",
+    }
+    cand = spark.createDataFrame([(i, t, "entity") for i, t in enumerate(cases)], "candidate_id long, title string, page_type string")
+    got = {r.candidate_id: r.entry_id for r in names.linked(cand, index).collect()}
+    assert {t: got.get(i) for i, t in enumerate(cases)} == cases
