@@ -1,9 +1,9 @@
 """Problem 6: noise in text from scanned pages.
 
-Headers and footers are lines at page edges that come again, in fuzzy equality, within a book; page numbers are lines
-that hold nothing else. The rest is joined to paragraphs: broken words by the vocabulary of the whole corpus, misread
-words by the frequent word that has the same skeleton (what remains of a word when the characters that scanners mix up
-are made equal). Whether a chunk is a scan is seen from its hard line ends, as the status labels can't be trusted.
+Headers and footers are lines at page edges whose skeleton comes again within a book; page numbers are lines that hold
+nothing else. The rest is joined to paragraphs: broken words at every line-end hyphen before a letter, misread words by
+the frequent word that has the same skeleton (what remains of a word when the characters that scanners mix up are made
+equal). Whether a chunk is a scan is seen from its hard line ends, as the status labels can't be trusted.
 """
 
 from __future__ import annotations
