@@ -1,31 +1,31 @@
 """Problem 3: variant spellings of the names of persons and organisations.
 
 A name is cut into its frame (given names and generic words, which the index itself tells by their frequency, whatever
-their order or abbreviation) and its own part (surname, place). Where all words are frame words or none is, position tells. Own parts are joined by the pigeonhole principle: an
-error harms one segment, or two if it swaps neighbours across their border, so with at most k errors one of 2k+1
-segments of the entry's own part stands unharmed in the typed one, shifted by at most k.
-Segments are looked up in an inverted index keyed by frame, length, segment number and text, and hits are verified by
-a banded edit distance that counts a swap of neighbours as one.
+their order or abbreviation) and its own part (surname, place). Where all words are frame words or none is, position
+tells. Own parts are joined by the pigeonhole principle: each error harms one of k+1 segments, so with at most k errors
+one segment of the entry's own part stands unharmed in the typed one, shifted by at most k. Only a swap of neighbours
+across a segment's border harms two; for these the own part with that border swapped is cut again for one error less.
+Segments are looked up in an inverted index keyed by frame, length, segment and text, and hits are verified by a banded
+edit distance that counts a swap of neighbours as one.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A word of so many index names is a frame word; the most frequent ones, at most so many.
-FRAME_NAMES, FRAME_WORDS = 3, 20_000
-#: Spellings of one typed name that are tried, at most; all beyond need four ambiguous abbreviations in one name.
-SPELLINGS = 24
-#: Readings of a typed name's words that are put together, at most; a name of a dozen words has fewer.
-READINGS = 20_000
+from lectern.plans.shared import stage_table
+
+#: A word of so many index names is a frame word.
+FRAME_NAMES = 3
+#: Distinct frames that are shipped to the workers at once; an index with more takes more passes over the typed names.
+BLOCK = 200_000
 
 #: Short forms of given names.
 NICKNAMES = {
@@ -93,9 +93,9 @@ def errors(length: int) -> int:
     return 0 if length < 4 else 1 if length < 9 else 2
 
 
-def segments(s: str, k: int) -> list[tuple[int, str, int]]:
-    """(number, text, start) of 2k+1 segments of nearly equal length, the longer ones last."""
-    n, parts = len(s), 2 * k + 1
+def segments(s: str, parts: int) -> list[tuple[int, str, int]]:
+    """(number, text, start) of segments of nearly equal length, the longer ones last."""
+    n = len(s)
     out, at = [], 0
     for i in range(parts):
         size = n // parts + (i >= parts - n % parts)
@@ -104,13 +104,41 @@ def segments(s: str, k: int) -> list[tuple[int, str, int]]:
     return out
 
 
+def entry_segments(own: str, k: int) -> set[tuple[int, int, str]]:
+    """(errors left, number, text) under which an own part stands in the index."""
+    cut = segments(own, k + 1)
+    out = {(k, i, text) for i, text, _ in cut}
+    for _, _, b in cut[1:]:
+        if k and 0 < b < len(own) and own[b - 1] != own[b]:
+            out |= entry_segments(own[: b - 1] + own[b] + own[b - 1] + own[b + 1 :], k - 1)
+    return out
+
+
+def typed_segments(own: str) -> set[tuple[int, int, int, str]]:
+    """(size, errors left, number, text) that lead a typed own part to those of ``size`` letters."""
+    out = set()
+    for size in range(max(1, len(own) - 2), len(own) + 3):
+        for k in range(errors(size) + 1):
+            if abs(size - len(own)) > k:
+                continue
+            for i, cut, at in segments("x" * size, k + 1):
+                width = len(cut)
+                out |= {(size, k, i, own[s : s + width]) for s in range(max(0, at - k), min(len(own) - width, at + k) + 1)}
+    return out
+
+
 class Frames:
-    """The frame words and frames of an index, and the spellings of typed names that they allow."""
+    """The frame words and frames of an index, and the spellings of typed names that they allow.
 
-    def __init__(self, vocabulary: list[str], frames: list[str], bare: bool = True):
+    ``frames`` holds sorted frame words, parted by blanks; ``longest`` is the length of the index's longest own part.
+    """
+
+    def __init__(self, vocabulary: list[str], frames: list[str], bare: bool = True, longest: int = 64, first: bool = True):
         self.bare = bare  # whether some index name has no frame word
+        self.first = first  # whether this block looks up names without a frame
+        self.longest = longest
         self.words = set(vocabulary)
-        self.frames = set(frames)
+        self.widest = max(map(len, vocabulary), default=0)
         self.near: dict[str, set[str]] = defaultdict(set)
         self.by_letter: dict[str, list[str]] = defaultdict(list)
         for w in vocabulary:
@@ -118,25 +146,65 @@ class Frames:
             if len(w) >= 5:
                 for d in {w} | {w[:i] + w[i + 1 :] for i in range(len(w))}:
                     self.near[d].add(w)
-
-    def _similar(self, w: str) -> set[str]:
-        if len(w) < 4:
-            return set()
+        self.frames = {tuple(sorted(f.split())) for f in frames}
+        self.holds: dict[str, set[tuple[str, ...]]] = defaultdict(set)
+        for f in self.frames:
+            for w in f:
+                self.holds[w].add(f)
+        self.memo: dict[tuple, object] = {}
+
+    def _remembered(self, key: tuple, make):
+        if key not in self.memo:
+            if len(self.memo) > 200_000:
+                self.memo.clear()
+            self.memo[key] = make()
+        return self.memo[key]
+
+    def _fits(self, frame: tuple[str, ...]) -> bool:
+        """Whether some frame of the index holds all these words, each as often."""
+
+        def look() -> bool:
+            sets = sorted((self.holds.get(w, set()) for w in set(frame)), key=len)
+            return any(all(f.count(w) >= frame.count(w) for w in set(frame)) for f in sets[0])
+
+        return self._remembered(("fits", frame), look)
+
+    def _with(self, frame: tuple[str, ...], word: str) -> tuple[str, ...] | None:
+        new = tuple(sorted((*frame, word)))
+        return new if self._fits(new) else None
+
+    def _letter(self, frame: tuple[str, ...], letter: str) -> list[tuple[str, ...]]:
+        """The frame with each word that an initial may stand for."""
+        return self._remembered(("letter", frame, letter), lambda: [n for v in self.by_letter.get(letter, ()) if (n := self._with(frame, v))])
+
+    def _similar(self, w: str) -> list[str]:
+        if not 4 <= len(w) <= self.widest + 1:
+            return []
         found = set()
         for d in {w} | {w[:i] + w[i + 1 :] for i in range(len(w))}:
             found |= {v for v in self.near.get(d, ()) if osa(w, v, 1) <= 1}
-        return found
+        return sorted(found)
 
     def _abbreviated(self, w: str, stop: bool) -> list[str]:
-        if not (stop or 2 <= len(w) <= 5) or len(w) < 2:
+        if not (stop or 2 <= len(w) <= 5) or not 2 <= len(w) < self.widest:
             return []
         out = []
         for v in self.by_letter.get(w[0], ()):
             rest = iter(v)
-            if len(w) < len(v) and v not in (w,) and all(c in rest for c in w) and (stop or v.startswith(w)):
+            if len(w) < len(v) and all(c in rest for c in w) and (stop or v.startswith(w)):
                 out.append(v)
         return out if stop or len(out) == 1 else []
 
+    def _options(self, w: str, stop: bool) -> list[tuple[str, str, int]]:
+        """(role, word, errors) that a typed word may have: f frame word, o own part, i initial or any frame word with that letter."""
+        if w in self.words:
+            return [("f", w, 0)]
+        if len(w) == 1:
+            return [("i", w, 0)]
+        own = [] if stop and len(w) <= 5 else [("o", w, 0)]
+        known = {v: 1 for v in self._similar(w)} | {v: 0 for v in (*self._abbreviated(w, stop), *NICKNAMES.get(w, "").split()) if v in self.words}
+        return [("f", v, e) for v, e in sorted(known.items())] + own or [("o", w, 0)]
+
     def entry(self, name: str) -> tuple[list[str], str, str]:
         """(frame words, own part, initials) of an index name."""
         frame, own, initials = [], [], []
@@ -175,12 +243,16 @@ class Frames:
             out.append((first[0][0] + ".", last, initials))
         return out
 
-    def _unframed(self, frame: list[str], own: list[str], initials: str) -> set[tuple[str, str, str]]:
-        """Keys of a reading that has only frame words, or none, as ``cuts`` makes them; beside frame words, of short forms of rare given names."""
+    def _keys(self, frame: tuple[str, ...], own: tuple[str, ...], initials: str) -> set[tuple[str, str, str]]:
+        """Keys of a reading, as ``cuts`` makes them."""
         keys = set()
-        if not own:
+        if frame and own:
+            keys.add((" ".join(frame), " ".join(own), initials))
+            # beside frame words, the short form of a rare given name
+            keys |= {(" ".join(frame), g, initials) for g in NICKNAMES.get(" ".join(own), "").split() if g not in self.words}
+        elif frame:
             for v in set(frame):
-                rest = frame.copy()
+                rest = list(frame)
                 rest.remove(v)
                 if rest:
                     keys.add((" ".join(rest), v, initials))
@@ -188,84 +260,59 @@ class Frames:
                     keys.add((initials[0] + ".", v, initials[1:]))
                 else:
                     keys.add(("", v, ""))
-        elif frame:
-            keys |= {(" ".join(frame), g, initials) for g in NICKNAMES.get(" ".join(own), "").split() if g not in self.words}
-        elif self.bare:
-            keys |= {("", " ".join(x), initials) for x in (own, own[1:] + own[:1], own[-1:] + own[:-1])}
-            if len(own) > 1:
-                for v in set(own):
-                    rest = own.copy()
+        elif own:
+            if initials:
+                keys.add((initials[0] + ".", " ".join(own), initials[1:]))
+            if self.bare:
+                keys |= {("", " ".join(x), initials) for x in (own, own[1:] + own[:1], own[-1:] + own[:-1])}
+                for v in set(own) if len(own) > 1 else ():
+                    rest = list(own)
                     rest.remove(v)
                     keys |= {(g, " ".join(rest), initials) for g in (v, *NICKNAMES.get(v, "").split()) if g not in self.words}
         return keys
 
     def spellings(self, name: str) -> list[tuple[str, str, str, int]]:
-        """(frame, own part, initials, errors in the frame) that a typed name may stand for."""
-        options: list[list[tuple[str, str, int]]] = []  # role: f frame word, o own part, i initial
+        """(frame, own part, initials, errors in the frame) that a typed name may stand for.
+
+        Readings are built word by word. One whose frame no index name holds, or whose own part is longer than any, is
+        given up at once, which loses nothing; of the initials only the first two are ever compared.
+        """
+        most = self.longest + 2
+        states: dict[tuple[tuple[str, ...], tuple[str, ...], str], int] = {((), (), ""): 0}
         for w, stop in words_of(name):
-            if w in self.words:
-                options.append([("f", w, 0)])
-            elif len(w) == 1:
-                options.append([("i", w, 0), *(("f", v, 0) for v in self.by_letter.get(w, ()))])
-            else:
-                own = [] if stop and len(w) <= 5 else [("o", w, 0)]
-                nick = [("f", v, 0) for v in NICKNAMES.get(w, "").split() if v in self.words]
-                short = [("f", v, 0) for v in self._abbreviated(w, stop)]
-                options.append(nick + short + [("f", v, 1) for v in sorted(self._similar(w))] + own or [("o", w, 0)])
+            new: dict[tuple[tuple[str, ...], tuple[str, ...], str], int] = {}
+            for (frame, own, initials), bad in states.items():
+                for role, v, e in self._options(w, stop):
+                    if role == "f":
+                        frames = [f] if (f := self._with(frame, v)) else []
+                        got = [(f, own, initials) for f in frames]
+                    elif role == "i":
+                        got = [(f, own, initials) for f in self._letter(frame, v)] + [(frame, own, (initials + v)[:2])]
+                    else:
+                        more = (*own, v)
+                        # the longest word may yet turn out to be the given name
+                        got = [(frame, more, initials)] if sum(map(len, more)) - max(map(len, more)) <= most else []
+                    for key in got:
+                        new[key] = min(bad + e, new.get(key, bad + e))
+            states = new
         out: dict[tuple[str, str, str], int] = {}
-        more: dict[tuple[str, str, str], int] = {}
-        # In a name with very many ambiguous words the later ones keep their likeliest reading.
-        size = 1
-        for i, x in enumerate(options):
-            if size * len(x) > READINGS:
-                options[i] = x[:1]
-            size *= len(options[i])
-        for pick in product(*options):
-            frame = sorted(v for r, v, _ in pick if r == "f")
-            parts = [v for r, v, _ in pick if r == "o"]
-            initials = "".join(v for r, v, _ in pick if r == "i")
-            if not parts or (not frame and self.bare) or (len(parts) == 1 and parts[0] in NICKNAMES):
-                bad = sum(e for *_, e in pick)
-                for key in self._unframed(frame, parts, initials):
-                    more[key] = min(bad, more.get(key, bad))
-            if not parts:
-                continue
-            own = " ".join(parts)
-            code = " ".join(frame)
-            keys = []
-            if not frame and initials:
-                keys.append((initials[0] + ".", own, initials[1:]))
-            if frame and code in self.frames:
-                keys.append((code, own, initials))
-            for key in keys:
-                bad = sum(e for *_, e in pick)
-                if bad < out.get(key, 99):
-                    out[key] = bad
-        best = sorted(out.items(), key=lambda x: (x[1], -len(x[0][0].split()), x[0]))
-        kept = dict(best[:SPELLINGS])
-        for k, e in more.items():
-            kept[k] = min(e, kept.get(k, e))
-        return [(*k, e) for k, e in kept.items()]
-
-
-def _frames_of(index: DataFrame) -> Frames:
-    """Frame words and frames of the index; both are bounded (``FRAME_WORDS``) and small beside it."""
-    from pyspark.sql.types import ArrayType, StringType
-
-    split = F.udf(lambda s: sorted({w for w, _ in words_of(s)}) if s else [], ArrayType(StringType()))
-    count = index.select(F.explode(split("title")).alias("w")).where("length(w) > 1").groupBy("w").count().where(F.col("count") >= FRAME_NAMES)
-    vocabulary = [r.w for r in count.orderBy(F.desc("count"), "w").limit(FRAME_WORDS).collect()]
-    known = set(vocabulary)
-    frame = F.udf(lambda s: " ".join(sorted(w for w, _ in words_of(s) if w in known)) if s else "", StringType())
-    names = index.select(F.explode(F.concat(F.array("title"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("name"))
-    bare = not names.where("name is not null").where(frame("name") == "").isEmpty()
-    frames = [r.f for r in index.select(frame("title").alias("f")).groupBy("f").count().where("f <> ''").orderBy(F.desc("count"), "f").limit(10 * FRAME_WORDS).collect()]
-    return Frames(vocabulary, frames, bare)
-
-
-def _entry_rows(frames):
+        for (frame, own, initials), bad in states.items():
+            for key in self._keys(frame, own, initials):
+                loose = key[0] == "" or key[0].endswith(".") or not frame
+                if len(key[1]) <= most and (self.first if loose else tuple(key[0].split()) in self.frames):
+                    out[key] = min(bad, out.get(key, bad))
+        return sorted((*k, e) for k, e in out.items())
+
+
+def _title_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = [w for t in b.column(0).to_pylist() if t for w in {w for w, _ in words_of(t)} if len(w) > 1]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["w"])
+
+
+def _entry_rows(words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fr = frames.value
+        fr = Frames(words.value, [])
         for b in batches:
             rows = []
             for key, title, aliases in zip(*(b.column(i).to_pylist() for i in range(3))):
@@ -273,39 +320,29 @@ def _entry_rows(frames):
                 for name in [title, *(aliases or [])]:
                     if not name:
                         continue
+                    whole = " ".join(fr.entry(name)[0]) or None
                     for code, own, initials in fr.cuts(name):
                         if (code, own, initials) not in seen:
                             seen.add((code, own, initials))
-                            k = errors(len(own))
-                            rows += [(key, code, own, initials, len(own), i, seg) for i, seg, _ in segments(own, k)]
-            cols = list(zip(*rows)) or [()] * 7
-            names = ["entry_id", "frame", "own", "initials", "size", "part", "text"]
-            kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+                            rows += [(key, code, own, initials, len(own), k, i, seg, whole) for k, i, seg in entry_segments(own, errors(len(own)))]
+            cols = list(zip(*rows)) or [()] * 9
+            kinds = [pa.string()] * 4 + [pa.int32()] * 3 + [pa.string()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["entry_id", "frame", "own", "initials", "size", "level", "part", "text", "whole"])
 
     return run
 
 
 def _name_rows(frames):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fr = frames.value
+        fr = Frames(*frames.value)
         for b in batches:
             rows = []
             for title in b.column(0).to_pylist():
                 for frame, own, initials, bad in fr.spellings(title):
-                    probes = set()
-                    for size in range(max(1, len(own) - 2), len(own) + 3):
-                        k = errors(size)
-                        if abs(size - len(own)) > k:
-                            continue
-                        for i, cut, at in segments("x" * size, k):
-                            width = len(cut)
-                            probes |= {(size, i, own[s : s + width]) for s in range(max(0, at - k), min(len(own) - width, at + k) + 1)}
-                    rows += [(title, frame, own, initials, bad, *p) for p in probes]
-            cols = list(zip(*rows)) or [()] * 8
-            names = ["title", "frame", "typed", "typed_initials", "bad", "size", "part", "text"]
-            kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+                    rows += [(title, frame, own, initials, bad, *p) for p in typed_segments(own)]
+            cols = list(zip(*rows)) or [()] * 9
+            kinds = [pa.string()] * 4 + [pa.int32()] * 4 + [pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["title", "frame", "typed", "typed_initials", "bad", "size", "level", "part", "text"])
 
     return run
 
@@ -326,17 +363,31 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def link_titles(titles: DataFrame, index: DataFrame) -> DataFrame:
-    """``title, entry_id`` of the distinct typed names that mean exactly one entry; a tie at the best rank means none."""
-    frames = titles.sparkSession.sparkContext.broadcast(_frames_of(index))
+    """``title, entry_id`` of the distinct typed names that mean exactly one entry; a tie at the best rank means none.
+
+    The frame words are the index's vocabulary of shared words, whose size grows far slower than the index, and go to
+    the workers whole; its frames go there in blocks of ``BLOCK``, with a pass over the typed names each.
+    """
+    context = titles.sparkSession.sparkContext
+    count = index.select("title").mapInArrow(_title_words, "w string").groupBy("w").count().where(F.col("count") >= FRAME_NAMES)
+    vocabulary = sorted(r.w for r in count.select("w").collect())
     entries = index.select("id", "title", "aliases").mapInArrow(
-        _entry_rows(frames), "entry_id string, frame string, own string, initials string, size int, part int, text string"
+        _entry_rows(context.broadcast(vocabulary)),
+        "entry_id string, frame string, own string, initials string, size int, level int, part int, text string, whole string",
     )
+    entries = stage_table(entries, "name-entries")
+    bare, longest, n = entries.agg(F.max(F.isnull("whole")), F.max("size"), F.approx_count_distinct("whole")).first()
     # The work per title is heavy beside its bytes, so that tasks are not merged by size.
     spread = titles.select("title").repartition(int(titles.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    typed = spread.mapInArrow(
-        _name_rows(frames), "title string, frame string, typed string, typed_initials string, bad int, size int, part int, text string"
-    )
-    hits = typed.join(entries, ["frame", "size", "part", "text"])
+    blocks = int((n or 0) * 1.1) // BLOCK + 1
+    typed = None
+    for i in range(blocks):
+        mine = entries.where(F.pmod(F.xxhash64("whole"), F.lit(blocks)) == i)
+        frames = sorted({f for r in mine.select("whole", "frame").distinct().collect() for f in (r.whole, r.frame) if f and not f.endswith(".")})
+        known = context.broadcast((vocabulary, frames, bool(bare), longest or 0, i == 0))
+        part = spread.mapInArrow(_name_rows(known), "title string, frame string, typed string, typed_initials string, bad int, size int, level int, part int, text string")
+        typed = part if typed is None else typed.unionByName(part)
+    hits = typed.join(entries.select("entry_id", "frame", "own", "initials", "size", "level", "part", "text"), ["frame", "size", "level", "part", "text"])
     pairs = hits.select("title", "entry_id", "frame", "typed", "own", "typed_initials", "initials", "bad").distinct()
     ranked = pairs.mapInArrow(_verify, "title string, entry_id string, rank int").groupBy("title", "entry_id").agg(F.min("rank").alias("rank"))
     tied = ranked.groupBy("title", "rank").agg(F.count("*").alias("n"), F.min("entry_id").alias("entry_id"))
