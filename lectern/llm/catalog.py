@@ -52,7 +52,7 @@ SQL: dict[str, str] = {
     "p4_found": f"""WITH c AS (SELECT slug, page_row_id, landed_at, frontmatter->>'updated' AS u, unnest([{_FIELDS}]) AS x FROM page WHERE slug IS NOT NULL),
         v AS (SELECT slug, page_row_id, landed_at, x.f AS field_name, nullif(regexp_replace(x.v, '^\\s+|\\s+$', '', 'g'), '') AS value, coalesce(try_strptime(u, '%Y-%m-%d'), try_strptime(u, '%Y/%m/%d'), try_strptime(u, '%d %B %Y')) AS upd FROM c),
         d AS (SELECT slug, field_name FROM v GROUP BY 1, 2 HAVING count(value) > 0 AND (count(DISTINCT value) > 1 OR count(value) < count(*))),
-        s AS (SELECT *, coalesce(nullif(regexp_replace(value, '\\s*(?:…|\\.\\.\\.)$', ''), ''), value) AS stem FROM v WHERE value IS NOT NULL
+        s AS (SELECT *, coalesce(nullif(regexp_replace(value, '\\s*(?:…|\\.\\.\\.|\\[(?:…|\\.\\.\\.)\\])$', ''), ''), value) AS stem FROM v WHERE value IS NOT NULL
             AND regexp_replace(lower(value), '^[\\s\\-–—*•_(\\[{{<]+|[\\s\\-–—*•_.!)\\]}}>]+$', '', 'g') NOT IN ({_NOTHING})),
         o AS (SELECT * FROM s a WHERE NOT EXISTS (SELECT 1 FROM s b WHERE b.slug = a.slug AND b.field_name = a.field_name AND b.value <> a.value AND starts_with(b.stem, a.stem) AND (b.stem <> a.stem OR a.value <> a.stem))),
         r AS (SELECT *, row_number() OVER (PARTITION BY slug, field_name ORDER BY upd DESC NULLS LAST, landed_at DESC, page_row_id) AS rn FROM o)

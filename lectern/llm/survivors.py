@@ -2,11 +2,14 @@
 
 Every copy comes from a source (the book it names first). Which values are true, and how good the sources are, is
 inferred together by expectation-maximisation: a source has a sensitivity (it states a true value) and a specificity
-(it leaves out a false one). Multi-valued fields keep every value judged true. For single-valued fields the rule of
-the data is: values that say nothing and values that are a cut-off beginning of another are false beforehand, of the
-rest the latest `updated` wins, and the posterior decides between copies of one date.
-
-All steps are aggregates over (slug, field, value, source) counts; no two values or copies are paired.
+(it states no false one). Values that say nothing and values that are a cut-off beginning of another are known to be
+false, and tell of their source. Multi-valued fields keep every value judged true. Of a single-valued field the value of
+the highest posterior survives; as later copies overtake earlier ones, a statement of the latest date counts in full and
+all earlier ones together as ``OVERTAKEN``, so that an earlier value wins only against a source that is known to be bad.
+Of the copies that state the surviving value the latest is named.
+
+All steps are aggregates over (slug, field, value, source) counts; no two values or copies are paired, and only fields
+in which values compete are inferred.
 """
 
 from __future__ import annotations
@@ -25,10 +28,14 @@ NOTHING = (
     "", "unknown", "not recorded", "none recorded", "none", "null", "nil", "n/a", "na", "tbd", "tba", "todo", "to do", "?", "??", "???", "empty", "missing", "not known", "not available",
     "unspecified", "undefined", "no data", "pending", "xxx", "待补", "未知", "无", "不详", "暂无", "unbekannt", "inconnu", "desconocido", "…", "...",
 )
-#: Rounds of expectation-maximisation.
-ROUNDS = 3
+#: What a statement of the worst source adds to the log-odds: no source is taken to say the contrary of what is true.
+LEAST = 0.05
+#: Evidence of all earlier statements of a single-valued field together, beside 1 for one of the latest date.
+OVERTAKEN = 0.05
+#: Expectation-maximisation ends when no source's quality changes by more than this, or after so many rounds.
+SETTLED, ROUNDS = 0.02, 12
 #: Prefixes up to here are looked up, longer ones are found as neighbours in sorted order.
-SHORT = 24
+SHORT = 12
 
 
 def _trim(c: Column) -> Column:
@@ -52,35 +59,41 @@ def updated_on(c: Column) -> Column:
     return F.when(iso, tries[0]).when(turned, tries[1]).otherwise(F.coalesce(*tries[2:])).cast("date")
 
 
+_FRONT_MATTER = ", ".join(f"{k} string" for k in (*FRONT, "updated")) + ", " + ", ".join(f"{k} array<string>" for k in LISTS)
+
+
+def _parsed(page: DataFrame, *columns: Column | str) -> DataFrame:
+    """The copies with a slug, their front matter parsed once to ``fm``, and their source."""
+    rows = page.where("slug is not null").select("slug", *columns, F.from_json("frontmatter", _FRONT_MATTER).alias("fm"))
+    return rows.withColumn("source", F.coalesce(F.get("fm.sources", F.lit(0)), F.lit("")))
+
+
 def claims(page: DataFrame) -> DataFrame:
-    """A row per copy and single-valued field: ``slug, field_name, page_row_id, value, updated, landed_at, source``; absent is null."""
-    get = lambda k: F.get_json_object("frontmatter", f"$.{k}")
-    section = lambda h: F.get(F.filter("sections", lambda s: s["header"] == h), F.lit(0))["body"]
+    """A row per copy and single-valued field that it states: ``slug, field_name, page_row_id, value, updated, landed_at, source``.
+
+    Of sections with one header the last counts.
+    """
+    section = lambda h: F.try_element_at(F.filter("sections", lambda s: s["header"] == h), F.lit(-1))["body"]
+    rows = _parsed(page, "page_row_id", "landed_at", F.array(*[section(h) for h in SECTIONS]).alias("bodies"))
     fields = F.array(
-        *[F.struct(F.lit(k).alias("field_name"), get(k).alias("value")) for k in FRONT],
-        *[F.struct(F.lit(h).alias("field_name"), section(h).alias("value")) for h in SECTIONS],
-    )
-    rows = page.where("slug is not null").select(
-        "slug", "page_row_id", "landed_at", updated_on(get("updated")).alias("updated"), F.coalesce(get("sources[0]"), F.lit("")).alias("source"), F.explode(fields).alias("f")
+        *[F.struct(F.lit(k).alias("field_name"), _trim(F.col(f"fm.{k}")).alias("value")) for k in FRONT],
+        *[F.struct(F.lit(h).alias("field_name"), _trim(F.col("bodies")[i]).alias("value")) for i, h in enumerate(SECTIONS)],
     )
-    value = _trim(F.col("f.value"))
-    return rows.select("slug", F.col("f.field_name").alias("field_name"), "page_row_id", F.when(value != "", value).alias("value"), "updated", "landed_at", "source")
+    rows = rows.select("slug", "page_row_id", "landed_at", updated_on(F.col("fm.updated")).alias("updated"), "source", fields.alias("fields"))
+    rows = rows.select("slug", "page_row_id", "landed_at", "updated", "source", F.explode(F.filter("fields", lambda f: f["value"] != "")).alias("f"))
+    return rows.select("slug", F.col("f.field_name").alias("field_name"), "page_row_id", F.col("f.value").alias("value"), "updated", "landed_at", "source")
 
 
 def list_claims(page: DataFrame) -> DataFrame:
-    """The same for each value of the multi-valued fields."""
-    out = None
-    for k in LISTS:
-        values = F.from_json(F.get_json_object("frontmatter", f"$.{k}"), "array<string>")
-        source = F.coalesce(F.get_json_object("frontmatter", "$.sources[0]"), F.lit(""))
-        rows = page.where("slug is not null").select("slug", F.lit(k).alias("field_name"), F.explode(F.array_distinct(values)).alias("value"), source.alias("source"))
-        out = rows if out is None else out.unionByName(rows)
-    return out.where("value is not null and value <> ''")
+    """``slug, field_name, value, source`` of each value of the multi-valued fields, once per copy."""
+    kinds = F.array(*[F.struct(F.lit(k).alias("field_name"), F.array_distinct(F.col(f"fm.{k}")).alias("all")) for k in LISTS])
+    rows = _parsed(page).select("slug", "source", F.explode(kinds).alias("f")).select("slug", "source", "f.field_name", F.explode("f.all").alias("value"))
+    return rows.where("value is not null and value <> ''").select("slug", "field_name", "value", "source")
 
 
 def cut_off(values: DataFrame) -> DataFrame:
     """Of distinct ``slug, field_name, value``: those that another value of the field begins with, a closing ellipsis aside."""
-    stem = F.regexp_replace("value", r"\s*(?:…|\.\.\.)$", "")
+    stem = F.regexp_replace("value", r"\s*(?:…|\.\.\.|\[(?:…|\.\.\.)\])$", "")
     rows = values.select("slug", "field_name", "value", F.when(stem != "", stem).otherwise(F.col("value")).alias("stem"))
     # A stem and what it begins share their first characters, so long ones are next to each other in sorted order.
     head = F.substring("stem", 1, SHORT)
@@ -99,43 +112,46 @@ def cut_off(values: DataFrame) -> DataFrame:
     return long.select("slug", "field_name", "value").unionByName(short.select("slug", "field_name", "value")).distinct()
 
 
-def infer(counts: DataFrame, copies: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``slug, field_name, value, truth``: the posterior of each value.
+def infer(counts: DataFrame, copies: DataFrame, rounds: int = ROUNDS, settled: float = SETTLED) -> DataFrame:
+    """``slug, field_name, value, odds, truth``: the log-odds and posterior of each value.
 
-    counts has ``slug, field_name, value, source, n, possible``: how many copies of a source state the value; copies
-    has ``slug, source, copies``. The log-odds of a value are linear in the counts, so a copy that leaves a value out
-    needs no row of its own.
+    counts has ``slug, field_name, value, source, n, evidence, possible``: how many copies of a source state the value,
+    what these statements weigh, and whether it may be true; copies has ``slug, field_name, source, n``: the copies that
+    could have stated it. The log-odds are linear in the counts, so a copy that leaves a value out needs no row.
     """
-    size = counts.groupBy("slug", "field_name", "value").agg(F.sum("n").alias("n"), F.min("possible").alias("possible"))
-    total = copies.groupBy("slug").agg(F.sum("copies").alias("copies"))
-    truth = size.join(total, "slug").select(
-        "slug", "field_name", "value", F.when(F.col("possible") == 0, 0.0).otherwise((F.col("n") + 0.5) / (F.col("copies") + 1.0)).alias("truth"), "possible"
-    )
-    truth = stage_table(truth, "truth")
-    for _ in range(rounds):
-        # How often each source could have stated true and false values, and did.
-        field = truth.groupBy("slug", "field_name").agg(F.sum("truth").alias("t"), F.sum(1 - F.col("truth")).alias("f"))
-        slug = field.groupBy("slug").agg(F.sum("t").alias("t"), F.sum("f").alias("f"))
-        chance = copies.join(slug, "slug").groupBy("source").agg(F.sum(F.col("copies") * F.col("t")).alias("true_chances"), F.sum(F.col("copies") * F.col("f")).alias("false_chances"))
-        said = counts.join(truth.select("slug", "field_name", "value", "truth"), ["slug", "field_name", "value"])
-        said = said.groupBy("source").agg(F.sum(F.col("n") * F.col("truth")).alias("true_said"), F.sum(F.col("n") * (1 - F.col("truth"))).alias("false_said"))
-        quality = chance.join(said, "source", "left").select(
-            "source",
-            ((F.coalesce("true_said", F.lit(0.0)) + 2) / (F.col("true_chances") + 4)).alias("sensitivity"),
-            (1 - (F.coalesce("false_said", F.lit(0.0)) + 1) / (F.col("false_chances") + 4)).alias("specificity"),
-        )
-        keep = lambda c: F.least(F.greatest(c, F.lit(0.01)), F.lit(0.99))
-        quality = stage_table(quality.select("source", keep(F.col("sensitivity")).alias("a"), keep(F.col("specificity")).alias("b")), "quality")
-        silent = F.log((1 - F.col("a")) / F.col("b"))
-        stated = F.log(F.col("a") / (1 - F.col("b")))
-        base = copies.join(quality, "source").groupBy("slug").agg(F.sum(F.col("copies") * silent).alias("base"))
-        plus = counts.join(quality, "source").groupBy("slug", "field_name", "value").agg(F.sum(F.col("n") * (stated - silent)).alias("plus"), F.min("possible").alias("possible"))
-        odds = plus.join(base, "slug")
-        truth = odds.select(
-            "slug", "field_name", "value", F.when(F.col("possible") == 0, 0.0).otherwise(1 / (1 + F.exp(-(F.col("base") + F.col("plus"))))).alias("truth"), "possible"
-        )
-        truth = stage_table(truth, "truth")
-    return truth.drop("possible")
+    group, keys = ["slug", "field_name"], ["slug", "field_name", "value"]
+    keep = lambda c: F.least(F.greatest(c, F.lit(0.01)), F.lit(0.99))
+
+    def qualities(truth: DataFrame) -> DataFrame:
+        """How often each source could have stated true and false values, and did."""
+        field = truth.groupBy(*group).agg(F.sum("truth").alias("t"), F.sum(1 - F.col("truth")).alias("f"))
+        zero = F.lit(0.0)
+        could = copies.join(field, group).select("source", (F.col("n") * F.col("t")).alias("tc"), (F.col("n") * F.col("f")).alias("fc"), zero.alias("ts"), zero.alias("fs"))
+        did = counts.join(truth.select(*keys, "truth"), keys).select("source", zero.alias("tc"), zero.alias("fc"), (F.col("n") * F.col("truth")).alias("ts"), (F.col("n") * (1 - F.col("truth"))).alias("fs"))
+        sums = could.unionByName(did).groupBy("source").agg(*[F.sum(c).alias(c) for c in ("tc", "fc", "ts", "fs")])
+        a, b = (F.col("ts") + 2) / (F.col("tc") + 4), 1 - (F.col("fs") + 1) / (F.col("fc") + 4)
+        return stage_table(sums.select("source", keep(a).alias("a"), keep(b).alias("b")), "quality")
+
+    def posterior(quality: DataFrame) -> DataFrame:
+        silent, stated = F.log((1 - F.col("a")) / F.col("b")), F.log(F.col("a") / (1 - F.col("b")))
+        base = copies.join(quality, "source").groupBy(*group).agg(F.sum(F.col("n") * silent).alias("base"))
+        plus = counts.join(quality, "source").groupBy(*keys).agg(F.sum(F.col("evidence") * F.greatest(stated - silent, F.lit(LEAST))).alias("plus"), F.min("possible").alias("possible"))
+        odds = plus.join(base, group, "left").withColumn("odds", F.coalesce("base", F.lit(0.0)) + F.col("plus"))
+        return odds.select(*keys, "odds", F.when(F.col("possible") == 0, 0.0).otherwise(1 / (1 + F.exp(-F.col("odds")))).alias("truth"))
+
+    size = counts.groupBy(*keys).agg(F.sum("evidence").alias("n"), F.min("possible").alias("possible"))
+    total = copies.groupBy(*group).agg(F.sum("n").alias("copies"))
+    share = F.least((F.col("n") + 0.5) / (F.coalesce("copies", F.lit(0)) + 1.0), F.lit(1.0))
+    truth = size.join(total, group, "left").select(*keys, F.when(F.col("possible") == 0, 0.0).otherwise(share).alias("truth"))
+    quality = qualities(truth)
+    for _ in range(rounds - 1):
+        new = qualities(posterior(quality))
+        moved = new.join(quality.select("source", F.col("a").alias("a0"), F.col("b").alias("b0")), "source")
+        change = moved.agg(F.max(F.greatest(F.abs(F.col("a") - F.col("a0")), F.abs(F.col("b") - F.col("b0"))))).first()[0]
+        quality = new
+        if change is None or change <= settled:
+            break
+    return posterior(quality)
 
 
 def _key(value: Column) -> Column:
@@ -143,58 +159,61 @@ def _key(value: Column) -> Column:
     return F.when(F.length(value) <= 32, value).otherwise(F.concat(F.lit("#"), F.md5(value)))
 
 
-def _judged(page: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(claims that may be true, all claims with their texts, posteriors by key)."""
+def _single(page: DataFrame, differing: bool) -> DataFrame:
+    """``slug, field_name, page_row_id, value`` of the surviving values, of fields in which copies differ or of all."""
+    group, keys = ["slug", "field_name"], ["slug", "field_name", "key"]
     rows = claims(page).withColumn("key", _key(F.col("value"))).withColumn("nothing", says_nothing(F.col("value")))
     rows = stage_table(rows, "page-claims")
-    bare = rows.drop("value")
-    stated = bare.where("key is not null")
-    keys = ["slug", "field_name", "key"]
-    # Only fields with several values can hold a beginning of another.
-    several = stated.where("not nothing").groupBy("slug", "field_name").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b")
-    texts = rows.where("key is not null and not nothing").select("slug", "field_name", "value")
-    texts = texts.join(several.select("slug", "field_name"), ["slug", "field_name"], "left_semi").distinct()
-    cut = cut_off(texts).select("slug", "field_name", _key(F.col("value")).alias("key"))
-    cut = stage_table(cut, "page-cut")
-    open_ = stated.where("not nothing").join(cut, keys, "left_anti")
-    counts = stated.groupBy(*keys, "source").agg(F.count("*").alias("n"), F.max("nothing").alias("nothing"))
-    counts = counts.join(cut.withColumn("cut", F.lit(True)), keys, "left")
-    counts = counts.withColumn("possible", F.when(F.col("cut") | F.col("nothing"), 0).otherwise(1)).drop("cut", "nothing")
-    lists = list_claims(page).withColumnRenamed("value", "key").groupBy(*keys, "source").agg(F.count("*").alias("n")).withColumn("possible", F.lit(1))
-    counts = stage_table(counts.unionByName(lists).withColumnRenamed("key", "value"), "page-counts")
-    copies = bare.where(F.col("field_name") == FRONT[0]).groupBy("slug", "source").agg(F.count("*").alias("copies"))
-    return open_, rows, infer(counts, stage_table(copies, "page-copies")).withColumnRenamed("value", "key")
-
-
-def _winners(open_: DataFrame, truth: DataFrame) -> DataFrame:
-    """``slug, field_name, page_row_id`` of the surviving values."""
-    rows = open_.join(truth, ["slug", "field_name", "key"])
-    best = F.max(F.struct("updated", F.round("truth", 6).alias("truth"), "landed_at", (-F.col("page_row_id")).alias("first")))
-    return rows.groupBy("slug", "field_name").agg(best.alias("best")).select("slug", "field_name", (-F.col("best.first")).alias("page_row_id"))
+    copies = page.where("slug is not null").groupBy("slug").agg(F.count("*").alias("copies"))
+    told = rows.groupBy(*group).agg(F.min("key").alias("a"), F.max("key").alias("b"), F.count("*").alias("n"), F.max(F.when(~F.col("nothing"), F.col("key"))).alias("some"))
+    told = told.join(copies, "slug").where("some is not null")
+    if differing:
+        told = told.where("a <> b or n < copies")
+    # Only fields with several values need to be judged, and only they can hold a beginning of another.
+    told = stage_table(told.select(*group, (F.col("a") != F.col("b")).alias("several")), "page-fields")
+    bare = rows.drop("value").join(told, group)
+    texts = rows.where("not nothing").select(*group, "value").join(told.where("several"), group, "left_semi").distinct()
+    cut = cut_off(texts).select(*group, _key(F.col("value")).alias("key"), F.lit(True).alias("cut"))
+    bare = bare.join(stage_table(cut, "page-cut"), keys, "left")
+    bare = stage_table(bare.withColumn("possible", F.when(F.col("nothing") | F.col("cut"), 0).otherwise(1)).drop("nothing", "cut"), "page-statements")
+    judged = bare.where("several")
+    latest = judged.where("possible = 1").groupBy(*group).agg(F.max("updated").alias("latest"), F.count("*").alias("open"))
+    judged = judged.join(latest, group)
+    now = F.col("updated").eqNullSafe(F.col("latest"))
+    old = (F.col("possible") == 1) & ~now
+    counts = judged.groupBy(*group, F.col("key").alias("value"), "source").agg(
+        F.sum(F.when(old, 0).otherwise(1)).alias("n"), F.sum(F.when(old, OVERTAKEN / F.col("open")).otherwise(1.0)).alias("evidence"), F.min("possible").alias("possible")
+    )
+    could = judged.where(~old).groupBy(*group, "source").agg(F.count("*").alias("n"))
+    truth = infer(stage_table(counts, "page-counts"), stage_table(could, "page-could")).withColumnRenamed("value", "key")
+    open_ = bare.where("possible = 1").join(truth.select(*keys, F.round("odds", 6).alias("odds")), keys, "left")
+    best = F.max(F.struct("odds", "updated", "landed_at", (-F.col("page_row_id")).alias("first")))
+    won = open_.groupBy(*group).agg(best.alias("best")).select(*group, (-F.col("best.first")).alias("page_row_id"))
+    return won if differing else won.join(rows.select(*group, "page_row_id", "value"), [*group, "page_row_id"])
 
 
 def surviving_values(page: DataFrame) -> DataFrame:
     """``slug, field_name, page_row_id`` of the surviving value of each field in which a slug's copies differ.
 
     Absent, null and empty values count as one value and never survive; a field without any other value has no row.
-    Copies without a readable date come last; copies of one date are told apart by the posterior of their value, then
-    by the later landing, then by the smaller id.
+    The value of the highest posterior survives. Its copy is the latest that states it; copies without a readable date
+    come last, copies of one date are told apart by the later landing, then by the smaller id.
     """
-    open_, rows, truth = _judged(page)
-    differ = rows.groupBy("slug", "field_name").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.count("key").alias("n"), F.count("*").alias("all"))
-    differ = differ.where("n > 0 and (a <> b or n < all)").select("slug", "field_name")
-    return _winners(open_, truth).join(differ, ["slug", "field_name"])
+    return _single(page, differing=True)
 
 
 def surviving_pages(page: DataFrame) -> DataFrame:
     """One page per slug: its single-valued fields, and as lists the tags and sources judged true (the likeliest if none is)."""
-    open_, rows, truth = _judged(page)
-    won = _winners(open_, truth).join(rows.select("slug", "field_name", "page_row_id", "value"), ["slug", "field_name", "page_row_id"])
-    single = won.groupBy("slug").pivot("field_name", [*FRONT, *SECTIONS]).agg(F.min("value"))
+    single = _single(page, differing=False).groupBy("slug").pivot("field_name", [*FRONT, *SECTIONS]).agg(F.min("value"))
     for c in SECTIONS:
         single = single.withColumnRenamed(c, c.lower().replace(" ", "_"))
-    lists = truth.where(F.col("field_name").isin(*LISTS))
-    top = lists.groupBy("slug", "field_name").agg(F.max("truth").alias("top"))
-    kept = lists.join(top, ["slug", "field_name"]).where("truth >= 0.5 or truth = top")
-    kept = kept.groupBy("slug").pivot("field_name", list(LISTS)).agg(F.array_join(F.array_sort(F.collect_list("key")), "; "))
+    group, keys = ["slug", "field_name"], ["slug", "field_name", "value"]
+    counts = list_claims(page).groupBy(*keys, "source").agg(F.count("*").alias("n"))
+    counts = stage_table(counts.select(*keys, "source", "n", F.col("n").cast("double").alias("evidence"), F.lit(1).alias("possible")), "page-lists")
+    fields = counts.select(*group).distinct()
+    could = _parsed(page).groupBy("slug", "source").agg(F.count("*").alias("n")).join(fields, "slug").select(*group, "source", "n")
+    lists = infer(counts, stage_table(could, "page-list-copies")).select(*keys, F.round("truth", 6).alias("truth"))
+    top = lists.groupBy(*group).agg(F.max("truth").alias("top"))
+    kept = lists.join(top, group).where("truth >= 0.5 or truth = top")
+    kept = kept.groupBy("slug").pivot("field_name", list(LISTS)).agg(F.array_join(F.array_sort(F.collect_list("value")), "; "))
     return page.where("slug is not null").select("slug").distinct().join(single, "slug", "left").join(kept, "slug", "left")

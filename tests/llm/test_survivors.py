@@ -33,10 +33,10 @@ def test_rule(spark):
 
 
 def test_cut_off_without_pairs(spark):
-    values = ["a", "ab", "abc", "x" * 30, "x" * 30 + "y", "x" * 40, "x" * 29 + "…", "x" * 24, "x" * 23, "q...", "qr", "lone...", "同", "同样"]
+    values = ["a", "ab", "abc", "x" * 30, "x" * 30 + "y", "x" * 40, "x" * 29 + "…", "x" * 24, "x" * 23, "q...", "qr", "lone...", "同", "同样", "some words [...]", "some words and more"]
     df = spark.createDataFrame([("s", "f", v) for v in values] + [("t", "f", "a"), ("s", "g", "abcd")], "slug string, field_name string, value string")
     got = {(r.slug, r.value) for r in survivors.cut_off(df).collect()}
-    stem = lambda v: v.removesuffix("…").removesuffix("...").rstrip()
+    stem = lambda v: v.removesuffix("[...]").rstrip().removesuffix("…").removesuffix("...").rstrip()
     want = {("s", v) for v in values if any(o != v and stem(o).startswith(stem(v)) and (stem(o) != stem(v) or v != stem(v)) for o in values)}
     assert got == want
 
@@ -78,7 +78,8 @@ def brute(counts, copies, rounds):
             for a, s, n in copies:
                 if a == k[0]:
                     m = said.get((*k, s), 0)
-                    odds += m * math.log(q[s][0] / (1 - q[s][1])) + (n - m) * math.log((1 - q[s][0]) / q[s][1])
+                    silent = math.log((1 - q[s][0]) / q[s][1])
+                    odds += n * silent + m * max(math.log(q[s][0] / (1 - q[s][1])) - silent, survivors.LEAST)
             new[k] = 1 / (1 + math.exp(-odds))
         truth = new
     return truth
@@ -87,12 +88,34 @@ def brute(counts, copies, rounds):
 def test_inference_like_brute_force(spark):
     counts = [("a", "tags", "x", "s1", 2, 1), ("a", "tags", "y", "s2", 1, 1), ("a", "c", "hi", "s1", 1, 1), ("b", "tags", "x", "s1", 1, 1), ("b", "tags", "z", "s3", 1, 1), ("b", "tags", "z", "s2", 1, 1)]
     copies = [("a", "s1", 2), ("a", "s2", 1), ("b", "s1", 1), ("b", "s2", 1), ("b", "s3", 1)]
-    c = spark.createDataFrame(counts, "slug string, field_name string, value string, source string, n long, possible int")
-    got = {(r.slug, r.field_name, r.value): r.truth for r in survivors.infer(c, spark.createDataFrame(copies, "slug string, source string, copies long"), 3).collect()}
+    c = spark.createDataFrame([(*x[:5], float(x[4]), x[5]) for x in counts], "slug string, field_name string, value string, source string, n long, evidence double, possible int")
+    could = [(a, f, s, n) for a, s, n in copies for f in {x[1] for x in counts if x[0] == a}]
+    got = {(r.slug, r.field_name, r.value): r.truth for r in survivors.infer(c, spark.createDataFrame(could, "slug string, field_name string, source string, n long"), 3, 0.0).collect()}
     want = brute(counts, copies, 3)
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
+def bad_source(latest: str) -> list[tuple]:
+    """A source that states nothing but cut-off and empty values elsewhere states the latest value of ``z``."""
+    rows = [row(100 + i, f"p{i}", updated="2024-01-01", source_author="A Long Name", sources=["good"]) for i in range(40)]
+    rows += [row(200 + i, f"p{i}", updated="2024-02-01", source_author=["A Long", "unknown"][i % 2], sources=["bad"]) for i in range(40)]
+    return rows + [row(300, "z", updated="2024-01-01", reliability="primary", sources=["good"]), row(301, "z", updated="2024-03-01", reliability="tertiary", sources=[latest])]
+
+
+def test_posterior_decides(spark, monkeypatch):
+    """The latest value survives unless its source is known to be bad; without the inference it always would."""
+    at = lambda rows: {(r.slug, r.field_name): r.page_row_id for r in survivors.surviving_values(spark.createDataFrame(rows, PAGE)).collect()}["z", "reliability"]
+    assert at(bad_source("new")) == 301
+    assert at(bad_source("bad")) == 300
+    monkeypatch.setattr(survivors, "infer", lambda counts, copies: counts.groupBy("slug", "field_name", "value").agg(F.sum("evidence").alias("odds")))
+    assert at(bad_source("bad")) == 301
+
+
+def test_last_section_of_a_header(spark):
+    rows = [row(1, "a", updated="2024-01-01", sections=[("Summary", "First."), ("Summary", "Second.")]), row(2, "a", updated="2023-01-01", sections=[("Summary", "Other.")])]
+    assert {r.summary for r in survivors.surviving_pages(spark.createDataFrame(rows, PAGE)).collect()} == {"Second."}
+
+
 def test_pages(spark):
     got = {r.slug: r for r in survivors.surviving_pages(spark.createDataFrame(ROWS, PAGE)).collect()}
     assert set(got) == set("abcdef")
