@@ -81,9 +81,37 @@ def test_blocks(spark, monkeypatch):
 
 def test_shards(monkeypatch):
     monkeypatch.setattr(leaks, "SHARD", 50)
-    it = leaks.Items([(1, P1), (2, P2)])
+    it = leaks.Items([(str(i), leaks.words(p), set(leaks.words(p))) for i, p in ((1, P1), (2, P2))])
     import pyarrow as pa
 
     batch = pa.RecordBatch.from_arrays([pa.array(range(20), pa.int64()), pa.array([P1 if i % 3 else P2 for i in range(20)])], names=["k", "t"])
     got = sorted((k, i) for b in leaks._search(it, pa.int64())(iter([batch])) for k, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-    assert got == [(i, 1 if i % 3 else 2) for i in range(20)]
+    assert got == [(i, "1" if i % 3 else "2") for i in range(20)]
+
+
+def altered(text: str, every: int, rng: random.Random) -> str:
+    w = text.split(" ")
+    return " ".join(rng.choice(["quietly", "seldom", "bramble"]) if i % every == every - 1 else x for i, x in enumerate(w))
+
+
+def invented(rng: random.Random, n: int) -> str:
+    return " ".join("".join(rng.choice(["ka", "lo", "mer", "ti", "vun", "so", "dra"]) for _ in range(rng.randint(2, 4))) for _ in range(n))
+
+
+@pytest.mark.parametrize("block", [40, 4_000_000])
+def test_shared_passages_and_all_copies(spark, monkeypatch, block):
+    """Items that share a passage or most of it, every fourth word altered, two altered copies; in one block and in many."""
+    monkeypatch.setattr(leaks, "BLOCK", block)
+    rng = random.Random(4)
+    shared, near, other = invented(rng, 40), invented(rng, 40), invented(rng, 40)
+    rows = [(1, shared), (2, shared.upper()), (3, shared + "."), (4, near), (5, near + " with a closing clause of its own"), (6, near + " and another ending of six words"), (7, other)]
+    filler = invented(rng, 300)
+    texts = [
+        (1, f"{filler} {altered(shared, 9, rng)} {filler}", None), (2, f"{filler} {altered(near, 7, rng)} with a closing clause of its own", None), (3, f"{altered(other, 4, rng)} {filler}", None),
+        (4, f"{altered(other, 6, rng)} {filler} {altered(other, 5, rng)} tail", None), (5, f"{other} {filler} {altered(other, 6, rng)}", None), (6, filler, None),
+    ]
+    found = [tuple(r) for r in leaks.leak_spans(docs(spark, texts), items(spark, rows)).collect()]
+    assert sorted({(d, i) for d, i, *_ in found}) == [(1, 1), (1, 2), (1, 3), (2, 4), (2, 5), (3, 7), (4, 7), (5, 7)]
+    assert len([1 for d, *_ in found if d == 4]) == 2 and sorted(k for d, _, k, *_ in found if d == 5) == ["altered", "run"]
+    for d, _, _, a, b in found:
+        assert b - a > 0.7 * len(other)
