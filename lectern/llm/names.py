@@ -121,9 +121,12 @@ def typed_segments(own: str) -> set[tuple[int, int, int, str]]:
         for k in range(errors(size) + 1):
             if abs(size - len(own)) > k:
                 continue
+            more = len(own) - size
             for i, cut, at in segments("x" * size, k + 1):
+                # some unharmed segment has no more errors before it than segments, and no more after it
                 width = len(cut)
-                out |= {(size, k, i, own[s : s + width]) for s in range(max(0, at - k), min(len(own) - width, at + k) + 1)}
+                starts = (at + x for x in range(max(-i, more - k + i), min(i, more + k - i) + 1))
+                out |= {(size, k, i, own[x : x + width]) for x in starts if 0 <= x <= len(own) - width}
     return out
 
 

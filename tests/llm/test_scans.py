@@ -38,6 +38,52 @@ def test_skeletons():
     assert scans.skeleton("bridge") != scans.skeleton("bridges")
 
 
-def test_page_numbers():
-    lines = ["12", "- 7 -", "3 / 412", "p. 9", "Page xi", "第12页", "1908.", "word", "12 34", "[4]", ""]
-    assert scans.page_lines(lines) == {0, 1, 2, 3, 4, 5, 9}
+def test_page_marks():
+    lines = ["12", "- 7 -", "3 / 412", "p. 9", "Page xi", "第12页", "1908.", "word", "12 34", "[4]", "", "civil", "mix", "xlii", "Page 1234 of 5678"]
+    got = scans.page_marks(lines)
+    assert {i: v for i, (v, _) in got.items()} == {0: 12, 1: 7, 2: 3, 3: 9, 4: 11, 5: 12, 6: 1908, 9: 4, 13: 42, 14: 1234}
+    assert {i for i, (_, marked) in got.items() if marked} == {1, 2, 3, 4, 5, 9, 14}
+
+
+BODY = "The committee measured the reliable bridge and then\npublished the difference in the second modern index of\nthe committee while the bridge was measured in the\n"
+
+
+def kinds(spark, rows, of=("page_no",)):
+    df = spark.createDataFrame(rows, "chunk_id long, stem string, chunk_index int, text string").repartition(3)
+    return sorted((r.chunk_id, r.line_no, r.kind) for r in scans.noisy_lines(df).collect() if r.kind in of)
+
+
+def test_page_sequences(spark):
+    """A number is a page's if it rises with the book's pages; a year or a lone figure in the text isn't."""
+    rows = [(i, "book", i, f"{BODY}{BODY}{40 + i}\n{BODY}") for i in range(5)]
+    rows += [(10, "other", 0, f"{BODY}1908\n{BODY}xc\n{BODY}"), (11, "other", 2, f"{BODY}xci\n{BODY}mix\n{BODY}"), (12, "third", 0, f"{BODY}88\n{BODY}"), (13, "third", 1, f"{BODY}17\n{BODY}")]
+    assert kinds(spark, rows) == [(i, 7, "page_no") for i in range(5)] + [(10, 8, "page_no"), (11, 4, "page_no")]
+
+
+def test_long_books_are_put_in_order_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(scans, "BOOK_PART", 4)
+    rows = [(i, "book", i, f"{BODY}{7 + i}\n{BODY}") for i in range(11)]
+    assert kinds(spark, rows) == [(i, 4, "page_no") for i in range(11)]
+
+
+def test_headers_alike_but_for_misreadings(spark):
+    a, b, c, d = (f"and in the {x} the committee went on with the bridge\nwhich it had measured in the {x} of the year before\nand closed the index of the {x} after it had been\n" for x in ("spring", "summer", "autumn", "winter"))
+    head = "An Account of the Harbour Works"
+    rows = [(1, "x", 0, f"{a}\f{head}\n{b}"), (2, "x", 1, f"{b}\fAn Acc~unt of tbe Harhour Works\n{c}"), (3, "x", 2, f"{c}\fA Different Heading Altogether\n{d}"), (4, "y", 0, f"{d}\f{head}\n{a}")]
+    assert kinds(spark, rows, ("header",)) == [(1, 4, "header"), (2, 4, "header")]
+
+
+def test_breaks_by_vocabulary(spark):
+    clean = "A well-known bridge. The bookshelf was self-made and self-taught; a mother-in-law came. The stone and the wood, pre-war and post-war, and the rest, and more. He made it known by law. "
+    text = "The committee measured the well-\nknown bridge and the book-\nshelf in the second index of self-\nmade maps that mother-in-\nlaw had drawn in stone-\nand wood while the Grindol-\nwick bridge was measured"
+    rows = [(1, "x", 0, text)] + [(100 + i, "c", i, clean + "The committee measured the difference in the index of maps that had been drawn while it was measured.") for i in range(6)]
+    assert kinds(spark, rows, ("hyphen",)) == [(1, i, "hyphen") for i in (1, 2, 3, 4, 6)]
+    out = {r.chunk_id: r.text for r in scans.repaired(spark.createDataFrame(rows, "chunk_id long, stem string, chunk_index int, text string")).collect()}
+    assert out[1] == "The committee measured the well-known bridge and the bookshelf in the second index of self-made maps that mother-in-law had drawn in stone- and wood while the Grindolwick bridge was measured"
+
+
+def test_a_long_line_drops_no_scan(spark):
+    wide = "and the remarkable committee then went on to measure every bridge of the whole long valley without any pause at all until the winter came and the second index was closed for the year"
+    assert len(wide) > 170
+    rows = [(1, "x", 0, f"{BODY}{BODY}{wide}\npub-\nlished the index\n{BODY}")]
+    assert kinds(spark, rows, ("hyphen",)) == [(1, 8, "hyphen")]
