@@ -1,11 +1,9 @@
-"""The written forms of personal data: labels for training, and the exact check after decoding."""
+"""The written forms of personal data: labels for training only, never used when data is found."""
 
 from __future__ import annotations
 
 import re
 
-KINDS = ("email", "phone", "id_number", "address", "person")
-
 #: Given names that the labeller knows.
 GIVEN = (
     "Abigail Alexander Alice Andrew Anna Antonio Barbara Benjamin Carlos Catherine Charles Christina Christopher Claire Daniel David Dolores Edward Elena Elizabeth Emma Ernst Eva Francisco François Frederick "
@@ -52,8 +50,9 @@ ADDRESS = re.compile(
     rf"|(?<![\w])(?:(?:appt?\.?|appartement|bât\.?){_W}\w+,?{_W})?\d{{1,4}}(?:{_W}?(?:bis|ter|quater)\b)?,?{_W}(?:rue|avenue|av\.|quai|impasse|bd|boulevard|place|pl\.|chemin|allée|cours|route)\b{_W}[^,.;\n]{{2,30}}?(?=,|\.|;|\n|à | et |$)(?:,?{_W}(?:à )?(?:\d{{5}}{_W})?[A-ZÀ-Þ][\w-]+)?"
     rf"|(?<![\w])(?:Calle|C/|C\.|Avda\.|Avenida|Av\.|Plaza|Pza\.|Paseo|P\.º|Camino|Ronda){_W}(?:(?:de|del|de la|de los|de las){_W})?(?:los |las |la )?[A-ZÁÉÍÓÚÑ][\wáéíóúñ]+(?:{_W}[A-ZÁÉÍÓÚÑ][\wáéíóúñ]+)?,?{_W}(?:(?:n[º°]\.?|núm\.){_W}?)?\d{{1,4}}[a-z]?(?![\d])(?:,{_W}\d{{1,2}}[º°]\.?(?:{_W}[A-Z])?)?(?:,{_W}(?:\d{{5}}{_W})?[A-ZÁÉÍÓÚÑ][\w-]+)?",
 )
+_ZH = "(?:(?![在往于至到])[一-鿿])"
 #: A town follows a verb or a stop; without one the street's name begins after it.
-ADDRESS_ZH = re.compile(rf"(?<=[在往于至到址：: ，。\n])(?:[一-鿿]{{1,7}}?[镇港谷市县区村乡城])?[一-鿿]{{1,5}}?(?:路|街|大道|巷|弄|胡同)\d{{1,4}}号(?:\d+单元)?(?:\d+(?:室|楼))?")
+ADDRESS_ZH = re.compile(rf"(?<=[在往于至到址：: ，。\n])(?:{_ZH}{{1,7}}?[镇港谷市县区村乡城])?{_ZH}{{1,5}}?(?:路|街|大道|巷|弄|胡同)\d{{1,4}}号(?:\d+单元)?(?:\d+(?:室|楼))?")
 PERSON = re.compile(
     rf"(?<![\w@.])(?:{_G}{_M}{_W}{_S}(?![\w@:]){_NOT}|{_S},{_W}{_G}{_M}(?![\w@])(?! {_S}{_NOT})|(?<!\b[a-zäöü]\. )(?<![A-Z]\. )[A-Z]\.{_W}?{_S}(?![\w@.]){_NOT}|{_S},{_W}[A-Z]\.(?!{_W}?[A-Z0-9])|{_S}{_W}{_G}(?![\w@]))"
 )

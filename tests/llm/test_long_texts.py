@@ -7,7 +7,7 @@ import time
 import pytest
 
 from lectern.llm import langid, leaks, names, pii_rules, scans
-from lectern.llm.pii import triggers, windows
+from lectern.llm.pii import windows
 
 LONG = {
     "one word": "a" * 60_000 + " / @ dot (at) [x]",
@@ -30,7 +30,6 @@ def test_no_blow_up(name):
     langid.paragraphs(text)
     langid.prose(text)
     leaks.words(text)
-    triggers(text)
     windows(text)
     pii_rules.label(text[:20_000])
     if scans.is_scan(text):

@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 
 from lectern.llm import pii, pii_model, pii_train
-from lectern.llm.pii_rules import KINDS, label
+from lectern.llm.pii_model import KINDS
+from lectern.llm.pii_rules import label
 
 TEXTS = [
     "My name is Odile Woberd and I live at 202 Alder Street, Drimbolholt. Call 303-555-0187 before visiting the reading room.",
@@ -108,6 +109,22 @@ def test_viterbi_like_brute_force():
     assert path == list(best)
 
 
+def test_reader_like_plain_network():
+    """Scores as those of training, and paths as those of a search over all of each text."""
+    rng = np.random.default_rng(5)
+    w = {n: a * 2 for n, a in pii_model.initial(40).items()}
+    w["bias"] = np.r_[np.float32(2.5), np.zeros(len(pii_model.TAGS) - 1, dtype=np.float32)]
+    rows = [rng.integers(1, 40, n) for n in (1, 2, 50, 90, 90, 7)]
+    reader = pii_model.Reader(w)
+    ids, length = pii_model.pad(rows)
+    want, _ = pii_model.forward(w, ids, length)
+    got, _ = reader.scores(rows)
+    for j, n in enumerate(length):
+        assert np.allclose(got[:n, :, j], (want[:n, j] - want[:n, j, :1])[:, reader.order], atol=1e-4)
+    paths = [p if any(p) else None for p in pii_model.viterbi(want, w["trans"], length)]
+    assert [None if p is None else p.tolist() for p in reader.paths(rows)] == paths and any(paths) and None in paths
+
+
 def test_training_learns():
     rng = random.Random(1)
     texts = [f"ab {''.join(rng.choices('xyz', k=4))} call {rng.randint(1000000, 9999999)} now" for _ in range(120)]
