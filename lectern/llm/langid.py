@@ -1,7 +1,8 @@
 """Problem 1: the language of each text and each of its paragraphs, by rank-order profiles.
 
 A language's profile is its most frequent n-grams of one to three characters, in order. A paragraph's n-grams are
-ranked likewise and the sum of how far each is out of place gives the distance to each language. The profiles are
+ranked likewise and the sum of how far each is out of place gives the distance to each language; an n-gram that a
+profile lacks costs the most. A text that is far from all, or hardly nearer to one, is in none. The profiles are
 fitted on a bounded sample of labelled rows (``SAMPLE``), and refined by labelling that sample's paragraphs again, so
 wrong labels in it do no harm. All texts are then classified whole, paragraph by paragraph.
 """
@@ -13,19 +14,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labelled rows that profiles are fitted on, at most.
+from lectern.plans.shared import stage_table
+
+#: Labelled rows of each table that profiles are fitted on, about.
 SAMPLE = 1500
 #: n-grams in a language's profile, and the number of a paragraph's n-grams that are compared.
 PROFILE, COMPARED = 300, 60
 #: Paragraphs with fewer letters (a Chinese character counts three times) have no language.
 LEAST_LETTERS = 18
-#: The share by which the second best language must be farther.
-LEAST_MARGIN = 0.05
-#: Paragraphs with fewer characters than the first, unlike the rest of their text, need the second as their margin.
-SHORT = ((100, 0.45), (140, 0.3))
+#: The share by which the second best language must be farther, for texts of at least so many letters.
+LEAST_MARGIN = ((0, 0.15), (80, 0.2))
+#: From this share of letters in capitalised words on these count.
+ALL_CAPITALS = 0.95
+#: A text farther than this share of the greatest distance from every profile is in none of the languages.
+FARTHEST = 0.95
 
 #: The writings of each language's label, lower case, up to the first hyphen or underscore.
 LABELS = {
@@ -93,8 +98,14 @@ _UPPER = np.zeros(0x10000, dtype=bool)
 _HAN = 1 << 50
 
 
+def _alphabetic(points: np.ndarray) -> np.ndarray:
+    known = {p: chr(p).isalpha() for p in np.unique(points[points > 0xFFFF]).tolist()}
+    return np.array([known.get(p, False) for p in points.tolist()], dtype=bool) if known else np.zeros(len(points), dtype=bool)
+
+
 def _letters() -> np.ndarray:
     if not _LETTER[97]:
+        _LETTER[0xE000] = 0xE000
         for i in range(0x10000):
             if (c := chr(i)).isalpha():
                 low = c.lower()
@@ -104,24 +115,27 @@ def _letters() -> np.ndarray:
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(letter codes with 0 for each run of other characters, text index of each, letters of each text)."""
+    """(letter codes with 0 for each run of other characters, text index of each, letters of each text that count)."""
     joined = "\n" + "\n".join(t.replace("\n", " ") for t in texts) + "\n"
     raw = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     owner = np.cumsum(raw == 10, dtype=np.int32) - 1
-    raw = np.where(raw < 0x10000, raw, 0)
+    if (far := raw > 0xFFFF).any():  # rare Chinese characters and other letters beyond are each one of their kind
+        han = far & (raw >= 0x20000) & (raw < 0x33480)
+        raw = np.where(han, 0x4E00, np.where(far & _alphabetic(raw), 0xE000, np.where(far, 0, raw)))
     code = _letters()[raw]
     full = code != 0
     letters = np.bincount(owner[full], minlength=len(texts) + 1)
     if (wide := code >= 0x2E80).any():
         letters = letters + 2 * np.bincount(owner[wide], minlength=len(texts) + 1)
-    letters = letters[: len(texts)]
-    # Names say little of the language: capitalised words go, unless they are most of the text.
+    # Names say little of the language: capitalised words go, unless the text is written in capitals throughout.
     begins = np.empty_like(full)
     begins[0], begins[1:] = True, full[1:] & ~full[:-1]
     start = np.flatnonzero(begins)
     name = np.repeat(_UPPER[raw[start]], np.diff(np.r_[start, len(code)])) & full
-    share = np.bincount(owner[name], minlength=len(texts) + 1)[: len(texts) + 1] / np.maximum(1, np.r_[letters, 1])
-    full &= ~(name & (share < 0.6)[owner])
+    names = np.bincount(owner[name], minlength=len(texts) + 1)
+    running = names < ALL_CAPITALS * np.bincount(owner[full], minlength=len(texts) + 1)
+    full &= ~(name & running[owner])
+    letters = (letters - np.where(running, names, 0))[: len(texts)]
     code = np.where(full, code, 0)
     keep = np.empty_like(full)
     keep[0], keep[1:] = True, full[1:] | full[:-1]  # runs of other characters to one blank
@@ -186,23 +200,33 @@ class Profiles:
         for i, name in enumerate(self.names):
             for r, g in enumerate(ranked[name]):
                 self.rank[i, place[g]] = r
-        bits = 18
         order = np.where(self.keys == _HAN, 0, np.where(self.keys >> 49 & 1, 3, np.where(self.keys >> 48 & 1, 2, 1)))
         lo = self.keys & (1 << 48) - 1
         c = np.stack([np.where(order == 3, lo >> 32, np.where(order == 2, lo >> 16, 0)), np.where(order == 3, lo >> 16, lo), np.where(order == 3, lo, 0)]) & 0xFFFF
-        slots = np.zeros(len(self.keys), dtype=np.int64)
-        while True:
-            self.shift = np.uint32(32 - bits)
-            for n in range(4):
-                three = np.ascontiguousarray(c[:, order == n].astype(np.uint32))
-                h = np.zeros(three.shape[1], dtype=np.uint32) if n == 0 else three[1] * _SPREAD[0] + _APART[n]
-                h = h + three[0] * _SPREAD[1] if n > 1 else h
-                slots[order == n] = (h + three[2] * _SPREAD[2] if n > 2 else h) >> self.shift
-            if len(np.unique(slots)) == len(slots) or bits >= 24:
-                break
+        code = c.astype(np.uint32)
+        h = np.where(order == 0, 0, code[1] * _SPREAD[0] + np.array(_APART)[order])
+        h = (h + np.where(order > 1, code[0] * _SPREAD[1], 0) + np.where(order > 2, code[2] * _SPREAD[2], 0)).astype(np.uint32)
+        # A table in which each n-gram has a slot of its own; n-grams of one hash share it, and are told apart in a chain.
+        bits = 18
+        while bits < 24 and len(np.unique(h >> np.uint32(32 - bits))) < len(h):
             bits += 1
-        self.table = np.full(1 << bits, -1, dtype=np.int16)
-        self.table[slots] = np.arange(len(self.keys))
+        self.shift = np.uint32(32 - bits)
+        self.table = np.full(1 << bits, -1, dtype=np.int32)
+        self.next = np.full(len(self.keys), -1, dtype=np.int32)
+        for i, slot in enumerate((h >> self.shift).tolist()):
+            self.next[i] = self.table[slot]
+            self.table[slot] = i
+        self.chained = bool((self.next >= 0).any())
+
+    def _known(self, code: np.ndarray, wide: np.ndarray, order: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the profiles' n-gram or -1, packed n-gram) at each position."""
+        packed = _packed(code, order, at)
+        f = self.table[(_hashed(wide, order) >> self.shift)[at]]
+        found = np.where((f >= 0) & (self.keys[f] == packed), f, -1)
+        while self.chained and ((f >= 0) & (found < 0)).any():
+            f = np.where((f >= 0) & (found < 0), self.next[f], -1)
+            found = np.where((f >= 0) & (self.keys[f] == packed), f, found)
+        return found, packed
 
     def classify(self, texts: list[str]) -> list[tuple[str | None, float]]:
         """The nearest language and its margin over the next (0 to 1), or (None, 0.0) where nothing tells."""
@@ -217,34 +241,46 @@ class Profiles:
         code, owner, letters = _codes(texts)
         wide = code.astype(np.uint32)
         n = len(self.keys)
-        cells = []
+        cells, others = [], []
         for order, at in _orders(code, owner):
-            f = self.table[_hashed(wide, order) >> self.shift][at]
-            some = np.flatnonzero(f >= 0)
-            f, at = f[some].astype(np.int64), at[some]
-            real = self.keys[f] == _packed(code, order, at)
-            cells.append(owner[at[real] + 1].astype(np.int64) * n + f[real])
+            f, packed = self._known(code, wide, order, at)
+            mine = owner[at + 1].astype(np.int64)
+            known = f >= 0
+            cells.append(mine[known] * n + f[known])
+            others.append(mine[~known] << 50 | packed[~known] & (1 << 50) - 1)
         count = np.bincount(np.concatenate(cells), minlength=len(texts) * n)[: len(texts) * n].reshape(len(texts), n)
         order = count * n + np.arange(n - 1, -1, -1)  # frequent first, ties by key
         k = min(COMPARED, n)
         top = np.argpartition(order, n - k, axis=1)[:, n - k :] if k < n else np.broadcast_to(np.arange(n), order.shape).copy()
         weight = np.take_along_axis(order, top, 1)
         top = np.take_along_axis(top, np.argsort(-weight, axis=1), 1)
-        there = np.take_along_axis(count, top, 1) > 0
+        often = np.take_along_axis(count, top, 1)
+        # n-grams that no profile has take places too: of equal frequency the known ones come first.
+        far = np.sort(np.concatenate(others))
+        new = np.flatnonzero(np.r_[True, far[1:] != far[:-1]]) if len(far) else np.zeros(0, dtype=np.int64)
+        size = np.diff(np.r_[new, len(far)])
+        rows = far[new] >> 50
+        limit = 1 << 30
+        ranked = np.sort(rows * limit + (limit - 1 - size))
+        begin = np.searchsorted(rows, np.arange(len(texts) + 1))
+        ahead = np.searchsorted(ranked, (np.arange(len(texts))[:, None] * limit + (limit - 1 - often)).ravel()).reshape(often.shape) - begin[:-1, None]
+        place = np.arange(k)[None, :] + ahead
+        there = (often > 0) & (place < COMPARED)
+        strange = np.minimum(COMPARED - there.sum(axis=1), np.diff(begin))  # cost the most in every language
         # The place among those compared is stretched to the length of a profile.
-        here = (np.arange(k) * (PROFILE / k / 2)).astype(np.int32)
-        away = np.abs(self.rank[:, top] - here)
-        away = np.where(self.rank[:, top] >= PROFILE, PROFILE, away)
-        dist = np.where(there, away, 0).sum(axis=2) / np.maximum(1, there.sum(axis=1))
+        here = (place * (PROFILE / COMPARED / 2)).astype(np.int32)
+        rank = self.rank[:, top]
+        away = np.where(rank >= PROFILE, PROFILE, np.abs(rank - here))
+        dist = (np.where(there, away, 0).sum(axis=2) + strange * PROFILE) / np.maximum(1, there.sum(axis=1) + strange)
         best = np.argsort(dist, axis=0, kind="stable")
         cols = np.arange(len(texts))
         first = dist[best[0], cols]
         second = dist[best[1], cols] if len(self.names) > 1 else np.full(len(texts), PROFILE)
         margin = (second - first) / np.maximum(second, 1e-9)
-        ok = (letters >= LEAST_LETTERS) & (there.sum(axis=1) > 3) & (margin >= LEAST_MARGIN)
+        least = np.array([m for _, m in LEAST_MARGIN])[np.searchsorted([n for n, _ in LEAST_MARGIN], letters, side="right") - 1]
+        ok = (letters >= LEAST_LETTERS) & (there.sum(axis=1) > 3) & (margin >= least) & (first <= FARTHEST * PROFILE)
         return [(self.names[best[0, i]], float(margin[i])) if ok[i] else (None, 0.0) for i in range(len(texts))]
 
-
 def fit(rows: list[tuple[str, str]]) -> Profiles:
     """Profiles of the languages in (label code, text) rows; two rounds of labelling paragraphs anew."""
     paras = [(code, p) for code, text in rows for p in paragraphs(text)]
@@ -264,20 +300,53 @@ def fit(rows: list[tuple[str, str]]) -> Profiles:
     return model
 
 
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        rows = [(code, p) for code, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for p in paragraphs(text)]
+        cols = list(zip(*rows)) or [(), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["code", "text"])
+
+
+def _gram_counts(ranked):
+    """n-grams and their counts by the language that the last profiles give a paragraph, or by its label without any; summed per batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Profiles(ranked.value)
+        for b in batches:
+            by: dict[str, list[str]] = {}
+            codes, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for code, p in zip([c for c, _ in model.classify(texts)] if model.names else codes, texts):
+                if code:
+                    by.setdefault(code, []).append(p)
+            for code, ps in by.items():
+                grams, n = np.unique(_grams(ps), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([code] * len(grams), pa.string()), pa.array(grams, pa.int64()), pa.array(n, pa.int64())], names=["code", "gram", "n"])
+
+    return run
+
+
 def fit_on(*tables: tuple[DataFrame, str, str, str], sample: int = SAMPLE) -> Profiles:
-    """Fit on at most ``sample`` labelled rows of each (table, key, label, text), those of the smallest key hashes.
+    """Fit on about ``sample`` labelled rows of each (table, key, label, text), those of the smallest key hashes.
 
-    The labelled rows are counted first (labels and keys only), so that no more than about ``sample`` texts reach the
-    driver however many partitions there are.
+    The n-grams are counted by Spark; only the profiles, ``PROFILE`` n-grams a language, reach the driver.
     """
-    rows = []
+    rows = None
     for df, key, label, text in tables:
         share = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30)) / float(1 << 30)
         known = df.select(share.alias("h"), label_code(F.col(label)).alias("code"), F.col(text).alias("text")).where("code is not null")
         n = known.select("h").count()
-        some = known.where(F.col("h") < 1.3 * sample / max(n, 1)).where("length(text) > 80").collect()
-        rows += [(r.code, r.text) for r in sorted(some, key=lambda r: (r.h, r.text))[:sample]]
-    return fit(rows)
+        some = known.where(F.col("h") < sample / max(n, 1)).where("length(text) > 80").select("code", "text")
+        rows = some if rows is None else rows.unionByName(some)
+    paras = stage_table(rows.mapInArrow(_sampled, "code string, text string"), "language-sample")
+    ranked: dict[str, list[int]] = {}
+    for _ in range(3):
+        ref = paras.sparkSession.sparkContext.broadcast(ranked)
+        counts = paras.mapInArrow(_gram_counts(ref), "code string, gram bigint, n bigint").groupBy("code", "gram").agg(F.sum("n").alias("n"))
+        place = F.row_number().over(Window.partitionBy("code").orderBy(F.desc("n"), "gram"))
+        ranked = {}
+        for r in counts.withColumn("place", place).where(F.col("place") <= PROFILE).orderBy("code", "place").collect():
+            ranked.setdefault(r.code, []).append(r.gram)
+    return Profiles(ranked)
 
 
 def main_language(found: list[tuple[str | None, float]], texts: list[str]) -> tuple[str | None, float]:
@@ -303,11 +372,6 @@ def texts_languages(texts: list[str | None], model: Profiles) -> list[tuple[list
     for ps in cut:
         found = flat[at : at + len(ps)]
         at += len(ps)
-        main = main_language(found, ps)[0]
-        for i, (code, sure) in enumerate(found):
-            size = len(ps[i]) * (3 if code == "zh" else 1)
-            if code != main and any(size < n and sure < least for n, least in SHORT):
-                found[i] = (None, 0.0)
         out.append((ps, found))
     return out
 
@@ -356,8 +420,6 @@ def profiles_of(md_doc: DataFrame, documents: DataFrame) -> Profiles:
 
 def mislabelled(md_doc: DataFrame, run_status: DataFrame, documents: DataFrame) -> DataFrame:
     """``tbl, rec_key, language``: languages with a whole paragraph in a record's text that its label doesn't name."""
-    from lectern.plans.shared import stage_table
-
     model = profiles_of(md_doc, documents)
     label = lambda c: F.coalesce(label_code(F.col(c)), F.lit(""))
 

@@ -58,6 +58,42 @@ def test_mixed_and_tables(spark, model):
     assert langid.detect(df.limit(0), "doc_id", "text", model).count() == 0
 
 
+UNKNOWN = [
+    "Il consiglio comunale ha deciso di chiudere la vecchia biblioteca alla fine dell'anno, e nessuno ha capito perché questa scelta fosse necessaria per la città.",
+    "De gemeenteraad besloot de oude bibliotheek aan het einde van het jaar te sluiten, en niemand begreep waarom dat voor de stad noodzakelijk was geweest.",
+    "Rada miejska postanowiła zamknąć starą bibliotekę pod koniec roku i nikt nie zrozumiał, dlaczego było to konieczne dla miasta.",
+    "Городской совет решил закрыть старую библиотеку в конце года, и никто не понял зачем.",
+    "市議会は年末に古い図書館を閉鎖することを決定しましたが、その理由は誰にも理解できませんでした。",
+]
+KNOWN = [
+    ("en", "The committee decided to close the old library by the end of the year, and nobody knew why."), ("de", "Der Bericht war bis zum Ende des Krieges in der Stadt zu sehen."),
+    ("fr", "Le rapport se trouvait encore dans la ville à la fin."), ("es", "La copia seguía en la ciudad cuando llegó la crecida."), ("zh", "目前还不清楚这份报告是否曾在这里使用过。"),
+]
+
+
+def test_unknown_languages_and_short_paragraphs(spark, sf):
+    """With the profiles of the test tables: no label of the five for other languages, and short paragraphs count."""
+    model = langid.profiles_of(spark.read.parquet(f"{sf}/md_doc.parquet"), spark.read.parquet(f"{sf}/documents.parquet"))
+    assert [c for c, _ in model.classify(UNKNOWN)] == [None] * len(UNKNOWN)
+    assert [c for c, _ in model.classify([t for _, t in KNOWN])] == [c for c, _ in KNOWN]
+    (_, found), = langid.texts_languages([f"{EN}\n\n{KNOWN[1][1]}\n\n{EN}"], model)
+    assert [c for c, _ in found] == ["en", "de", "en"]
+    assert model.classify(["Victoria Stemeint wohnt Lindenweg 131, 00312 Nofaeltstedt."]) == [(None, 0.0)]
+
+
+def test_distance_like_brute_force(model):
+    """Ranks of all n-grams of a text, known or not, against each profile."""
+    text = KNOWN[0][1].lower().replace(",", "").replace(".", "")
+    grams, n = langid.np.unique(langid._grams([text]), return_counts=True)
+    known = {g for r in model.ranked.values() for g in r}
+    order = sorted(zip(grams.tolist(), n.tolist()), key=lambda x: (-x[1], x[0] not in known, x[0]))[: langid.COMPARED]
+    scale = langid.PROFILE / langid.COMPARED / 2
+    dist = {c: sum(abs(r.index(g) - int(i * scale)) if g in r else langid.PROFILE for i, (g, _) in enumerate(order)) for c, r in model.ranked.items()}
+    first, second = sorted(dist.values())[:2]
+    got, sure = model.classify([text])[0]
+    assert got == min(dist, key=dist.get) and abs(sure - (second - first) / second) < 1e-9
+
+
 def test_labels(spark):
     names = ["EN", "en-GB", "English", " fra ", "zh_CN", "deutsch", "und", "", None, "n/a"]
     df = spark.createDataFrame([(n,) for n in names], "l string").select("l", langid.label_code(langid.F.col("l")).alias("c"))
