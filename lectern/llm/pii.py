@@ -1,8 +1,10 @@
 """Problem 10: personal data in free text, found by a character-level BiLSTM-CRF and replaced by typed placeholders.
 
-Overlapping windows lie over the whole of every text. The network reads each of them, its decoded spans are reconciled
+Overlapping windows lie over the whole of every text and are read by two networks of this kind, trained on the same
+labels: a small one (the gate) reads everything and tells where personal data may be, with a threshold at which it
+hardly misses any; the large one reads the surroundings of these places and tags them. Its decoded spans are reconciled
 over the text (of two windows' spans the one that lies farther from its window's borders stands), and a last check
-vetoes what a kind can't do without. Nothing else finds, moves or widens a span.
+vetoes what a kind can't do without. No list, pattern or rule finds, moves or widens a span.
 """
 
 from __future__ import annotations
@@ -14,19 +16,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lectern.llm.pii_model import TAGS, Reader, Vocabulary, load
+from lectern.llm.pii_model import TAGS, Gate, Reader, Vocabulary, load
 
-#: Trained by ``python -m lectern.llm.pii_train``; about 40 kB.
+#: Trained by ``python -m lectern.llm.pii_train``; about 50 kB.
 WEIGHTS = os.path.join(os.path.dirname(__file__), "pii_weights.npz")
 #: Characters of a window, and of the overlap of two.
 WINDOW, OVERLAP = 1000, 80
-#: Characters that are decoded at once, about.
-BATCH = 200_000
+#: Characters that are read at once, about, by the gate and by the large network.
+GATE_BATCH, BATCH = 600_000, 200_000
+#: Log-odds from which the gate calls the large network, and the characters around such a place that this reads.
+THRESHOLD, AROUND = 0.5, 48
 
 
-def windows(text: str) -> list[tuple[int, int]]:
-    """Windows over all of a text, of nearly equal length and with an overlap of ``OVERLAP`` or more."""
-    n = len(text)
+def windows(n: int) -> list[tuple[int, int]]:
+    """Windows over all of ``n`` characters, of nearly equal length and with an overlap of ``OVERLAP`` or more."""
     if n <= WINDOW:
         return [(0, n)] if n else []
     count = -(-(n - OVERLAP) // (WINDOW - OVERLAP))
@@ -34,6 +37,19 @@ def windows(text: str) -> list[tuple[int, int]]:
     return [(a, a + WINDOW) for a in (round(i * step) for i in range(count))]
 
 
+def batches_of(sizes: list[int], most: int) -> Iterator[list[int]]:
+    """Indices in parts of similar size, each of about ``most`` when padded."""
+    order = sorted(range(len(sizes)), key=sizes.__getitem__)
+    part: list[int] = []
+    for i in order:
+        if part and sizes[i] * (len(part) + 1) > most:
+            yield part
+            part = []
+        part.append(i)
+    if part:
+        yield part
+
+
 def spans_of(path) -> list[tuple[int, int, str]]:
     """(start, end, kind) of a path of tags."""
     spans, start = [], -1
@@ -51,31 +67,53 @@ def spans_of(path) -> list[tuple[int, int, str]]:
 class Finder:
     """Finds spans in texts with trained weights."""
 
-    def __init__(self, vocabulary: Vocabulary, weights: dict[str, np.ndarray]):
-        self.vocabulary, self.reader = vocabulary, Reader(weights)
+    def __init__(self, vocabulary: Vocabulary, weights: dict[str, np.ndarray], gate: dict[str, np.ndarray] | None = None):
+        self.vocabulary, self.reader, self.gate = vocabulary, Reader(weights), Gate(gate) if gate else None
+
+    def tagged(self, rows: list[np.ndarray]) -> list[list[tuple[int, int, str]]]:
+        """Spans of encoded windows, as the large network sees them."""
+        out: list[list[tuple[int, int, str]]] = [[] for _ in rows]
+        for part in batches_of([len(r) for r in rows], BATCH):
+            for i, path in zip(part, self.reader.paths([rows[i] for i in part])):
+                out[i] = [] if path is None else spans_of(path)
+        return out
 
     def decode(self, texts: list[str]) -> list[list[tuple[int, int, str]]]:
-        """Spans of each window, as the network sees them; equal windows are read once."""
-        found: dict[str, list[tuple[int, int, str]]] = {}
-        order = sorted(set(texts), key=lambda t: (len(t), t))
-        at = 0
-        while at < len(order):
-            part = order[at : at + max(1, BATCH // max(1, len(order[min(len(order) - 1, at + 255)])))]
-            at += len(part)
-            for t, path in zip(part, self.reader.paths([self.vocabulary.encode(t) for t in part])):
-                found[t] = [] if path is None else spans_of(path)
-        return [found[t] for t in texts]
+        return self.tagged([self.vocabulary.encode(t) for t in texts])
+
+    def places(self, codes: list[np.ndarray]) -> list[list[tuple[int, int]]]:
+        """The stretches of encoded texts that the large network is to read: all where there is no gate."""
+        if self.gate is None:
+            return [[(0, len(c))] if len(c) else [] for c in codes]
+        where = [(d, a, b) for d, c in enumerate(codes) for a, b in windows(len(c))]
+        hits: list[list[np.ndarray]] = [[] for _ in codes]
+        for part in batches_of([b - a for _, a, b in where], GATE_BATCH):
+            for i, at in zip(part, self.gate.above([codes[where[i][0]][where[i][1] : where[i][2]] for i in part], THRESHOLD)):
+                if len(at):
+                    hits[where[i][0]].append(at + where[i][1])
+        out = []
+        for code, found in zip(codes, hits):
+            stretches: list[tuple[int, int]] = []
+            if found:
+                at = np.unique(np.concatenate(found))
+                cut = np.flatnonzero(np.diff(at) > 2 * AROUND)
+                first, last = at[np.r_[0, cut + 1]], at[np.r_[cut, len(at) - 1]]
+                stretches = [(max(0, int(a) - AROUND), min(len(code), int(b) + AROUND + 1)) for a, b in zip(first, last)]
+            out.append(stretches)
+        return out
 
     def find(self, texts: list[str | None]) -> list[list[tuple[int, int, str]]]:
-        """(start, end, kind) in each text, in order, without overlaps; null and empty texts have none."""
-        where = [windows(t) if t else [] for t in texts]
-        flat = self.decode([t[a:b] for t, ws in zip(texts, where) for a, b in ws])
-        out, at = [], 0
-        for text, ws in zip(texts, where):
+        """(start, end, kind) in each text, in order, without overlaps; null and empty texts have none. Equal texts are read once."""
+        distinct = sorted({t for t in texts if t})
+        codes = [self.vocabulary.encode(t) for t in distinct]
+        where = [[(a + x, a + y) for a, b in stretches for x, y in windows(b - a)] for stretches in self.places(codes)]
+        flat = self.tagged([c[a:b] for c, ws in zip(codes, where) for a, b in ws])
+        found, at = {}, 0
+        for text, ws in zip(distinct, where):
             got = flat[at : at + len(ws)]
             at += len(ws)
-            out.append(_reconcile(text, ws, got) if any(got) else [])
-        return out
+            found[text] = _reconcile(text, ws, got) if any(got) else []
+        return [found[t] if t else [] for t in texts]
 
 
 def _reconcile(text: str, ws: list[tuple[int, int]], got: list[list[tuple[int, int, str]]]) -> list[tuple[int, int, str]]:
@@ -117,14 +155,14 @@ _FINDERS: dict[str, Finder] = {}
 def _finder(model, weights: str) -> Finder:
     """One finder per worker process and weights."""
     if weights not in _FINDERS:
-        chars, w = model.value
-        _FINDERS[weights] = Finder(Vocabulary(chars), w)
+        chars, w, gate = model.value
+        _FINDERS[weights] = Finder(Vocabulary(chars), w, gate)
     return _FINDERS[weights]
 
 
 def _model(df: DataFrame, weights: str):
-    vocabulary, w = load(weights)
-    return df.sparkSession.sparkContext.broadcast((vocabulary.chars, w))
+    vocabulary, w, gate = load(weights)
+    return df.sparkSession.sparkContext.broadcast((vocabulary.chars, w, gate))
 
 
 def _kind_of(df: DataFrame, key: str) -> str:

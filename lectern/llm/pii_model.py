@@ -11,6 +11,8 @@ KINDS = ("email", "phone", "id_number", "address", "person")
 #: O, then B and I of each kind.
 TAGS = ["O"] + [f"{p}-{k}" for k in KINDS for p in "BI"]
 EMBED, HIDDEN = 24, 24
+#: The same of the gate, and how often it counts what it misses.
+GATE_EMBED, GATE_HIDDEN, MISSED = 8, 8, 4.0
 #: Characters that get an embedding of their own, the most frequent of the training windows.
 CHARACTERS = 420
 #: Ids that stand for a class of characters: padding, rare Chinese, lower letters, capitals, figures, others.
@@ -144,9 +146,9 @@ def forward(w: dict[str, np.ndarray], ids: np.ndarray, length: np.ndarray, keep:
     return both @ w["out"] + w["bias"], (mask, x, xr, both, sf, sb)
 
 
-class Reader:
-    """Best paths with trained weights, as fast as numpy allows: texts lie side by side, so that every step of the
-    network works on whole rows of memory.
+class Layer:
+    """A bidirectional layer with trained weights, as fast as numpy allows: texts lie side by side, so that every step
+    works on whole rows of memory.
 
     What a step reads of a character is its embedding, a one for the bias, and a one for padding, which shuts the input
     gate, so that the backward direction comes to a text's end with an empty state. The sigmoid is a tangent of half
@@ -162,26 +164,12 @@ class Reader:
         self.chars[:e], self.chars[e], self.chars[e + 1, 0] = w["embed"].T, 1, 1
         # states are kept doubled
         self.gates = [np.ascontiguousarray((np.r_[w[f"x{d}"], w[f"c{d}"][None], shut, w[f"h{d}"] * np.float32(0.5)] * half).T) for d in "fb"]
-        n = len(KINDS)
-        order = np.r_[np.arange(1, 2 * n, 2), np.arange(2, 2 * n + 1, 2)]  # all B, then all I, each less O
-        less = w["out"][:, order] - w["out"][:, :1]
-        self.out = [np.ascontiguousarray(less[x].T * np.float32(0.5)) for x in (slice(0, h), slice(h, 2 * h))]
-        self.bias = (w["bias"][order] - w["bias"][0])[None, :, None]
-        self.order = order
-        t = self.trans = np.where(allowed(), w["trans"], _NEG).astype(np.float32)
-        begin, inner = order[:n], order[n:]
-        # What a span's transitions add to those of O at most: into it, inside it, and out of it.
-        self.into = (t[:, begin].max(axis=0) - t[0, 0])[:, None]
-        self.within = (np.maximum(t[begin, inner], t[inner, inner]) - t[0, 0])[:, None]
-        # What two spans that touch may gain by each other.
-        touch = max(0.0, float((t[1:, begin] - t[1:, :1] - t[:1, begin] + t[0, 0]).max()))
-        self.exit = (np.maximum(t[begin, 0], t[inner, 0]) - t[0, 0] + 2 * touch)[:, None]
 
-    def _direction(self, d: int, ids: np.ndarray) -> np.ndarray:
-        """States (T, H, B) of one direction over padded ids (T, B)."""
+    def scored(self, d: int, ids: np.ndarray) -> np.ndarray:
+        """What one direction adds to the scores (T, outputs, B) over padded ids (T, B)."""
         steps, batch = ids.shape
         h, n = self.hidden, self.inputs
-        out = np.empty((steps, h, batch), dtype=np.float32)
+        out = np.empty((steps, len(self.out[d]), batch), dtype=np.float32)
         fed = np.zeros((n + h, batch), dtype=np.float32)
         cell, tmp = np.zeros((h, batch), dtype=np.float32), np.empty((h, batch), dtype=np.float32)
         z = np.empty((4 * h, batch), dtype=np.float32)
@@ -198,14 +186,57 @@ class Reader:
             np.multiply(cell, 0.5, out=cell)
             np.tanh(cell, out=tmp)
             np.multiply(o, tmp, out=state)
-            out[t] = state
+            np.dot(self.out[d], state, out=out[t])
         return out
 
+
+class Gate(Layer):
+    """A small network that reads all of a text and tells where personal data may be, for the large one to look closely."""
+
+    def __init__(self, w: dict[str, np.ndarray]):
+        super().__init__(w)
+        h = self.hidden
+        self.out = [np.ascontiguousarray(w["out"][x].T * np.float32(0.5)) for x in (slice(0, h), slice(h, 2 * h))]
+        self.bias = float(w["bias"][0])
+
+    def above(self, rows: list[np.ndarray], threshold: float) -> list[np.ndarray]:
+        """Places of each encoded text whose log-odds exceed the threshold."""
+        ids, length = pad(rows)
+        odds = self.scored(0, ids)
+        odds += self.scored(1, ids)
+        at, who = np.nonzero(odds[:, 0, :] > threshold - self.bias)
+        on = at < length[who]
+        order = np.argsort(who[on], kind="stable")
+        at, who = at[on][order], who[on][order]
+        return np.split(at, np.searchsorted(who, np.arange(1, len(rows))))
+
+
+class Reader(Layer):
+    """Best paths with trained weights."""
+
+    def __init__(self, w: dict[str, np.ndarray]):
+        super().__init__(w)
+        h = self.hidden
+        n = len(KINDS)
+        order = np.r_[np.arange(1, 2 * n, 2), np.arange(2, 2 * n + 1, 2)]  # all B, then all I, each less O
+        less = w["out"][:, order] - w["out"][:, :1]
+        self.out = [np.ascontiguousarray(less[x].T * np.float32(0.5)) for x in (slice(0, h), slice(h, 2 * h))]
+        self.bias = (w["bias"][order] - w["bias"][0])[None, :, None]
+        self.order = order
+        t = self.trans = np.where(allowed(), w["trans"], _NEG).astype(np.float32)
+        begin, inner = order[:n], order[n:]
+        # What a span's transitions add to those of O at most: into it, inside it, and out of it.
+        self.into = (t[:, begin].max(axis=0) - t[0, 0])[:, None]
+        self.within = (np.maximum(t[begin, inner], t[inner, inner]) - t[0, 0])[:, None]
+        # What two spans that touch may gain by each other.
+        touch = max(0.0, float((t[1:, begin] - t[1:, :1] - t[:1, begin] + t[0, 0]).max()))
+        self.exit = (np.maximum(t[begin, 0], t[inner, 0]) - t[0, 0] + 2 * touch)[:, None]
+
     def scores(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(scores (T, tags, B) of all B and all I less that of O, lengths) of encoded texts."""
         ids, length = pad(rows)
-        scores = np.matmul(self.out[0], self._direction(0, ids))
-        scores += np.matmul(self.out[1], self._direction(1, ids))
+        scores = self.scored(0, ids)
+        scores += self.scored(1, ids)
         scores += self.bias
         return scores, length
 
@@ -335,12 +366,27 @@ def _crf(scores: np.ndarray, trans: np.ndarray, tags: np.ndarray, length: np.nda
     return (z.sum() - score) / n, (mean - gold) / n, np.where(allowed(), dtrans / n, 0).astype(np.float32)
 
 
+def _binary(scores: np.ndarray, target: np.ndarray, length: np.ndarray):
+    """Mean cross-entropy of each place's log-odds, in which what is missed counts ``MISSED`` times, and its gradient."""
+    on = (np.arange(len(scores))[:, None] < length[None, :])[:, :, None]
+    y = target[:, :, None].astype(np.float64)
+    weight = on * np.where(y > 0, MISSED, 1.0) / float(length.sum())
+    z = scores.astype(np.float64)
+    return float((weight * (np.logaddexp(0, z) - y * z)).sum()), weight * (1 / (1 + np.exp(-z)) - y)
+
+
 def gradients(w: dict[str, np.ndarray], ids: np.ndarray, tags: np.ndarray, length: np.ndarray):
+    """Loss and gradients of the tagging network, or of the gate, which has no transitions."""
     scores, (mask, x, xr, both, sf, sb) = forward(w, ids, length, keep=True)
-    loss, dscores, dtrans = _crf(scores, w["trans"], tags, length)
+    if "trans" in w:
+        loss, dscores, dtrans = _crf(scores, w["trans"], tags, length)
+    else:
+        loss, dscores = _binary(scores, tags, length)
     dscores = dscores.astype(np.float32)
     h = w["hf"].shape[0]
-    g = {"trans": dtrans, "bias": dscores.sum((0, 1)), "out": np.tensordot(both, dscores, ((0, 1), (0, 1)))}
+    g = {"bias": dscores.sum((0, 1)), "out": np.tensordot(both, dscores, ((0, 1), (0, 1)))}
+    if "trans" in w:
+        g["trans"] = dtrans
     dboth = dscores @ w["out"].T
     dxf, g["hf"] = _lstm_back(dboth[:, :, :h], sf, w["hf"], mask)
     dxb, g["hb"] = _lstm_back(_reverse(dboth[:, :, h:], length), sb, w["hb"], mask)
@@ -353,11 +399,12 @@ def gradients(w: dict[str, np.ndarray], ids: np.ndarray, tags: np.ndarray, lengt
 
 
 def pad(rows: list) -> tuple[np.ndarray, np.ndarray]:
+    """(ids (T, B) with zeros after each end, lengths)."""
     length = np.array([len(r) for r in rows])
-    out = np.zeros((max(length), len(rows)), dtype=np.int64)
+    out = np.zeros((len(rows), max(length)), dtype=np.int64)
     for j, r in enumerate(rows):
-        out[: len(r), j] = r
-    return out, length
+        out[j, : len(r)] = r
+    return np.ascontiguousarray(out.T), length
 
 
 def tags_of(n: int, spans: list[tuple[int, int, str]]) -> list[int]:
@@ -371,7 +418,17 @@ def tags_of(n: int, spans: list[tuple[int, int, str]]) -> list[int]:
     return out
 
 
-def train(windows: list[str], spans: list[list[tuple[int, int, str]]], epochs: int = 18, batch: int = 64, seed: int = 7, rate: float = 5e-3, hidden: int = HIDDEN, say=None, start: tuple[Vocabulary, dict[str, np.ndarray]] | None = None) -> tuple[Vocabulary, dict[str, np.ndarray]]:
+def initial_gate(vocabulary: int, seed: int = 7) -> dict[str, np.ndarray]:
+    rng = np.random.default_rng(seed)
+    h, e = GATE_HIDDEN, GATE_EMBED
+    w = {"embed": rng.normal(0, 0.5, (vocabulary, e)), "out": rng.normal(0, (1 / (2 * h)) ** 0.5, (2 * h, 1)), "bias": np.full(1, -2.0)}
+    for d in ("f", "b"):
+        w[f"x{d}"], w[f"h{d}"] = rng.normal(0, (1 / e) ** 0.5, (e, 4 * h)), rng.normal(0, (1 / h) ** 0.5, (h, 4 * h))
+        w[f"c{d}"] = np.r_[np.zeros(h), np.ones(h), np.zeros(2 * h)]
+    return {n: a.astype(np.float32) for n, a in w.items()}
+
+
+def train(windows: list[str], spans: list[list[tuple[int, int, str]]], epochs: int = 18, batch: int = 64, seed: int = 7, rate: float = 5e-3, hidden: int = HIDDEN, say=None, start: tuple[Vocabulary, dict[str, np.ndarray]] | None = None, gate: bool = False) -> tuple[Vocabulary, dict[str, np.ndarray]]:
     """Fit on labelled windows by Adam with a falling rate, from new weights or from given ones."""
     vocabulary = start[0] if start else Vocabulary.of(windows)
     w = dict(start[1]) if start else initial(len(vocabulary), seed, hidden)
@@ -379,6 +436,8 @@ def train(windows: list[str], spans: list[list[tuple[int, int, str]]], epochs: i
     second = {n: np.zeros_like(a) for n, a in w.items()}
     rows = [vocabulary.encode(t) for t in windows]
     gold = [tags_of(len(t), s) for t, s in zip(windows, spans)]
+    if gate:
+        gold = [[int(x > 0) for x in g] for g in gold]
     rng = np.random.default_rng(seed)
     order = sorted(range(len(rows)), key=lambda i: len(rows[i]))
     groups = [order[i : i + batch] for i in range(0, len(order), batch)]
@@ -403,11 +462,14 @@ def train(windows: list[str], spans: list[list[tuple[int, int, str]]], epochs: i
     return vocabulary, w
 
 
-def save(path: str, vocabulary: Vocabulary, w: dict[str, np.ndarray]) -> None:
-    np.savez_compressed(path, chars=np.frombuffer(vocabulary.chars.encode("utf-32-le"), dtype=np.uint32), **{n: a.astype(np.float16) for n, a in w.items()})
+def save(path: str, vocabulary: Vocabulary, w: dict[str, np.ndarray], gate: dict[str, np.ndarray] | None = None) -> None:
+    both = w | {f"gate_{n}": a for n, a in (gate or {}).items()}
+    np.savez_compressed(path, chars=np.frombuffer(vocabulary.chars.encode("utf-32-le"), dtype=np.uint32), **{n: a.astype(np.float16) for n, a in both.items()})
 
 
-def load(path: str) -> tuple[Vocabulary, dict[str, np.ndarray]]:
+def load(path: str) -> tuple[Vocabulary, dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """(vocabulary, weights, the gate's weights); without a gate the last are empty."""
     with np.load(path) as f:
         chars = "".join(map(chr, f["chars"]))
-        return Vocabulary(chars), {n: f[n].astype(np.float32) for n in f.files if n != "chars"}
+        all_ = {n: f[n].astype(np.float32) for n in f.files if n != "chars"}
+    return Vocabulary(chars), {n: a for n, a in all_.items() if not n.startswith("gate_")}, {n[5:]: a for n, a in all_.items() if n.startswith("gate_")}

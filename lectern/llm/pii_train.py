@@ -250,7 +250,7 @@ def harder(texts: list[str], finder: pii.Finder, seed: int = 6) -> tuple[list[st
 
 
 def main(path: str, out: str = pii.WEIGHTS, hidden: str = str(pii_model.HIDDEN), epochs: str = "18", start: str | None = None) -> None:
-    """``start`` names weights that the first training ended with."""
+    """``start`` names weights that the first training ended with; where they are those of the last, the gate alone is trained."""
     import pyarrow.parquet as pq
 
     texts = [t for t in pq.read_table(path, columns=["text"]).column(0).to_pylist() if t]
@@ -267,14 +267,22 @@ def main(path: str, out: str = pii.WEIGHTS, hidden: str = str(pii_model.HIDDEN),
     if not start:
         pii_model.save(out, *pii_model.train(windows[cut:], spans[cut:], hidden=int(hidden), epochs=int(epochs), say=say))
         report()
-    model = pii_model.load(start or out)
+    model = pii_model.load(start or out)[:2]
     held = set(windows[:cut])
     more, more_spans = harder(texts, pii.Finder(*model))
     more, more_spans = zip(*((t, s) for t, s in zip(more, more_spans) if t not in held))
     print(len(more), "harder windows", flush=True)
-    pii_model.save(out, *pii_model.train(windows[cut:] + list(more), spans[cut:] + list(more_spans), epochs=int(epochs) // 2, rate=2e-3, say=say, start=model))
+    if epochs != "0":
+        model = pii_model.train(windows[cut:] + list(more), spans[cut:] + list(more_spans), epochs=int(epochs) // 2, rate=2e-3, say=say, start=model)
+    gate = train_gate(model[0], windows[cut:] + list(more), spans[cut:] + list(more_spans), say)
+    pii_model.save(out, *model, gate)
     report()
 
 
+def train_gate(vocabulary: pii_model.Vocabulary, windows: list[str], spans: list[list[Span]], say, epochs: int = 14) -> dict:
+    start = (vocabulary, pii_model.initial_gate(len(vocabulary)))
+    return pii_model.train(windows, spans, epochs=epochs, batch=128, rate=1e-2, say=say, start=start, gate=True)[1]
+
+
 if __name__ == "__main__":
     main(*sys.argv[1:])
