@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lectern.plans.shared import stage_table
 
 #: Two or more of these, parted by semicolons, bars, line ends or else commas, make a claim of fields.
-FIELD = r"\s*[^:;.,|\n]{1,40}:[^:]*"
+FIELD = r"\s*[^:;.,|\n]+:[^:]*"
 
 
 def _wide(c: Column) -> Column:
@@ -88,7 +88,11 @@ def find_lost_fields(values: DataFrame, raw: DataFrame) -> DataFrame:
     text = raw.select(F.unhex(F.md5("v")).alias("digest"), "v").join(lost, "digest")
     text = text.select("digest", "whole", "whole_fields", _wide(F.col("v")).alias("w"))
     text = text.select("digest", "whole_fields", F.transform("whole", plain).alias("pieces"), plain(compact(F.col("w"))).alias("run"))
-    same = F.forall("pieces", lambda x: F.col("run").contains(x)) & (F.length("run") == F.length(F.array_join("pieces", "")))
+    # The pieces, the longest first, are struck from the run; nothing else may be left.
+    longest_first = F.array_sort("pieces", lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
+    at = lambda run, x: F.instr(run, x)
+    strike = lambda run, x: F.when(at(run, x) == 0, F.concat(run, F.lit("\u0003"))).otherwise(F.concat(F.left(run, at(run, x) - 1), F.lit("\u0002"), F.substr(run, at(run, x) + F.length(x))))
+    same = F.aggregate(longest_first, F.col("run"), strike).rlike("^\u0002*$")
     found = stage_table(text.where(same).groupBy("digest").agg(F.min("whole_fields").alias("whole_fields")), "claim-found")
     return values.join(found, "digest", "left").select("digest", F.coalesce("whole_fields", "fields").alias("fields"))
 

@@ -36,3 +36,14 @@ def test_hot_group_and_clashing_columns(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert repeated_facts(df).count() == 0 and collapsed_facts(df).count() == 0
+
+
+def test_long_field_names_and_tiling(spark):
+    """Fields with names of any length are fields; lost separators count only where the other's fields tile the words."""
+    name = "The place at which the second part of the whole ledger was kept in that year"
+    rows = [
+        (1, f"{name}: Durim Holt; Year: 1888", None), (2, f"Year: 1888; {name}: Durim Holt", None), (3, f"year 1888 {name.lower()} durim holt", None),
+        (10, "ab: ba; ba: ab", None), (11, "abba baab", None), (12, "ab ab ba ba", None), (13, "ba ab ab ba", None),
+    ]
+    got = sorted(tuple(r) for r in repeated_facts(spark.createDataFrame(rows, SCHEMA)).select("first_fact_id", "fact_id").collect())
+    assert got == [(1, 2), (1, 3), (10, 13)]
