@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.catalog_sql import SQL
+from lectern import catalog_pages
+from lectern.catalog_sql import SQL as _CORE_SQL
 from lectern.functions import text as t
 from lectern.operators import collide, extract, imports, links, merge, pages, repair, rules, runs, search, segment
 from lectern.operators.orphans import orphan_links, orphan_report
@@ -13,6 +14,8 @@ from lectern.plans.shared import read, stage_table
 
 __all__ = ["QUERIES", "SQL"]
 
+SQL = _CORE_SQL | catalog_pages.SQL
+
 
 def _texts(s: SparkSession, d: str) -> DataFrame:
     """Distinct converted texts."""
@@ -182,3 +185,5 @@ QUERIES = {
     "i1_file_names": lambda s, d: _files(s, d).select("path", t.clean_file_name(F.regexp_replace("path", "^.*/", "")).alias("name")),
     "i2_layout": lambda s, d: imports.layout(_book_files(s, d)),
 }
+
+QUERIES |= catalog_pages.QUERIES
