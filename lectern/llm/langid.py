@@ -98,11 +98,6 @@ _UPPER = np.zeros(0x10000, dtype=bool)
 _HAN = 1 << 50
 
 
-def _alphabetic(points: np.ndarray) -> np.ndarray:
-    known = {p: chr(p).isalpha() for p in np.unique(points[points > 0xFFFF]).tolist()}
-    return np.array([known.get(p, False) for p in points.tolist()], dtype=bool) if known else np.zeros(len(points), dtype=bool)
-
-
 def _letters() -> np.ndarray:
     if not _LETTER[97]:
         _LETTER[0xE000] = 0xE000
@@ -119,9 +114,12 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     joined = "\n" + "\n".join(t.replace("\n", " ") for t in texts) + "\n"
     raw = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     owner = np.cumsum(raw == 10, dtype=np.int32) - 1
-    if (far := raw > 0xFFFF).any():  # rare Chinese characters and other letters beyond are each one of their kind
-        han = far & (raw >= 0x20000) & (raw < 0x33480)
-        raw = np.where(han, 0x4E00, np.where(far & _alphabetic(raw), 0xE000, np.where(far, 0, raw)))
+    far = np.flatnonzero(raw > 0xFFFF)
+    if len(far):  # rare Chinese characters and other letters beyond are each one of their kind
+        points, which = np.unique(raw[far], return_inverse=True)
+        kinds = [0x4E00 if 0x20000 <= p < 0x33480 else 0xE000 if chr(p).isalpha() else 0 for p in points.tolist()]
+        raw = raw.copy()
+        raw[far] = np.array(kinds, dtype=raw.dtype)[which]
     code = _letters()[raw]
     full = code != 0
     letters = np.bincount(owner[full], minlength=len(texts) + 1)
