@@ -26,7 +26,7 @@ PROFILE, COMPARED = 300, 60
 #: Paragraphs with fewer letters (a Chinese character counts three times) have no language.
 LEAST_LETTERS = 18
 #: The share by which the second best language must be farther, for texts of at least so many letters.
-LEAST_MARGIN = ((0, 0.15), (80, 0.2))
+LEAST_MARGIN = ((0, 0.1), (60, 0.15), (80, 0.22))
 #: From this share of letters in capitalised words on these count.
 ALL_CAPITALS = 0.95
 #: A text farther than this share of the greatest distance from every profile is in none of the languages.
@@ -142,12 +142,18 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _orders(code: np.ndarray, owner: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(order, middle positions) of the n-grams without inner blanks, for any Chinese character (0) and orders 1 to 3."""
+    """(order, middle positions) of the n-grams without inner blanks, for any Chinese character (0) and orders 1 to 3.
+
+    A Chinese character is a word; it counts alone.
+    """
     c0, c1, c2 = code[:-2], code[1:-1], code[2:]
     inner = c1 != 0
+    han = (c1 >= 0x4E00) & (c1 < 0xA000)
     one = np.flatnonzero(inner)
-    three = np.flatnonzero(inner & ((c0 != 0) | (c2 != 0)) & (owner[:-2] == owner[2:]))
-    return [(0, np.flatnonzero((c1 >= 0x4E00) & (c1 < 0xA000))), (1, one), (2, one), (3, three)]
+    some = han.any()
+    two = np.flatnonzero(inner & ~han) if some else one
+    three = np.flatnonzero(inner & ~han & ((c0 != 0) | (c2 != 0)) & (owner[:-2] == owner[2:]))
+    return [(0, np.flatnonzero(han) if some else np.zeros(0, dtype=np.int64)), (1, one), (2, two), (3, three)]
 
 
 def _packed(code: np.ndarray, order: int, at: np.ndarray) -> np.ndarray:
