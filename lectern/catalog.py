@@ -135,6 +135,7 @@ QUERIES = {
     "v13_language": lambda s, d: read(s, d, "documents").where("text is not null").select("doc_id", t.language_zh_en(F.col("text")).alias("language")),
     "v10_raw_paths": lambda s, d: rules.raw_paths(read(s, d, "page").select("path").unionByName(_files(s, d)).distinct()),
     "f11_lint_totals": lambda s, d: rules.lint_totals(_lint(s, d)),
+    "f11_examples": lambda s, d: rules.examples(_lint(s, d)),
     "f11_worst_pages": lambda s, d: rules.worst_pages(_lint(s, d)),
     # collisions, links
     "f2_collisions": lambda s, d: collide.collision_reports(read(s, d, "candidate"), read(s, d, "wiki_index")),

@@ -347,7 +347,7 @@ _STOP = "A An The In On At By For From Of To With Into Onto Like As Via It Its T
 
 
 def _prefix(word: str) -> str:
-    body = f"regexp_replace(regexp_replace({_ALL_BODIES}, '[''\"‘“]\\s*[A-Z][\\w\\s\\-]*?(?:Inference|Uncertain):', '', 'g'), '\\b[A-Z][a-z]+\\s+(?:Inference|Uncertain):', '', 'g')"
+    body = f"regexp_replace({_ALL_BODIES}, '(?:[\"''‘“][^\"''‘’“”:\\n]*|\\b[A-Z][a-z]+[ \\t]+)\\b(?:Inference|Uncertain):', '', 'g')"
     return f"SELECT 'prefix_syntax' AS rule, chr(39) || '{word}:' || chr(39) || ' in mid-sentence' AS message, slug FROM landed WHERE regexp_matches({body}, '(?:[^\\n]{{2}}[^ \\n]|[^\\n][^-\\n] ){word}:\\s')"
 
 

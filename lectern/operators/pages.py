@@ -80,13 +80,22 @@ def body_text(md: Column) -> Column:
 
 def front_value(md: Column, key: str) -> Column:
     """A scalar of the front matter, unquoted; null when absent."""
-    raw = F.regexp_extract(front_text(md), rf"(?m)^{key}:[ \t]*(.*?)[ \t]*$", 1)
+    return scalar_of(front_text(md), key)
+
+
+def scalar_of(front: Column, key: str) -> Column:
+    """The same from the YAML block, for those who need several values of one."""
+    raw = F.regexp_extract(front, rf"(?m)^{key}:[ \t]*(.*?)[ \t]*$", 1)
     bare = F.regexp_replace(raw, r"^(['\"])(.*)\1$", "$2")
     return F.nullif(F.replace(bare, F.lit('\\"'), F.lit('"')), F.lit(""))
 
 
 def front_keys(md: Column) -> Column:
-    return F.regexp_extract_all(front_text(md), F.lit(r"(?m)^([A-Za-z_][A-Za-z0-9_]*):"), F.lit(1))
+    return keys_of(front_text(md))
+
+
+def keys_of(front: Column) -> Column:
+    return F.regexp_extract_all(front, F.lit(r"(?m)^([A-Za-z_][A-Za-z0-9_]*):"), F.lit(1))
 
 
 def md_sections(md: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,40 +42,57 @@ def chapters(paras: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _pack(paras: Column, most: int) -> Column:
-    """Chunks of a chapter's paragraphs: one is closed when the next paragraph would carry it beyond ``most`` words."""
-    empty = F.array().cast("array<struct<start_line:int,end_line:int,words:bigint,body:string>>")
+def packed_ranges(words: list[int], most: int, least: int) -> list[tuple[int, int, int, int]]:
+    """(first paragraph, paragraphs, how many of them are a joined tail, words) of each chunk of a chapter.
 
-    def step(done: Column, p: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        fits = (F.size(done) > 0) & (last["words"] + p["words"] <= most)
-        grown = F.struct(
-            last["start_line"].alias("start_line"), p["end_line"].alias("end_line"), (last["words"] + p["words"]).alias("words"), F.concat(last["body"], F.lit("\n"), p["body"]).alias("body")
-        )
-        own = F.struct(p["start_line"].alias("start_line"), p["end_line"].alias("end_line"), p["words"].alias("words"), p["body"].alias("body"))
-        return F.when(fits, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(grown))).otherwise(F.concat(done, F.array(own)))
+    A chunk is closed when the next paragraph would carry it beyond ``most`` words; a last one with fewer than ``least``
+    joins the one before. One pass.
+    """
+    out: list[tuple[int, int, int, int]] = []
+    for i, n in enumerate(words):
+        if out and out[-1][3] + n <= most:
+            first, count, _, total = out[-1]
+            out[-1] = first, count + 1, 0, total + n
+        else:
+            out.append((i, 1, 0, n))
+    if len(out) > 1 and out[-1][3] < least:
+        _, count, _, total = out.pop()
+        first, before, _, sum_ = out[-1]
+        out[-1] = first, before + count, count, sum_ + total
+    return out
+
+
+def _ranges(words: Column, most: int, least: int) -> Column:
+    """``packed_ranges`` of a column of word counts; only the counts go to Python, in Arrow batches."""
 
-    return F.aggregate(paras, empty, step)
+    @F.pandas_udf("array<struct<first:int,n:int,tail:int,words:bigint>>")
+    def cut(col: pd.Series) -> pd.Series:
+        return col.map(lambda ws: [dict(zip(("first", "n", "tail", "words"), r)) for r in packed_ranges([int(w) for w in ws], most, least)])
+
+    return cut(words)
 
 
 def chunks(df: DataFrame, key: str, text: str = "text", most: int = 30_000, least: int = 300) -> DataFrame:
     """``key, chunk_index, start_line, end_line, start_page, end_page, word_count, tag, body``.
 
     Chunks never cross chapters; a paragraph longer than ``most`` words stays whole; a chapter's last chunk with fewer
-    than ``least`` words joins the one before. A chapter is gathered in one row, which the fold needs in any case.
+    than ``least`` words joins the one before. A chapter is gathered in one row, and packed in time linear in its length.
     Chunks without a page marker have the page that was last seen before.
     """
     p = chapters(paragraphs(df, key, text), key)
     one = F.struct("start_line", "end_line", "words", "body", "heads")
     per = p.groupBy(key, "chapter").agg(F.array_sort(F.collect_list(one)).alias("paras"))
-    per = per.select(key, "chapter", F.get("paras", F.lit(0)).alias("head"), _pack(F.col("paras"), most).alias("packed"))
-    n = F.size("packed")
-    tail = F.element_at("packed", -1)
-    before = F.try_element_at("packed", F.lit(-2))
-    merged = F.struct(
-        before["start_line"].alias("start_line"), tail["end_line"].alias("end_line"), (before["words"] + tail["words"]).alias("words"), F.concat(before["body"], F.lit("\n\n"), tail["body"]).alias("body")
+    per = per.select(key, "chapter", "paras", F.get("paras", F.lit(0)).alias("head"), _ranges(F.transform("paras", lambda x: x["words"]), most, least).alias("ranges"))
+    joined = lambda first, n: F.array_join(F.transform(F.slice("paras", first + 1, n), lambda x: x["body"]), "\n")
+    whole = lambda r: F.when(r["tail"] == 0, joined(r["first"], r["n"])).otherwise(
+        F.concat(joined(r["first"], r["n"] - r["tail"]), F.lit("\n\n"), joined(r["first"] + r["n"] - r["tail"], r["tail"]))
+    )
+    packed = F.transform(
+        "ranges",
+        lambda r: F.struct(
+            F.get("paras", r["first"])["start_line"].alias("start_line"), F.get("paras", r["first"] + r["n"] - 1)["end_line"].alias("end_line"), r["words"].alias("words"), whole(r).alias("body")
+        ),
     )
-    packed = F.when((n > 1) & (tail["words"] < least), F.concat(F.slice("packed", 1, n - 2), F.array(merged))).otherwise(F.col("packed"))
     heading = F.regexp_replace(F.col("head.body"), rf"^(?:\s*{t.PAGE_MARKER}\s*\n)+", "")
     tag = F.when(F.col("head.heads"), F.substring(t.strip(F.get(F.split(heading, "\n"), F.lit(0))), 1, 80))
     rows = per.select(key, tag.alias("tag"), F.explode(packed).alias("c")).select(key, "tag", "c.*")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import shutil
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -129,8 +130,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_pages(md: DataFrame, root: str) -> None:
-    """``slug, type, md`` as one snapshot, partitioned by type; the whole batch appears at once or not at all."""
-    md.write.mode("overwrite").partitionBy("type").parquet(root)
+    """``slug, type, md`` as one snapshot, partitioned by type; the whole batch appears at once or not at all.
+
+    The snapshot is written to a folder of its own; a row that names it is appended when it is complete. Readers take
+    the last one named, so that a job that fails leaves the one before in place.
+    """
+    spark, folder = md.sparkSession, f"snapshot-{uuid.uuid4().hex}"
+    md.write.partitionBy("type").parquet(f"{root}/{folder}")
+    last = spark.read.parquet(f"{root}/versions").agg(F.max("version")).first()[0] if _exists(spark, f"{root}/versions") else 0
+    spark.range(1).select(F.lit((last or 0) + 1).cast("bigint").alias("version"), F.lit(folder).alias("folder")).coalesce(1).write.mode("append").parquet(f"{root}/versions")
+
+
+def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
+    """The pages of the last complete snapshot."""
+    folder = spark.read.parquet(f"{root}/versions").agg(F.max_by("folder", F.struct("version", "folder"))).first()[0]
+    return spark.read.parquet(f"{root}/{folder}")
 
 
 def read_index(spark: SparkSession, path: str, wiki: Callable[[], DataFrame]) -> DataFrame:

@@ -218,7 +218,13 @@ def test_files(spark, tmp_path, md):
     index = files.read_index(spark, str(tmp_path / "bad.json"), lambda: fallback)
     assert index is fallback or index.count() == 0
     files.write_pages(md.withColumn("type", F.lit("x")), str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == md.count()
+    assert files.read_snapshot(spark, str(tmp_path / "out")).count() == md.count()
+    # a batch that fails leaves the last snapshot in place, a later one takes over
+    with pytest.raises(Exception, match="no page"):
+        files.write_pages(md.withColumn("type", F.raise_error(F.lit("no page")).cast("string")), str(tmp_path / "out"))
+    assert files.read_snapshot(spark, str(tmp_path / "out")).count() == md.count()
+    files.write_pages(md.limit(1).withColumn("type", F.lit("y")), str(tmp_path / "out"))
+    assert [r.type for r in files.read_snapshot(spark, str(tmp_path / "out")).collect()] == ["y"]
 
 
 def test_extract(spark):
