@@ -191,6 +191,17 @@ def _hashed(code: np.ndarray, order: int) -> np.ndarray:
     return h
 
 
+#: More often than this an n-gram isn't counted.
+_MOST = (1 << 22) - 1
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and how often each comes, ``_MOST`` at most."""
+    values = np.sort(values)
+    new = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, dtype=np.int64)
+    return values[new], np.minimum(np.diff(np.r_[new, len(values)]), _MOST)
+
+
 class Profiles:
     """Rank profiles of some languages over the union of their n-grams."""
 
@@ -243,46 +254,40 @@ class Profiles:
         if not self.names:
             return [(None, 0.0)] * len(texts)
         code, owner, letters = _codes(texts)
-        wide = code.astype(np.uint32)
-        n = len(self.keys)
+        wide, t = code.astype(np.uint32), len(texts)
         cells, others = [], []
         for order, at in _orders(code, owner):
             f, packed = self._known(code, wide, order, at)
             mine = owner[at + 1].astype(np.int64)
             known = f >= 0
-            cells.append(mine[known] * n + f[known])
+            cells.append(mine[known] << 20 | f[known])
             others.append(mine[~known] << 50 | packed[~known] & (1 << 50) - 1)
-        count = np.bincount(np.concatenate(cells), minlength=len(texts) * n)[: len(texts) * n].reshape(len(texts), n)
-        order = count * n + np.arange(n - 1, -1, -1)  # frequent first, ties by key
-        k = min(COMPARED, n)
-        top = np.argpartition(order, n - k, axis=1)[:, n - k :] if k < n else np.broadcast_to(np.arange(n), order.shape).copy()
-        weight = np.take_along_axis(order, top, 1)
-        top = np.take_along_axis(top, np.argsort(-weight, axis=1), 1)
-        often = np.take_along_axis(count, top, 1)
+        gram, often = _runs(np.concatenate(cells))
+        # Each text's n-grams, the frequent first, ties by key.
+        ranked = np.sort(gram >> 20 << 42 | (_MOST - often) << 20 | gram & (1 << 20) - 1)
+        row, often, key = ranked >> 42, _MOST - (ranked >> 20 & (1 << 22) - 1), ranked & (1 << 20) - 1
+        place = np.arange(len(row)) - np.searchsorted(row, np.arange(t))[row]
         # n-grams that no profile has take places too: of equal frequency the known ones come first.
-        far = np.sort(np.concatenate(others))
-        new = np.flatnonzero(np.r_[True, far[1:] != far[:-1]]) if len(far) else np.zeros(0, dtype=np.int64)
-        size = np.diff(np.r_[new, len(far)])
-        rows = far[new] >> 50
-        limit = 1 << 30
-        ranked = np.sort(rows * limit + (limit - 1 - size))
-        begin = np.searchsorted(rows, np.arange(len(texts) + 1))
-        ahead = np.searchsorted(ranked, (np.arange(len(texts))[:, None] * limit + (limit - 1 - often)).ravel()).reshape(often.shape) - begin[:-1, None]
-        place = np.arange(k)[None, :] + ahead
-        there = (often > 0) & (place < COMPARED)
-        strange = np.minimum(COMPARED - there.sum(axis=1), np.diff(begin))  # cost the most in every language
+        far, size = _runs(np.concatenate(others))
+        begin = np.searchsorted(far >> 50, np.arange(t + 1))
+        place += np.searchsorted(np.sort(far >> 50 << 22 | _MOST - size), row << 22 | _MOST - often) - begin[row]
+        there = place < COMPARED
+        row, key, place = row[there], key[there], place[there]
+        met = np.bincount(row, minlength=t)
+        strange = np.minimum(COMPARED - met, np.diff(begin))  # cost the most in every language
         # The place among those compared is stretched to the length of a profile.
         here = (place * (PROFILE / COMPARED / 2)).astype(np.int32)
-        rank = self.rank[:, top]
+        rank = self.rank[:, key]
         away = np.where(rank >= PROFILE, PROFILE, np.abs(rank - here))
-        dist = (np.where(there, away, 0).sum(axis=2) + strange * PROFILE) / np.maximum(1, there.sum(axis=1) + strange)
+        dist = np.stack([np.bincount(row, weights=x, minlength=t) for x in away])
+        dist = (dist + strange * PROFILE) / np.maximum(1, met + strange)
         best = np.argsort(dist, axis=0, kind="stable")
         cols = np.arange(len(texts))
         first = dist[best[0], cols]
         second = dist[best[1], cols] if len(self.names) > 1 else np.full(len(texts), PROFILE)
         margin = (second - first) / np.maximum(second, 1e-9)
         least = np.array([m for _, m in LEAST_MARGIN])[np.searchsorted([n for n, _ in LEAST_MARGIN], letters, side="right") - 1]
-        ok = (letters >= LEAST_LETTERS) & (there.sum(axis=1) > 3) & (margin >= least) & (first <= FARTHEST * PROFILE)
+        ok = (letters >= LEAST_LETTERS) & (met > 3) & (margin >= least) & (first <= FARTHEST * PROFILE)
         return [(self.names[best[0, i]], float(margin[i])) if ok[i] else (None, 0.0) for i in range(len(texts))]
 
 def fit(rows: list[tuple[str, str]]) -> Profiles:
