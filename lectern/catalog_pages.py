@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lectern import catalog_sql
 from lectern.catalog_sql import _claim_key
 from lectern.functions import text as t
-from lectern.operators import collide, drafts, imports, merge, pages, rules, search
+from lectern.operators import collide, drafts, imports, merge, pages, pipeline, rules, runs, search
 from lectern.plans.shared import read
 
 
@@ -206,3 +206,33 @@ SQL |= {
         SELECT fact_id, CASE WHEN starts_with(a, '[') AND contains(a, '#') THEN '[' || CASE WHEN b = f OR (length(b) > 30 AND length(f) > 30 AND right(b, 30) = right(f, 30)) THEN 'raw/books/all/' || f ELSE path END || '#' || place || ']' ELSE a END AS provenance FROM q""",
 }
 QUERIES |= PLANTED
+
+QUERIES |= {
+    "f2_hits": lambda s, d: collide.collision_hits(read(s, d, "candidate"), read(s, d, "wiki_index")),
+    "f7_classes": lambda s, d: collide.conflict_classes(_planted_wiki(s, d).select("slug", "title"), read(s, d, "wiki_index")),
+    "s12_lookups": lambda s, d: runs.lookups(read(s, d, "wiki_index")),
+    "q6_read": lambda s, d: search.read_pages(_names(s, d), pages.wiki(read(s, d, "page")), read(s, d, "wiki_index")),
+    "k5_index_page": lambda s, d: runs.index_page(pages.wiki(read(s, d, "page"))),
+    "i6_books": lambda s, d: pipeline.ingest(read(s, d, "md_doc"), most=300, least=60)[1],
+}
+
+_HITS = _SQL["f2_collisions"].split("SELECT candidate_id, CASE min(rank)")[0]
+_INDEX_KINDS = "kinds AS (SELECT * FROM (VALUES (0, 'entity', 'Entities'), (1, 'concept', 'Concepts'), (2, 'topic', 'Topics'), (3, 'source', 'Sources'), (4, 'analysis', 'Analyses'), (5, 'conflict', 'Conflicts'), (6, 'dashboard', 'Dashboards')) AS t(section, type, head))"
+SQL |= {
+    "f2_hits": f"{_HITS} SELECT candidate_id, CAST(row_number() OVER (PARTITION BY candidate_id ORDER BY rank, e) AS INTEGER) AS place, CASE rank WHEN 0 THEN 'id' WHEN 1 THEN 'title' ELSE 'alias' END AS reason, e AS entry_id FROM b",
+    "f7_classes": f"SELECT DISTINCT 'same_title' AS conflict, title AS key, n FROM ({SQL['f3_planted']}) UNION ALL SELECT DISTINCT 'near_slug', slug_key, n FROM ({SQL['f6_planted']}) UNION ALL SELECT 'shared_name', name, owners FROM ({_SQL['f4_shared_names']})",
+    "s12_lookups": f"""SELECT kind, {catalog_sql._squeeze('name')} AS key, max(id) AS slug FROM (SELECT 'by_title' AS kind, title AS name, id FROM wiki_index UNION ALL SELECT 'by_alias', unnest(aliases), id FROM wiki_index) WHERE name IS NOT NULL GROUP BY 1, 2""",
+    "q6_read": SQL["q5_planted"].split("SELECT query, slug, CASE rank")[0].rstrip() + ", ok AS (SELECT query, slug FROM b WHERE slug IN (SELECT slug FROM wiki)) SELECT q.query, ok.slug, CASE WHEN ok.slug IS NULL THEN 'no page: ' || coalesce(q.query, '') END AS error FROM q LEFT JOIN ok ON ok.query = q.query",
+    "k5_index_page": f"""WITH {catalog_sql._WIKI}, {_INDEX_KINDS} SELECT section, '' AS title, '' AS slug, '## ' || head AS line FROM kinds
+        UNION ALL SELECT section, lower(title), slug, '- [[' || title || ']]' || CASE WHEN summary <> '' THEN ' — ' || summary ELSE '' END FROM wiki JOIN kinds k ON k.type = wiki.type
+        UNION ALL SELECT section, '', '-', '_None yet._' FROM kinds WHERE type NOT IN (SELECT type FROM wiki)""",
+}
+
+_RULES = ("v1_frontmatter", "v2_provenance", "v3_prefixes", "v4_ids", "v6_unsourced", "v7_scope", "v11_language")
+_LINT = " UNION ALL ".join(f"SELECT rule, message, slug FROM ({_SQL[q]})" for q in _RULES).replace("> 300", "> 5000").replace(" UNION SELECT id FROM wiki_index", "")
+_LINT = f"SELECT * FROM ({_LINT})"
+SQL |= {
+    "f11_lint_totals": f"SELECT rule, count(*) AS violations, count(DISTINCT slug) AS pages FROM ({_LINT}) GROUP BY rule ORDER BY violations DESC, rule",
+    "f11_worst_pages": f"SELECT slug, count(*) AS violations FROM ({_LINT}) GROUP BY slug ORDER BY violations DESC, slug LIMIT 25",
+    "f11_examples": f"SELECT rule, CAST(place AS INTEGER) AS place, slug, message FROM (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY slug, message) AS place FROM ({_LINT})) WHERE place <= 8",
+}

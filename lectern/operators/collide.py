@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.names import squeeze
@@ -37,6 +37,19 @@ def collision_reports(candidate: DataFrame, index: DataFrame) -> DataFrame:
     return per.select("candidate_id", F.col("why.reason").alias("reason"), "hits", F.col("why.entry_id").alias("entry_id"))
 
 
+def collision_hits(candidate: DataFrame, index: DataFrame) -> DataFrame:
+    """``candidate_id, place, reason, entry_id``: each candidate's collisions in order, the strongest first, then by entry."""
+    order = F.row_number().over(Window.partitionBy("candidate_id").orderBy("rank", "entry_id"))
+    return collisions(candidate, index).withColumn("place", order).select("candidate_id", "place", "reason", "entry_id")
+
+
+def conflict_classes(pages: DataFrame, index: DataFrame) -> DataFrame:
+    """``conflict, key, n``: all conflicts by class: ``same_title``, ``near_slug`` and ``shared_name``, with how many pages share the key."""
+    one = lambda df, name, key, n: df.select(F.lit(name).alias("conflict"), F.col(key).alias("key"), F.col(n).alias("n")).distinct()
+    out = one(same_title(pages), "same_title", "title", "n").unionByName(one(near_duplicate_slugs(pages), "near_slug", "slug_key", "n"))
+    return out.unionByName(one(shared_names(index), "shared_name", "name", "owners"))
+
+
 def _groups(rows: DataFrame, key: str) -> DataFrame:
     """``key, n, slug``: the members of groups of several slugs. Groups are counted first and joined back, however large."""
     rows = rows.select(key, "slug").where(f"{key} is not null").distinct()

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.text import fix_anchor
+from lectern.functions.text import LOOSE_ANCHOR, fix_anchor
+from lectern.operators.pages import landed
 
 SUFFIX = 40
 
 
 def raw_index(files: DataFrame) -> DataFrame:
-    """``name, paths, n``: the paths of each base name among ``files(path)`` of a readable kind."""
+    """``name, path, n``: the first path of each base name, and how many there are, among ``files(path)`` of a readable kind."""
     rows = files.where(F.lower("path").rlike(r"\.(pdf|epub|md|txt)$")).select(F.regexp_replace("path", "^.*/", "").alias("name"), "path").distinct()
     return rows.groupBy("name").agg(F.min("path").alias("path"), F.count("*").alias("n"))
 
@@ -53,3 +54,13 @@ def repaired_anchors(refs: DataFrame, files: DataFrame) -> DataFrame:
 def repair_totals(repaired: DataFrame) -> DataFrame:
     """``reason, refs, changed`` of a repair."""
     return repaired.groupBy("reason").agg(F.count("*").alias("refs"), F.sum((F.col("ref") != F.col("fixed")).cast("bigint")).alias("changed"))
+
+
+def repaired_bodies(page: DataFrame, files: DataFrame) -> DataFrame:
+    """``slug, ord, body`` of the sections of landed pages that a repair of their anchors changes."""
+    bodies = landed(page).select("slug", F.explode("sections").alias("s")).select("slug", F.col("s.ord").alias("ord"), F.col("s.body").alias("body"))
+    anchors = bodies.select("slug", "ord", F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit(LOOSE_ANCHOR), F.lit(0)))).alias("ref"))
+    fixed = repaired_anchors(anchors.select("ref"), files).where("ref <> fixed").select("ref", "fixed")
+    per = anchors.join(fixed, "ref").groupBy("slug", "ord").agg(F.array_sort(F.collect_set(F.struct("ref", "fixed"))).alias("fixes"))
+    body = F.aggregate("fixes", F.col("body"), lambda acc, f: F.replace(acc, f["ref"], f["fixed"]))
+    return bodies.join(per, ["slug", "ord"]).select("slug", "ord", body.alias("body"))

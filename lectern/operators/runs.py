@@ -32,6 +32,28 @@ def human_index(wiki: DataFrame) -> DataFrame:
     return wiki.orderBy("type", F.lower("title"), "slug").select("type", "slug", line.alias("line"))
 
 
+#: The sections of the index and their types, in their order.
+INDEX_SECTIONS = {"entity": "Entities", "concept": "Concepts", "topic": "Topics", "source": "Sources", "analysis": "Analyses", "conflict": "Conflicts", "dashboard": "Dashboards"}
+
+
+def index_page(wiki: DataFrame) -> DataFrame:
+    """``section, title, slug, line``: the index as a page: a head for each section, its lines by title, and a note where it has none.
+
+    Heads have an empty title and slug, so that sorting by the first three columns gives the page.
+    """
+    kinds = wiki.sparkSession.createDataFrame([(i, k, h) for i, (k, h) in enumerate(INDEX_SECTIONS.items())], "section int, type string, head string")
+    heads = kinds.select("section", F.lit("").alias("title"), F.lit("").alias("slug"), F.concat(F.lit("## "), "head").alias("line"))
+    lines = human_index(wiki).join(kinds, "type").join(wiki.select("slug", F.lower("title").alias("title")), "slug").select("section", "title", "slug", "line")
+    none = kinds.join(wiki.select("type").distinct(), "type", "left_anti").select("section", F.lit("").alias("title"), F.lit("-").alias("slug"), F.lit("_None yet._").alias("line"))
+    return heads.unionByName(lines).unionByName(none)
+
+
+def lookups(index: DataFrame) -> DataFrame:
+    """``kind, key, slug``: what a query index is asked by: titles and aliases in lower case; of several entries the last by id has one."""
+    names = index.select(F.lit("by_title").alias("kind"), F.col("title").alias("name"), "id").unionByName(index.select(F.lit("by_alias").alias("kind"), F.explode("aliases").alias("name"), "id"))
+    return names.where("name is not null").groupBy("kind", squeeze(F.col("name")).alias("key")).agg(F.max("id").alias("slug"))
+
+
 def type_histogram(pages: DataFrame) -> DataFrame:
     return pages.groupBy("type").agg(F.count("*").alias("pages"))
 

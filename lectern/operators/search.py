@@ -35,6 +35,13 @@ def find_pages(names: DataFrame, wiki: DataFrame, index: DataFrame | None = None
     return best.join(list_pages(wiki, kind).select("slug"), "slug", "left_semi").select("query", "slug", "how")
 
 
+def read_pages(names: DataFrame, wiki: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """``query, slug, error``: the page that each query names, or why it can't be read."""
+    found = find_pages(names, wiki, index).select("query", "slug")
+    rows = names.select("query").distinct().join(found, "query", "left")
+    return rows.select("query", "slug", F.when(F.col("slug").isNull(), F.concat(F.lit("no page: "), F.coalesce("query", F.lit("")))).alias("error"))
+
+
 def search(wiki: DataFrame, query: str, fields: tuple[str, ...] = FIELDS, limit: int = 20) -> DataFrame:
     """``slug, title, type, score, hits, snippet`` of the pages of which a field has all terms of the query.
 
