@@ -236,3 +236,26 @@ SQL |= {
     "f11_worst_pages": f"SELECT slug, count(*) AS violations FROM ({_LINT}) GROUP BY slug ORDER BY violations DESC, slug LIMIT 25",
     "f11_examples": f"SELECT rule, CAST(place AS INTEGER) AS place, slug, message FROM (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY slug, message) AS place FROM ({_LINT})) WHERE place <= 8",
 }
+
+_MARKER = r"<!--\s*PAGE:\d+\s*-->"
+_HEADS = _SQL["b4_chapters"].split("SELECT sha256, chapter, count(*)")[0]
+SQL |= {
+    "c1_extract": r"""WITH paths AS (SELECT stem, min(source_path) AS path FROM md_doc GROUP BY stem), c AS (SELECT ch.*, coalesce(p.path, '') AS path FROM chunk ch LEFT JOIN paths p ON p.stem = ch.stem),
+        z AS (SELECT *, string_split(regexp_replace(text, '([.!?。！？])\s*', '\1' || chr(1), 'g'), chr(1)) AS ss FROM c WHERE text IS NOT NULL), s AS (SELECT chunk_id, unnest(ss) AS sent, generate_subscripts(ss, 1) AS si FROM z),
+        h AS (SELECT *, regexp_extract_all(sent, '\b[Tt]he [A-Z][a-z]{2,} [a-z]{4,}\b') AS hs FROM s), m AS (SELECT chunk_id, sent, si, unnest(hs) AS hit, generate_subscripts(hs, 1) AS mi FROM h),
+        f AS (SELECT chunk_id, substr(hit, 5) AS title, trim(regexp_replace(sent, '\s+', ' ', 'g')) AS s, min(si * 1000000 + mi) AS pos FROM m GROUP BY 1, 2, 3),
+        t AS (SELECT chunk_id, title, arg_min(s, pos) AS summary, row_number() OVER (PARTITION BY chunk_id ORDER BY min(pos)) - 1 AS ord FROM f GROUP BY 1, 2)
+        SELECT c.stem, CAST(c.chunk_index AS INTEGER) AS chunk_index, CAST(t.ord AS INTEGER) AS ord, 'concept' AS page_type, f.title, t.summary, rtrim(f.s, ' .;,') AS claim,
+        '[' || path || CASE WHEN start_page IS NOT NULL THEN '#p' || start_page || CASE WHEN end_page IS NULL OR end_page = start_page THEN '' ELSE '-p' || end_page END ELSE '#L' || coalesce(start_line, 0) || '-L' || coalesce(end_line, 0) END || ']' AS provenance, replace(lower(f.title), ' ', '-') AS id
+        FROM f JOIN t ON t.chunk_id = f.chunk_id AND t.title = f.title JOIN c ON c.chunk_id = f.chunk_id""",
+    "b9_chunks": _HEADS.replace("WITH texts", "WITH RECURSIVE texts", 1)
+    + rf""", p AS (SELECT *, row_number() OVER (PARTITION BY sha256, chapter ORDER BY start_line) AS n FROM c),
+        r AS (SELECT sha256, chapter, n, words AS acc, 1 AS k FROM p WHERE n = 1 UNION ALL SELECT p.sha256, p.chapter, p.n, CASE WHEN r.acc + p.words <= 300 THEN r.acc + p.words ELSE p.words END, CASE WHEN r.acc + p.words <= 300 THEN r.k ELSE r.k + 1 END FROM r JOIN p ON p.sha256 = r.sha256 AND p.chapter = r.chapter AND p.n = r.n + 1),
+        g AS (SELECT sha256, chapter, k, sum(words) AS w, max(k) OVER (PARTITION BY sha256, chapter) AS ks FROM (SELECT r.*, p.words FROM r JOIN p ON p.sha256 = r.sha256 AND p.chapter = r.chapter AND p.n = r.n) GROUP BY sha256, chapter, k),
+        q AS (SELECT p.*, CASE WHEN r.k = g.ks AND g.ks > 1 AND g.w < 60 THEN r.k - 1 ELSE r.k END AS k FROM p JOIN r ON r.sha256 = p.sha256 AND r.chapter = p.chapter AND r.n = p.n JOIN g ON g.sha256 = p.sha256 AND g.chapter = p.chapter AND g.k = r.k),
+        tags AS (SELECT sha256, chapter, CASE WHEN heads THEN substr(trim(string_split(regexp_replace(body, '^(?:\s*{_MARKER}\s*\n)+', ''), chr(10))[1]), 1, 80) END AS tag FROM p WHERE n = 1),
+        u AS (SELECT sha256, chapter, k, min(start_line) AS start_line, max(end_line) AS end_line, sum(words) AS word_count, string_agg(body, chr(10) ORDER BY n) AS body FROM q GROUP BY 1, 2, 3),
+        v AS (SELECT *, TRY_CAST(regexp_extract_all(body, '<!--\s*PAGE:(\d+)\s*-->', 1)[1] AS INTEGER) AS a, TRY_CAST(regexp_extract_all(body, '<!--\s*PAGE:(\d+)\s*-->', 1)[-1] AS INTEGER) AS b FROM u),
+        x AS (SELECT *, last_value(b IGNORE NULLS) OVER (PARTITION BY sha256 ORDER BY start_line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen, row_number() OVER (PARTITION BY sha256 ORDER BY start_line) - 1 AS i FROM v)
+        SELECT x.sha256, CAST(i AS BIGINT) AS chunk_index, start_line, end_line, coalesce(a, seen) AS start_page, coalesce(b, seen) AS end_page, CAST(word_count AS BIGINT) AS word_count, tag FROM x JOIN tags t ON t.sha256 = x.sha256 AND t.chapter = x.chapter""",
+}
