@@ -237,9 +237,9 @@ class Profiles:
         """(the profiles' n-gram or -1, packed n-gram) at each position."""
         packed = _packed(code, order, at)
         f = self.table[(_hashed(wide, order) >> self.shift)[at]]
-        found = np.where((f >= 0) & (self.keys[f] == packed), f, -1)
-        while self.chained and ((f >= 0) & (found < 0)).any():
-            f = np.where((f >= 0) & (found < 0), self.next[f], -1)
+        found = np.where(self.keys[f] == packed, f, -1)  # -1 takes the last key, which is -1 or met by its own number
+        while self.chained and (more := (f >= 0) & (found < 0)).any():
+            f = np.where(more, self.next[f], -1)
             found = np.where((f >= 0) & (self.keys[f] == packed), f, found)
         return found, packed
 
@@ -255,22 +255,26 @@ class Profiles:
             return [(None, 0.0)] * len(texts)
         code, owner, letters = _codes(texts)
         wide, t = code.astype(np.uint32), len(texts)
-        cells, others = [], []
+        grams = []
         for order, at in _orders(code, owner):
             f, packed = self._known(code, wide, order, at)
-            mine = owner[at + 1].astype(np.int64)
-            known = f >= 0
-            cells.append(mine[known] << 20 | f[known])
-            others.append(mine[~known] << 50 | packed[~known] & (1 << 50) - 1)
-        gram, often = _runs(np.concatenate(cells))
+            packed &= (1 << 50) - 1
+            packed += 1 << 20  # beyond the numbers of the known ones
+            np.copyto(packed, f, where=f >= 0)
+            packed |= owner[at + 1].astype(np.int64) << 52
+            grams.append(packed)
+        gram, often = _runs(np.concatenate(grams))
+        known = gram & (1 << 52) - 1 < 1 << 20
+        far, size = gram[~known] >> 52, often[~known]
+        gram, often = gram[known], often[known]
+        gram = gram >> 52 << 20 | gram & (1 << 20) - 1
         # Each text's n-grams, the frequent first, ties by key.
         ranked = np.sort(gram >> 20 << 42 | (_MOST - often) << 20 | gram & (1 << 20) - 1)
         row, often, key = ranked >> 42, _MOST - (ranked >> 20 & (1 << 22) - 1), ranked & (1 << 20) - 1
         place = np.arange(len(row)) - np.searchsorted(row, np.arange(t))[row]
         # n-grams that no profile has take places too: of equal frequency the known ones come first.
-        far, size = _runs(np.concatenate(others))
-        begin = np.searchsorted(far >> 50, np.arange(t + 1))
-        place += np.searchsorted(np.sort(far >> 50 << 22 | _MOST - size), row << 22 | _MOST - often) - begin[row]
+        begin = np.searchsorted(far, np.arange(t + 1))
+        place += np.searchsorted(np.sort(far << 22 | _MOST - size), row << 22 | _MOST - often) - begin[row]
         there = place < COMPARED
         row, key, place = row[there], key[there], place[there]
         met = np.bincount(row, minlength=t)
