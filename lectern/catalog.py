@@ -14,7 +14,7 @@ from lectern.plans.shared import read, stage_table
 
 __all__ = ["QUERIES", "SQL"]
 
-SQL = _CORE_SQL | catalog_pages.SQL
+SQL = _CORE_SQL | catalog_pages.SQL | {"p2_by_year": _CORE_SQL["p2_report"]}
 
 
 def _texts(s: SparkSession, d: str) -> DataFrame:
@@ -98,6 +98,7 @@ def _lint(s: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p2_found": lambda s, d: orphan_links(read(s, d, "link"), read(s, d, "page")).select("link_id"),
+    "p2_by_year": lambda s, d: orphan_report(read(s, d, "link"), read(s, d, "page"), by_year=True),
     "p2_report": lambda s, d: orphan_report(read(s, d, "link"), read(s, d, "page")),
     # sources, segmentation
     "s1_discover": lambda s, d: imports.discover(_files(s, d)),

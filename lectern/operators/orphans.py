@@ -12,12 +12,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.names import link_target, name_key
+from lectern.plans.shared import stage_table
 
 #: Bucket of a link and the type of the pages it may name.
 BUCKETS = {"concepts": "concept", "entities": "entity", "topics": "topic"}
 
-STATE = "kind string, ref_key string, parents bigint, refs bigint"
-
 
 def page_parents(page: DataFrame) -> DataFrame:
     """``(kind, ref_key, from_ts, to_ts)``: each page under its slug and its titles, from its earliest landing to its removal.
@@ -97,6 +96,21 @@ def advance(refs: DataFrame, parents: DataFrame, state: DataFrame | None = None)
     return history, new
 
 
+def advance_by_year(refs: DataFrame, parents: DataFrame) -> DataFrame:
+    """The history, made year by year: each call of ``advance`` gets one year's arrivals, deletions and references and
+    the written state of the one before, as a job does that runs once a period."""
+    gone = F.greatest("to_ts", "from_ts")
+    seen = refs.select(F.year("period").alias("y")).unionByName(parents.select(F.year("from_ts").alias("y"))).unionByName(parents.select(F.year(gone).alias("y")))
+    state, out = None, None
+    for (year,) in seen.where("y is not null").distinct().orderBy("y").collect():
+        came = parents.where(F.year("from_ts") == year).select("kind", "ref_key", "from_ts", F.when(F.year(gone) == year, F.col("to_ts")).alias("to_ts"))
+        left = parents.where((F.year(gone) == year) & (F.year("from_ts") != year)).select("kind", "ref_key", F.lit(None).cast(parents.schema["from_ts"].dataType).alias("from_ts"), gone.alias("to_ts"))
+        history, state = advance(refs.where(F.year("period") == year), came.unionByName(left), state)
+        history, state = stage_table(history, "orphan-history"), stage_table(state, "orphan-state")
+        out = history if out is None else out.unionByName(history)
+    return advance(refs, parents)[0] if out is None else out
+
+
 def orphan_links(link: DataFrame, page: DataFrame) -> DataFrame:
     """``link_id, bucket, period`` of the links that name no page at the end of their own period.
 
@@ -110,10 +124,13 @@ def orphan_links(link: DataFrame, page: DataFrame) -> DataFrame:
     return refs.join(waiting, ["kind", "ref_key", "period"]).select("link_id", "bucket", "period")
 
 
-def orphan_report(link: DataFrame, page: DataFrame) -> DataFrame:
-    """Snapshot per bucket and month: links recorded in it, and how many of them name no page at its end."""
-    refs = link_refs(link)
-    history, _ = advance(refs, page_parents(page))
+def orphan_report(link: DataFrame, page: DataFrame, by_year: bool = False) -> DataFrame:
+    """Snapshot per bucket and month: links recorded in it, and how many of them name no page at its end.
+
+    With ``by_year`` the state is carried from year to year; the result is the same.
+    """
+    refs, parents = link_refs(link), page_parents(page)
+    history = advance_by_year(refs, parents) if by_year else advance(refs, parents)[0]
     bucket = F.create_map(*[F.lit(x) for k, v in BUCKETS.items() for x in (v, k)])[F.col("kind")]
     return (
         history.where("new_refs > 0")
