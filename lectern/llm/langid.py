@@ -1,6 +1,6 @@
 """Problem 1: the language of each text and each of its paragraphs, by rank-order profiles.
 
-A language's profile is its most frequent n-grams of one to three characters, in order. A paragraph's n-grams are
+A language's profile is its most frequent n-grams of one and three characters, in order (two tell no more). A paragraph's n-grams are
 ranked likewise and the sum of how far each is out of place gives the distance to each language; an n-gram that a
 profile lacks costs the most. A text that is far from all, or hardly nearer to one, is in none. The profiles are
 fitted on a bounded sample of labelled rows (``SAMPLE``), and refined by labelling that sample's paragraphs again, so
@@ -142,7 +142,7 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _orders(code: np.ndarray, owner: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(order, middle positions) of the n-grams without inner blanks, for any Chinese character (0) and orders 1 to 3.
+    """(order, middle positions) of the n-grams without inner blanks, for any Chinese character (0) and orders 1 and 3.
 
     A Chinese character is a word; it counts alone.
     """
@@ -151,9 +151,8 @@ def _orders(code: np.ndarray, owner: np.ndarray) -> list[tuple[int, np.ndarray]]
     han = (c1 >= 0x4E00) & (c1 < 0xA000)
     one = np.flatnonzero(inner)
     some = han.any()
-    two = np.flatnonzero(inner & ~han) if some else one
     three = np.flatnonzero(inner & ~han & ((c0 != 0) | (c2 != 0)) & (owner[:-2] == owner[2:]))
-    return [(0, np.flatnonzero(han) if some else np.zeros(0, dtype=np.int64)), (1, one), (2, two), (3, three)]
+    return [(0, np.flatnonzero(han) if some else np.zeros(0, dtype=np.int64)), (1, one), (3, three)]
 
 
 def _packed(code: np.ndarray, order: int, at: np.ndarray) -> np.ndarray:
