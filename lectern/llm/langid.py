@@ -214,6 +214,7 @@ class Profiles:
         for i, name in enumerate(self.names):
             for r, g in enumerate(ranked[name]):
                 self.rank[i, place[g]] = r
+        self.stretch = np.array([len(ranked[name]) / COMPARED / 2 for name in self.names])
         order = np.where(self.keys == _HAN, 0, np.where(self.keys >> 49 & 1, 3, np.where(self.keys >> 48 & 1, 2, 1)))
         lo = self.keys & (1 << 48) - 1
         c = np.stack([np.where(order == 3, lo >> 32, np.where(order == 2, lo >> 16, 0)), np.where(order == 3, lo >> 16, lo), np.where(order == 3, lo, 0)]) & 0xFFFF
@@ -278,8 +279,8 @@ class Profiles:
         row, key, place = row[there], key[there], place[there]
         met = np.bincount(row, minlength=t)
         strange = np.minimum(COMPARED - met, np.diff(begin))  # cost the most in every language
-        # The place among those compared is stretched to the length of a profile.
-        here = (place * (PROFILE / COMPARED / 2)).astype(np.int32)
+        # The place among those compared is stretched to the length of each profile.
+        here = (place * self.stretch[:, None]).astype(np.int32)
         rank = self.rank[:, key]
         away = np.where(rank >= PROFILE, PROFILE, np.abs(rank - here))
         dist = np.stack([np.bincount(row, weights=x, minlength=t) for x in away])

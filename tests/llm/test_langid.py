@@ -87,8 +87,7 @@ def test_distance_like_brute_force(model):
     grams, n = langid.np.unique(langid._grams([text]), return_counts=True)
     known = {g for r in model.ranked.values() for g in r}
     order = sorted(zip(grams.tolist(), n.tolist()), key=lambda x: (-x[1], x[0] not in known, x[0]))[: langid.COMPARED]
-    scale = langid.PROFILE / langid.COMPARED / 2
-    dist = {c: sum(abs(r.index(g) - int(i * scale)) if g in r else langid.PROFILE for i, (g, _) in enumerate(order)) for c, r in model.ranked.items()}
+    dist = {c: sum(abs(r.index(g) - int(i * len(r) / langid.COMPARED / 2)) if g in r else langid.PROFILE for i, (g, _) in enumerate(order)) for c, r in model.ranked.items()}
     first, second = sorted(dist.values())[:2]
     got, sure = model.classify([text])[0]
     assert got == min(dist, key=dist.get) and abs(sure - (second - first) / second) < 1e-9
