@@ -56,8 +56,10 @@ _SKIP = re.compile(
     re.I | re.M,
 )
 _HIDDEN_MAIL = re.compile(r"(?<![\w.+-])[\w.+-]+ ?(?:[\[(]at[\])] ?[\w.-]+|\bat\b ?[\w-]+ ?\bdot\b)(?: ?[\[(]?\bdot\b[\])]? ?[\w-]+| ?[\w-]+)*?(?=[^\w ]|$| [^\[(])", re.I | re.A)
-_ANCHOR = re.compile(r"\[{1,2}raw/[^\[\]\n]*\]{1,2}|\[\[[^\[\]\n]*\]\]|<!--.*?-->|https?://[!-~]+|(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)*", re.A)
+_ANCHOR = re.compile(r"\[{1,2}raw/[^\[\]\n]*\]{1,2}|\[\[[^\[\]\n]*\]\]|<!--.*?-->|https?://[!-~]+", re.A)
+_MAIL = re.compile(r"(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)*", re.A)
 _QUOTED = re.compile(r"“[^”]{25,}”|„[^“”]{25,}[“”]|«[^»]{25,}»|(?<!\S)»(?=\S)[^«»]{25,}(?<=\S)«|「[^」]{8,}」|『[^』]{8,}』|\"[^\"\n]{25,}\"|“[^”]{8,}”(?<=[一-鿿。！？]”)|‘[^’]{40,}’")
+_MARK = re.compile("[“„«»「『\"‘]")
 _BULLET = re.compile(r"\n(?=[ \t]*(?:[-*•][ \t]|\d{1,3}[.)][ \t]|[QA]:[ \t]))")
 _BLANK = re.compile(r"\n[ \t\r\f\v 　]*\n")
 _LEAD = re.compile(r"^[ \t]*(?:[-*•][ \t]+|\d{1,3}[.)][ \t]+|[QA]:[ \t]+)*(?:(?:Inference|Uncertain):[ \t]+)?")
@@ -74,13 +76,16 @@ def paragraphs(text: str) -> list[str]:
     for block in _BLANK.split(text):
         for p in _BULLET.split(block):
             p = _LEAD.sub("", p.strip())
-            if "[" in p or "<" in p or "@" in p or "/" in p:
+            if "[" in p or "<" in p or "/" in p:
                 p = _ANCHOR.sub(" ", p)
+            if "@" in p:
+                p = _MAIL.sub(" ", p)
             if "dot" in p or "DOT" in p or "at)" in p or "at]" in p:
                 p = _HIDDEN_MAIL.sub(" ", p)
-            rest = _QUOTED.sub(" ", p)
-            if len(rest) * 4 > len(p):
-                p = rest
+            if _MARK.search(p):
+                rest = _QUOTED.sub(" ", p)
+                if len(rest) * 4 > len(p):
+                    p = rest
             if p and not p.isspace():
                 out.append(p)
     return out
@@ -89,7 +94,7 @@ def paragraphs(text: str) -> list[str]:
 def prose(text: str) -> str:
     """A text without headings, markers and anchors, in one piece."""
     text = _SKIP.sub(" ", text)
-    return _ANCHOR.sub(" ", text) if "[" in text or "@" in text else text
+    return _MAIL.sub(" ", _ANCHOR.sub(" ", text)) if "[" in text or "@" in text else text
 
 
 _LETTER = np.zeros(0x10000, dtype=np.uint16)

@@ -364,7 +364,7 @@ def judge_breaks(breaks: DataFrame, count: DataFrame) -> DataFrame:
     known = count.where("clean + scan > 0").select("word", (F.col("clean") + F.col("scan")).alias("n"))
     heads = known.where("instr(word, '-') > 0").select(F.regexp_extract("word", "^(.*?)-", 1).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n"))
     known = known.select("word", F.lit("").alias("as"), "n").unionByName(heads.select("word", F.lit("head").alias("as"), "n"))
-    total = known.where("as = ''").agg(F.sum("n").alias("total"))
+    total = known.where("as = ''").agg(F.sum("n")).first()[0] or 0
     forms = F.array(
         *[
             F.struct(F.lit(name).alias("form"), word.alias("word"), F.lit(as_).alias("as"))
@@ -378,10 +378,10 @@ def judge_breaks(breaks: DataFrame, count: DataFrame) -> DataFrame:
     words = (F.col("b") > 0) & ((F.col("a") > 0) | (F.instr("first", "-") > 0) | (F.col("head") > 0))
     how = (
         F.when((F.col("joined") > 0) & (F.col("joined") >= F.col("hyphened")), "join").when(F.col("hyphened") > 0, "keep")
-        .when((F.col("a") > 0) & (F.col("b") >= FREQUENT * F.coalesce("total", F.lit(0))), "apart")
+        .when((F.col("a") > 0) & (F.col("b") >= FREQUENT * total), "apart")
         .when(words & ((F.instr("first", "-") > 0) | (F.col("head") > 0)), "keep").otherwise("join")
     )
-    return sums.join(F.broadcast(total)).select("first", "second", how.alias("how"))
+    return sums.select("first", "second", how.alias("how"))
 
 
 def _found(chunk: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
