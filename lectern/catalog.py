@@ -92,7 +92,7 @@ def _plan(s: SparkSession, d: str) -> DataFrame:
     return merge.near_slug_plan(read(s, d, "page"))
 
 
-def _lint(s: SparkSession, d: str) -> DataFrame:
+def lint_of(s: SparkSession, d: str) -> DataFrame:
     return stage_table(rules.lint(stage_table(_md(s, d), "rendered"), None, _sources(s, d)), "violations")
 
 
@@ -135,9 +135,9 @@ QUERIES = {
     "v11_language": lambda s, d: rules.language_consistency(_md(s, d), _sources(s, d)),
     "v13_language": lambda s, d: read(s, d, "documents").where("text is not null").select("doc_id", t.language_zh_en(F.col("text")).alias("language")),
     "v10_raw_paths": lambda s, d: rules.raw_paths(read(s, d, "page").select("path").unionByName(_files(s, d)).distinct()),
-    "f11_lint_totals": lambda s, d: rules.lint_totals(_lint(s, d)),
-    "f11_examples": lambda s, d: rules.examples(_lint(s, d)),
-    "f11_worst_pages": lambda s, d: rules.worst_pages(_lint(s, d)),
+    "f11_lint_totals": lambda s, d: rules.lint_totals(lint_of(s, d)),
+    "f11_examples": lambda s, d: rules.examples(lint_of(s, d)),
+    "f11_worst_pages": lambda s, d: rules.worst_pages(lint_of(s, d)),
     # collisions, links
     "f2_collisions": lambda s, d: collide.collision_reports(read(s, d, "candidate"), read(s, d, "wiki_index")),
     "f3_same_title": lambda s, d: collide.same_title(_named(s, d)),

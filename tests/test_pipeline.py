@@ -76,3 +76,15 @@ def test_index_page_and_lookups(spark):
     names = spark.createDataFrame([("alpha",), ("gone",), (None,)], "query string")
     got = {r.query: (r.slug, r.error) for r in search.read_pages(names, wiki).collect()}
     assert got == {"alpha": ("a", None), "gone": (None, "no page: gone"), None: (None, "no page: ")}
+
+
+def test_command_line(spark, sf, tmp_path, capsys):
+    from lectern.__main__ import main
+
+    assert main(["list"]) == 0 and "p2_report" in capsys.readouterr().out.split()
+    assert main(["run", "k8_types", sf, str(tmp_path / "out")], spark) == 0 and spark.read.parquet(str(tmp_path / "out")).count() > 0
+    assert main(["run", "nothing", sf], spark) == 2
+    capsys.readouterr()
+    assert main(["lint", sf, "--rule", "frontmatter_schema", "--limit", "3"], spark) == 1
+    assert [x.split("\t")[0] for x in capsys.readouterr().out.splitlines()] == ["frontmatter_schema"] * 3
+    assert main(["lint", sf, "--rule", "no such rule"], spark) == 0
