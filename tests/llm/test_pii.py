@@ -135,3 +135,26 @@ def test_training_learns():
     assert set(KINDS) == {"email", "phone", "id_number", "address", "person"}
     windows, labels = pii_train.sample(TEXTS * 3, most=5)
     assert len(windows) == len(labels) == 5
+
+
+def test_names_in_no_list(finder):
+    """Names that neither the written forms nor the trainer's lists have, after words that often come before names."""
+    from lectern.llm import pii_rules
+
+    names = "Torvald Ekström|Quinlan Abernathy|Ottoline Fairweather|Radovan Jelínek|Ignatius Harcourt|Casimir Wójcik|Desmond Okonkwo|Hildegard Rottmann|Fabrice Delacourt|Gunnhild Thorsen".split("|")
+    assert not {w for n in names for w in n.split()} & {*pii_rules.GIVEN, *pii_train.GIVEN, *pii_train.SURNAME}
+    texts = [f"The report was signed by {n}." for n in names]
+    got = finder.find(texts)
+    assert [[(t[a:b], k) for a, b, k in g] for t, g in zip(texts, got)] == [[(n, "person")] for n in names]
+    assert finder.find(["信由 王小明 签署"])[0] == [(3, 6, "person")]
+    places = ["The Great Northern Railway opened in 1862. Trinity College and the Royal Society disagreed.", "Bodleian Library, Oxford University Press, Black Forest and Lake Constance are places.", "La Bibliothèque Nationale se trouve à Paris."]
+    assert finder.find(places) == [[]] * 3
+
+
+def test_no_rules_when_data_is_found():
+    """Neither finding nor masking imports the written forms."""
+    import subprocess
+    import sys
+
+    code = "import sys; from lectern.llm import pii; pii.Finder(*pii.load(pii.WEIGHTS)).find(['signed by Anna Lindqvist']); assert 'lectern.llm.pii_rules' not in sys.modules"
+    subprocess.run([sys.executable, "-c", code], check=True)
