@@ -23,7 +23,7 @@ WEIGHTS = os.path.join(os.path.dirname(__file__), "pii_weights.npz")
 #: Characters of a window, and of the overlap of two.
 WINDOW, OVERLAP = 1000, 80
 #: Characters that are read at once, about, by the gate and by the large network.
-GATE_BATCH, BATCH = 600_000, 200_000
+GATE_BATCH, BATCH = 1_200_000, 200_000
 #: Log-odds from which the gate calls the large network, and the characters around such a place that this reads.
 THRESHOLD, AROUND = 0.5, 48
 
@@ -33,8 +33,9 @@ def windows(n: int) -> list[tuple[int, int]]:
     if n <= WINDOW:
         return [(0, n)] if n else []
     count = -(-(n - OVERLAP) // (WINDOW - OVERLAP))
-    step = (n - WINDOW) / (count - 1)
-    return [(a, a + WINDOW) for a in (round(i * step) for i in range(count))]
+    size = -(-(n + (count - 1) * OVERLAP) // count)
+    step = (n - size) / (count - 1)
+    return [(a, a + size) for a in (round(i * step) for i in range(count))]
 
 
 def batches_of(sizes: list[int], most: int) -> Iterator[list[int]]:

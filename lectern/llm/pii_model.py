@@ -18,6 +18,8 @@ CHARACTERS = 420
 #: Ids that stand for a class of characters: padding, rare Chinese, lower letters, capitals, figures, others.
 CLASSES = 6
 _NEG = np.float32(-1e4)
+#: Steps after which texts that have ended are left out.
+STEPS = 16
 
 
 def _base(c: str) -> str:
@@ -148,46 +150,71 @@ def forward(w: dict[str, np.ndarray], ids: np.ndarray, length: np.ndarray, keep:
 
 class Layer:
     """A bidirectional layer with trained weights, as fast as numpy allows: texts lie side by side, so that every step
-    works on whole rows of memory.
+    works on whole rows of memory, and a text takes part in the steps of its own length only, up to ``STEPS``.
 
     What a step reads of a character is its embedding, a one for the bias, and a one for padding, which shuts the input
-    gate, so that the backward direction comes to a text's end with an empty state. The sigmoid is a tangent of half
-    the argument; the halves are in the weights.
+    gate, so that the backward direction comes to a text's end with an empty state. A tangent is a sigmoid of twice the
+    argument, and sigmoids are reciprocals of exponentials, which are cheaper; factors and signs are in the weights. Cells
+    and states are kept halved.
     """
 
     def __init__(self, w: dict[str, np.ndarray]):
         h, e = w["hf"].shape[0], w["embed"].shape[1]
-        half = np.r_[np.full(3 * h, 0.5), np.ones(h)].astype(np.float32)
+        sign = np.r_[np.full(3 * h, -1), np.full(h, -2)].astype(np.float32)
         shut = np.r_[np.full(h, _NEG), np.zeros(3 * h)].astype(np.float32)[None]
         self.hidden, self.inputs = h, e + 2
         self.chars = np.zeros((e + 2, len(w["embed"])), dtype=np.float32)
         self.chars[:e], self.chars[e], self.chars[e + 1, 0] = w["embed"].T, 1, 1
-        # states are kept doubled
-        self.gates = [np.ascontiguousarray((np.r_[w[f"x{d}"], w[f"c{d}"][None], shut, w[f"h{d}"] * np.float32(0.5)] * half).T) for d in "fb"]
-
-    def scored(self, d: int, ids: np.ndarray) -> np.ndarray:
-        """What one direction adds to the scores (T, outputs, B) over padded ids (T, B)."""
+        self.gates = [np.ascontiguousarray((np.r_[w[f"x{d}"], w[f"c{d}"][None], shut, w[f"h{d}"] * np.float32(2)] * sign).T) for d in "fb"]
+
+    def scored(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(what both directions add to the scores (T, outputs, B), lengths) of encoded texts."""
+        order = np.argsort([len(r) for r in rows], kind="stable")
+        ids, length = pad([rows[i] for i in order])
+        out = np.zeros((len(ids), len(self.out[0]), len(rows)), dtype=np.float32)
+        with np.errstate(over="ignore"):  # a shut gate is one over infinity
+            for d in (0, 1):
+                self._add(d, ids, length, out)
+        if (order[1:] < order[:-1]).any():
+            back = np.argsort(order)
+            return out[:, :, back], length[back]
+        return out, length
+
+    def _add(self, d: int, ids: np.ndarray, length: np.ndarray, out: np.ndarray) -> None:
+        """One direction's part, over padded ids (T, B) in the order of their lengths."""
         steps, batch = ids.shape
         h, n = self.hidden, self.inputs
-        out = np.empty((steps, len(self.out[d]), batch), dtype=np.float32)
-        fed = np.zeros((n + h, batch), dtype=np.float32)
-        cell, tmp = np.zeros((h, batch), dtype=np.float32), np.empty((h, batch), dtype=np.float32)
-        z = np.empty((4 * h, batch), dtype=np.float32)
-        i, f, o, g = (z[k * h : (k + 1) * h] for k in range(4))
-        sigmoid, char, state = z[: 3 * h], fed[:n], fed[n:]
-        for t in range(steps - 1, -1, -1) if d else range(steps):
-            np.take(self.chars, ids[t], axis=1, out=char, mode="clip")
-            np.dot(self.gates[d], fed, out=z)
-            np.tanh(z, out=z)
-            np.add(sigmoid, 1, out=sigmoid)
-            np.multiply(f, cell, out=cell)
-            np.multiply(i, g, out=tmp)
-            np.add(cell, tmp, out=cell)
-            np.multiply(cell, 0.5, out=cell)
-            np.tanh(cell, out=tmp)
-            np.multiply(o, tmp, out=state)
-            np.dot(self.out[d], state, out=out[t])
-        return out
+        cell, state = np.zeros((h, 0), dtype=np.float32), np.zeros((h, 0), dtype=np.float32)
+        starts = range(0, steps, STEPS)
+        for start in reversed(starts) if d else starts:
+            k = int(np.searchsorted(length, start, side="right"))  # those before have ended
+            live, same = batch - k, min(batch - k, cell.shape[1])
+            if live != cell.shape[1] or start == (starts[-1] if d else 0):
+                fed, kept = np.zeros((n + h, live), dtype=np.float32), np.zeros((h, live), dtype=np.float32)
+                fed[n:, live - same :], kept[:, live - same :] = state[:, state.shape[1] - same :], cell[:, cell.shape[1] - same :]
+                cell, char, state = kept, fed[:n], fed[n:]
+                z, tmp, said = np.empty((4 * h, live), dtype=np.float32), np.empty((h, live), dtype=np.float32), np.empty((out.shape[1], live), dtype=np.float32)
+                i, f, o, g = (z[j * h : (j + 1) * h] for j in range(4))
+            within = range(start, min(start + STEPS, steps))
+            for t in reversed(within) if d else within:
+                np.take(self.chars, ids[t, k:], axis=1, out=char, mode="clip")
+                np.dot(self.gates[d], fed, out=z)
+                np.exp(z, out=z)
+                np.add(z, 1, out=z)
+                np.reciprocal(z, out=z)
+                np.subtract(g, 0.5, out=g)
+                np.multiply(f, cell, out=cell)
+                np.multiply(i, g, out=tmp)
+                np.add(cell, tmp, out=cell)
+                np.multiply(cell, -4, out=tmp)
+                np.exp(tmp, out=tmp)
+                np.add(tmp, 1, out=tmp)
+                np.reciprocal(tmp, out=tmp)
+                np.subtract(tmp, 0.5, out=tmp)
+                np.multiply(o, tmp, out=state)
+                np.dot(self.out[d], state, out=said)
+                row = out[t, :, k:]
+                np.add(row, said, out=row)
 
 
 class Gate(Layer):
@@ -196,14 +223,12 @@ class Gate(Layer):
     def __init__(self, w: dict[str, np.ndarray]):
         super().__init__(w)
         h = self.hidden
-        self.out = [np.ascontiguousarray(w["out"][x].T * np.float32(0.5)) for x in (slice(0, h), slice(h, 2 * h))]
+        self.out = [np.ascontiguousarray(w["out"][x].T * np.float32(2)) for x in (slice(0, h), slice(h, 2 * h))]
         self.bias = float(w["bias"][0])
 
     def above(self, rows: list[np.ndarray], threshold: float) -> list[np.ndarray]:
         """Places of each encoded text whose log-odds exceed the threshold."""
-        ids, length = pad(rows)
-        odds = self.scored(0, ids)
-        odds += self.scored(1, ids)
+        odds, length = self.scored(rows)
         at, who = np.nonzero(odds[:, 0, :] > threshold - self.bias)
         on = at < length[who]
         order = np.argsort(who[on], kind="stable")
@@ -220,7 +245,7 @@ class Reader(Layer):
         n = len(KINDS)
         order = np.r_[np.arange(1, 2 * n, 2), np.arange(2, 2 * n + 1, 2)]  # all B, then all I, each less O
         less = w["out"][:, order] - w["out"][:, :1]
-        self.out = [np.ascontiguousarray(less[x].T * np.float32(0.5)) for x in (slice(0, h), slice(h, 2 * h))]
+        self.out = [np.ascontiguousarray(less[x].T * np.float32(2)) for x in (slice(0, h), slice(h, 2 * h))]
         self.bias = (w["bias"][order] - w["bias"][0])[None, :, None]
         self.order = order
         t = self.trans = np.where(allowed(), w["trans"], _NEG).astype(np.float32)
@@ -234,9 +259,7 @@ class Reader(Layer):
 
     def scores(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(scores (T, tags, B) of all B and all I less that of O, lengths) of encoded texts."""
-        ids, length = pad(rows)
-        scores = self.scored(0, ids)
-        scores += self.scored(1, ids)
+        scores, length = self.scored(rows)
         scores += self.bias
         return scores, length
 
@@ -301,27 +324,27 @@ class Reader(Layer):
 
 
 def viterbi(scores: np.ndarray, trans: np.ndarray, length: np.ndarray) -> list[list[int]]:
+    """Best paths (of equal ones that with the first tags, from the end) over scores (T, B, tags).
+
+    The way back is looked up where it is walked, as that takes one tag a step instead of all."""
     steps, batch, k = scores.shape
     trans = np.where(allowed(), trans, _NEG).astype(np.float32)
-    start = np.array([_NEG if t[0] == "I" else 0 for t in TAGS], dtype=np.float32)
-    best = scores[0] + start
-    back = np.zeros((steps, batch, k), dtype=np.int8)
-    into = np.ascontiguousarray(trans.T)[None]
-    end = length - 1
-    last = np.where(end == 0, best.argmax(axis=1), 0)
+    scores = np.ascontiguousarray(scores.transpose(0, 2, 1))
+    best = np.empty_like(scores)
+    best[0] = scores[0] + np.array([_NEG if t[0] == "I" else 0 for t in TAGS], dtype=np.float32)[:, None]
+    into, all_ = trans[:, :, None], np.empty((k, k, batch), dtype=np.float32)
     for t in range(1, steps):
-        all_ = best[:, None, :] + into
-        at = all_.argmax(axis=2)
-        back[t] = at
-        best = np.take_along_axis(all_, at[:, :, None], 2)[:, :, 0] + scores[t]
-        if (now := end == t).any():
-            last[now] = best[now].argmax(axis=1)
-    paths = np.zeros((steps, batch), dtype=np.int8)
-    tag, rows = last.astype(np.int64), np.arange(batch)
+        np.add(best[t - 1][:, None, :], into, out=all_)
+        np.max(all_, axis=0, out=best[t])
+        best[t] += scores[t]
+    end, rows = length - 1, np.arange(batch)
+    tag = last = best[end, :, rows].argmax(axis=1)
+    paths = np.zeros((batch, steps), dtype=np.int8)
     for t in range(steps - 1, -1, -1):
-        paths[t] = tag
-        tag = np.where(t <= end, back[t, rows, tag], tag)
-    return [paths[: int(n), b].tolist() for b, n in enumerate(length)]
+        if t < steps - 1:
+            tag = np.where(t < end, (best[t].T + trans.T[tag]).argmax(axis=1), last)
+        paths[:, t] = tag
+    return [paths[b, : int(n)].tolist() for b, n in enumerate(length)]
 
 
 def _crf(scores: np.ndarray, trans: np.ndarray, tags: np.ndarray, length: np.ndarray):

@@ -158,3 +158,36 @@ def test_no_rules_when_data_is_found():
 
     code = "import sys; from lectern.llm import pii; pii.Finder(*pii.load(pii.WEIGHTS)).find(['signed by Anna Lindqvist']); assert 'lectern.llm.pii_rules' not in sys.modules"
     subprocess.run([sys.executable, "-c", code], check=True)
+
+
+@pytest.mark.parametrize("n", [1001, 1090, 1921, 5000, 20_011])
+def test_windows_are_of_equal_length(n):
+    """They cover a text with the overlap that is asked for, and read no more than that."""
+    got = pii.windows(n)
+    assert got[0][0] == 0 and got[-1][1] == n and all(b - a <= pii.WINDOW for a, b in got)
+    assert all(b - c >= pii.OVERLAP for (_, b), (c, _) in zip(got, got[1:]))
+    assert sum(b - a for a, b in got) <= n + (len(got) - 1) * pii.OVERLAP + len(got)
+
+
+def test_texts_take_part_up_to_their_end():
+    """One long text among short ones doesn't make these as long, and scores are those of the plain network in any order."""
+    rng = np.random.default_rng(6)
+    w = {n: a * 2 for n, a in pii_model.initial_gate(40).items()}
+    rows = [rng.integers(1, 40, n) for n in (3, 600, 16, 17, 1, 40, 40)] + [rng.integers(1, 40, 30) for _ in range(200)]
+    ids, length = pii_model.pad(rows)
+    odds, _ = pii_model.forward(w, ids, length)
+    gate = pii_model.Gate(w)
+    for got, row in zip(gate.above(rows, 0.5), range(len(rows))):
+        assert got.tolist() == np.flatnonzero(odds[: length[row], row, 0] > 0.5).tolist()
+    out, said = gate.scored(rows)
+    assert said.tolist() == length.tolist() and not out[64:, 0, length < 64].any()
+
+
+def test_viterbi_of_several_lengths():
+    """Each text's path is that of the text alone, and equal sums give the first tag."""
+    rng = np.random.default_rng(7)
+    k, length = len(pii_model.TAGS), np.array([5, 1, 9, 2])
+    scores, trans = rng.integers(-2, 3, (9, 4, k)).astype(np.float32), rng.integers(-1, 2, (k, k)).astype(np.float32)
+    alone = [pii_model.viterbi(scores[:n, j : j + 1], trans, length[j : j + 1])[0] for j, n in enumerate(length)]
+    assert pii_model.viterbi(scores, trans, length) == alone
+    assert pii_model.viterbi(np.zeros((3, 1, k), np.float32), np.zeros((k, k), np.float32), np.array([3])) == [[0, 0, 0]]
