@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from lectern.llm.pii_model import TAGS, Gate, Reader, Vocabulary, load
@@ -22,8 +23,8 @@ from lectern.llm.pii_model import TAGS, Gate, Reader, Vocabulary, load
 WEIGHTS = os.path.join(os.path.dirname(__file__), "pii_weights.npz")
 #: Characters of a window, and of the overlap of two.
 WINDOW, OVERLAP = 1000, 80
-#: Characters that are read at once, about, by the gate and by the large network.
-GATE_BATCH, BATCH = 1_200_000, 200_000
+#: Characters of texts that are taken at once, about, and of those that the gate and the large network read side by side.
+PART, GATE_BATCH, BATCH = 3_000_000, 2_400_000, 200_000
 #: Log-odds from which the gate calls the large network, and the characters around such a place that this reads.
 THRESHOLD, AROUND = 0.5, 48
 
@@ -96,10 +97,9 @@ class Finder:
         for code, found in zip(codes, hits):
             stretches: list[tuple[int, int]] = []
             if found:
-                at = np.unique(np.concatenate(found))
-                cut = np.flatnonzero(np.diff(at) > 2 * AROUND)
-                first, last = at[np.r_[0, cut + 1]], at[np.r_[cut, len(at) - 1]]
-                stretches = [(max(0, int(a) - AROUND), min(len(code), int(b) + AROUND + 1)) for a, b in zip(first, last)]
+                at = np.sort(np.concatenate(found))
+                edges = [0, *(np.flatnonzero(np.diff(at) > 2 * AROUND) + 1).tolist(), len(at)]
+                stretches = [(max(0, int(at[i]) - AROUND), min(len(code), int(at[j - 1]) + AROUND + 1)) for i, j in zip(edges, edges[1:])]
             out.append(stretches)
         return out
 
@@ -150,6 +150,16 @@ def _may_be(s: str, kind: str) -> bool:
     return digits == 0 and sum(c.isalpha() for c in s) >= 2
 
 
+def parts(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows (key, text) in order, each part of about ``PART`` characters, and one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(b.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = done = 0
+    while start < len(ends):
+        end = max(start + 1, int(np.searchsorted(ends, done + PART, side="right")))
+        yield b.slice(start, end - start)
+        start, done = end, int(ends[end - 1])
+
+
 _FINDERS: dict[str, Finder] = {}
 
 
@@ -181,8 +191,7 @@ def personal_data(documents: DataFrame, key: str = "doc_id", weights: str = WEIG
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = _finder(model, weights)
         for b in batches:
-            for start in range(0, b.num_rows, 1000):
-                part = b.slice(start, 1000)
+            for part in parts(b):
                 rows = [
                     (k, kind, a + 1, e)
                     for k, spans in zip(part.column(0).to_pylist(), finder.find(part.column(1).to_pylist()))
@@ -208,8 +217,7 @@ def masked(documents: DataFrame, key: str = "doc_id", weights: str = WEIGHTS) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = _finder(model, weights)
         for b in batches:
-            for start in range(0, b.num_rows, 1000):
-                part = b.slice(start, 1000)
+            for part in parts(b):
                 texts = part.column(1).to_pylist()
                 done = [mask(t, s) for t, s in zip(texts, finder.find(texts))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(done, pa.string())], names=["key", "text"])

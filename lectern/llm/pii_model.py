@@ -155,7 +155,7 @@ class Layer:
     What a step reads of a character is its embedding, a one for the bias, and a one for padding, which shuts the input
     gate, so that the backward direction comes to a text's end with an empty state. A tangent is a sigmoid of twice the
     argument, and sigmoids are reciprocals of exponentials, which are cheaper; factors and signs are in the weights. Cells
-    and states are kept halved.
+    are kept times -2, as the next exponential wants them, and states halved.
     """
 
     def __init__(self, w: dict[str, np.ndarray]):
@@ -163,6 +163,7 @@ class Layer:
         sign = np.r_[np.full(3 * h, -1), np.full(h, -2)].astype(np.float32)
         shut = np.r_[np.full(h, _NEG), np.zeros(3 * h)].astype(np.float32)[None]
         self.hidden, self.inputs = h, e + 2
+        self.over = np.r_[np.ones(3 * h), np.full(h, -4)].astype(np.float32)[:, None]
         self.chars = np.zeros((e + 2, len(w["embed"])), dtype=np.float32)
         self.chars[:e], self.chars[e], self.chars[e + 1, 0] = w["embed"].T, 1, 1
         self.gates = [np.ascontiguousarray((np.r_[w[f"x{d}"], w[f"c{d}"][None], shut, w[f"h{d}"] * np.float32(2)] * sign).T) for d in "fb"]
@@ -201,13 +202,12 @@ class Layer:
                 np.dot(self.gates[d], fed, out=z)
                 np.exp(z, out=z)
                 np.add(z, 1, out=z)
-                np.reciprocal(z, out=z)
-                np.subtract(g, 0.5, out=g)
+                np.divide(self.over, z, out=z)
+                np.add(g, 2, out=g)
                 np.multiply(f, cell, out=cell)
                 np.multiply(i, g, out=tmp)
                 np.add(cell, tmp, out=cell)
-                np.multiply(cell, -4, out=tmp)
-                np.exp(tmp, out=tmp)
+                np.exp(cell, out=tmp)
                 np.add(tmp, 1, out=tmp)
                 np.reciprocal(tmp, out=tmp)
                 np.subtract(tmp, 0.5, out=tmp)

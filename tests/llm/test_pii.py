@@ -191,3 +191,15 @@ def test_viterbi_of_several_lengths():
     alone = [pii_model.viterbi(scores[:n, j : j + 1], trans, length[j : j + 1])[0] for j, n in enumerate(length)]
     assert pii_model.viterbi(scores, trans, length) == alone
     assert pii_model.viterbi(np.zeros((3, 1, k), np.float32), np.zeros((k, k), np.float32), np.array([3])) == [[0, 0, 0]]
+
+
+def test_parts_are_bounded_by_characters(monkeypatch):
+    """All rows come once and in order, a long text alone, and null and empty texts with others."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(pii, "PART", 10)
+    texts = ["abcd", None, "中文", "", "x" * 50, None, "abc", "y" * 8, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    got = [p.column(1).to_pylist() for p in pii.parts(batch)]
+    assert got == [["abcd", None, "中文", ""], ["x" * 50], [None, "abc"], ["y" * 8, ""]]
+    assert list(pii.parts(batch.slice(0, 0))) == []
