@@ -152,7 +152,7 @@ def _may_be(s: str, kind: str) -> bool:
 
 def parts(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Rows (key, text) in order, each part of about ``PART`` characters, and one row at least."""
-    ends = np.cumsum(pc.fill_null(pc.utf8_length(b.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(b.column(1).cast(pa.large_string())), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     start = done = 0
     while start < len(ends):
         end = max(start + 1, int(np.searchsorted(ends, done + PART, side="right")))

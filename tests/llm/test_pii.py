@@ -203,3 +203,5 @@ def test_parts_are_bounded_by_characters(monkeypatch):
     got = [p.column(1).to_pylist() for p in pii.parts(batch)]
     assert got == [["abcd", None, "中文", ""], ["x" * 50], [None, "abc"], ["y" * 8, ""]]
     assert list(pii.parts(batch.slice(0, 0))) == []
+    void = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.nulls(2)], names=["doc_id", "text"])
+    assert [p.num_rows for p in pii.parts(void)] == [2]
